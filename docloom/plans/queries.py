@@ -339,3 +339,37 @@ def latest_event_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("ingested_at", F.lit(dt.datetime(2025, 1, 2, 8, 0)))
     snap = latest(load1.unionByName(load2), ["uid"], "ingested_at", ["load_id"])
     return snap.select("uid", "status", F.round("total", 2).alias("total"), "load_id")
+
+
+# ------------------------------------------------------------ O17, O18
+def _board_tables(spark: SparkSession, sf_dir: str, depth):
+    from docloom.operators.flatten import flatten
+    b = rs.board(spark, sf_dir)
+    return flatten(b, "scoreboard", ["request_date", "page"], "doc", max_depth=depth,
+                   keep=["request_date", "page"])
+
+
+def flatten_events_depth1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O17 at depth 1: the events child table of the scoreboard documents."""
+    t = _board_tables(spark, sf_dir, 1)["scoreboard__events"]
+    return t.select("_row_id", "_parent_id", "_list_idx", "id", "status__type__name", "date",
+                    F.col("competitions").isNotNull().alias("has_competitions"))
+
+
+def flatten_competitors_depth3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O17 at depth 3: competitors, three array hops below the document."""
+    t = _board_tables(spark, sf_dir, 3)["scoreboard__events__competitions__competitors"]
+    return t.select("_root_id", "_parent_id", "_list_idx", "id", "homeAway", "score",
+                    "team__displayName")
+
+
+def flatten_table_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O17 with no cap: every table the scoreboard documents produce, with
+    its row count and column count."""
+    tables = _board_tables(spark, sf_dir, None)
+    parts = [df.select(F.lit(n).alias("table_name"), F.lit(len(df.columns)).alias("n_columns"))
+             for n, df in tables.items()]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.groupBy("table_name", "n_columns").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -38,6 +38,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_five_transactions": q.first_five_transactions,
     "scoreboard_key_census": q.scoreboard_key_census,
     "table_census": q.table_census,
+    # flattening
+    "flatten_events_depth1": q.flatten_events_depth1,
+    "flatten_competitors_depth3": q.flatten_competitors_depth3,
+    "flatten_table_sizes": q.flatten_table_sizes,
     # loads
     "roster_upsert": q.roster_upsert,
     "latest_event_snapshot": q.latest_event_snapshot,
