@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docloom.plans import queries as q
+from docloom.plans import views as v
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # requests side
@@ -42,6 +43,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_events_depth1": q.flatten_events_depth1,
     "flatten_competitors_depth3": q.flatten_competitors_depth3,
     "flatten_table_sizes": q.flatten_table_sizes,
+    # typed views
+    "games": v.games,
+    "competitors": v.competitors,
+    "linescores": v.linescores,
+    "team_box": v.team_box,
+    "player_box": v.player_box,
+    "player_stats_kv": v.player_stats_kv,
+    "roster_players": v.roster_players,
+    "player_injuries": v.player_injuries,
+    "player_contracts": v.player_contracts,
+    "venues": v.venues,
+    "transactions": v.transactions,
+    "standings": v.standings,
     # loads
     "roster_upsert": q.roster_upsert,
     "latest_event_snapshot": q.latest_event_snapshot,

@@ -29,6 +29,8 @@ STATUS_BY_ID = {
     "3": ("STATUS_FINAL", "post", "Final"),
 }
 UID_PREFIX = "s:40~l:46"
+# Return flags of lineitem, each playing one team of a game summary.
+TEAM_FLAGS = ("A", "N", "R")
 
 # Page sizes (items per document).
 EVENTS_PER_DOC = 1000
@@ -254,9 +256,9 @@ def event_docs(spark: SparkSession, sf_dir: str, page_size: int = LINES_PER_DOC)
         jstr(F.col("l_quantity").cast("int").cast("string")),
         jstr(F.concat(F.col("l_linenumber").cast("string"), F.lit("-"),
                       F.col("l_quantity").cast("int").cast("string"))),
-        jstr(F.format_string("%+d", (F.col("l_tax") * 100).cast("int"))),
+        jstr(F.format_string("%+d", F.round(F.col("l_tax") * 100).cast("int"))),
         jstr(F.format_string("%d:%02d", F.col("l_linenumber") + 10,
-                             (F.col("l_discount") * 100).cast("int")))),
+                             F.round(F.col("l_discount") * 100).cast("int")))),
         1, F.when(F.col("l_linenumber") == 7, 3).otherwise(4))
     both = jobj(kv("line", line), kv("athlete", jobj(
         kv("athlete", jobj(kv("id", jstr(F.col("l_partkey").cast("string"))),
@@ -265,7 +267,22 @@ def event_docs(spark: SparkSession, sf_dir: str, page_size: int = LINES_PER_DOC)
     pages = nest_pages(li.select("l_orderkey", "l_partkey", sk.alias("sk"), both.alias("js")),
                        ["l_orderkey"], F.col("l_partkey"), F.col("sk"), F.col("js"), page_size)
     v = F.try_parse_json("items")
-    # Split the combined items into the two arrays of the summary body.
+    lines_v = F.try_variant_get(v, "$", "array<variant>")
+
+    def flag_team(flag: str) -> Column:
+        mine = F.filter(lines_v, lambda x: F.try_variant_get(x, "$.line.flag", "string") == flag)
+        qty = lambda arr: F.aggregate(
+            arr, F.lit(0).cast("bigint"),
+            lambda acc, x: acc + F.try_variant_get(x, "$.line.qty", "double").cast("bigint"))
+        return jobj(kv("team", jobj(kv("abbreviation", F.lit(f'"{flag}"')))),
+                    kv("statistics", jarr_of(F.array(
+                        jobj(kv("name", F.lit('"quantityMade-quantityAttempted"')),
+                             kv("displayValue", jstr(F.concat(qty(mine).cast("string"), F.lit("-"),
+                                                              qty(lines_v).cast("string"))))),
+                        jobj(kv("name", F.lit('"lines"')),
+                             kv("displayValue", jstr(F.size(mine).cast("string"))))))))
+
+    # Split the combined items into the arrays of the summary body.
     return pages.select(
         F.lit("game_summary").alias("resource"),
         F.col("l_orderkey").cast("string").alias("event_id"),
@@ -273,7 +290,9 @@ def event_docs(spark: SparkSession, sf_dir: str, page_size: int = LINES_PER_DOC)
         jobj(kv("header", jobj(kv("id", jstr(F.col("l_orderkey").cast("string"))))),
              kv("lines", F.to_json(F.transform(F.try_variant_get(v, "$", "array<variant>"),
                                                lambda x: F.try_variant_get(x, "$.line", "variant")))),
-             kv("boxscore", jobj(kv("players", F.concat(F.lit('[{"statistics":[{'),
+             kv("boxscore", jobj(
+                 kv("teams", jarr_of(F.array(*[flag_team(f) for f in TEAM_FLAGS]))),
+                 kv("players", F.concat(F.lit('[{"statistics":[{'),
                  F.lit('"labels":["PTS","FG","+/-","MIN"],'),
                  F.lit('"athletes":'),
                  F.to_json(F.transform(F.try_variant_get(v, "$", "array<variant>"),
