@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docloom.plans import queries as q
+from docloom.plans import loads as ld
 from docloom.plans import views as v
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -59,6 +60,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # loads
     "roster_upsert": q.roster_upsert,
     "latest_event_snapshot": q.latest_event_snapshot,
+    "append_rerun_load": ld.append_rerun_load,
+    "replace_teams_load": ld.replace_teams_load,
+    "merge_rosters_load": ld.merge_rosters_load,
+    "load_run_report": ld.load_run_report,
+    # streaming
+    "incremental_scoreboard_load": ld.incremental_scoreboard_load,
 }
 
 

@@ -15,46 +15,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docloom.functions.json import parse_doc
+from docloom.sources.landing import parse_landed
 from docloom.operators.load import append_load
 from docloom.operators.nested import stamp
 from docloom.session import ensure_checkpoint_dir
 
 
-def landed_stream(spark: SparkSession, landing: str, resource: str, context: list[str],
+def landed_stream(spark: SparkSession, landing: str, resource: str,
                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """New landed documents of one resource: ``value`` plus the context keys,
-    read from the ``key=value`` folder names of each file's path."""
+    """New landed lines of one resource (envelope text in ``value``)."""
     r = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = r.load(f"{landing.rstrip('/')}/resource={resource}")
-    ctx = [F.expr("url_decode(regexp_extract(_metadata.file_path, '/" + c + "=([^/]+)/', 1))").alias(c)
-           for c in context]
-    return df.select("value", F.lit(resource).alias("resource"), *ctx)
+    return r.load(f"{landing.rstrip('/')}/resource={resource}") \
+        .select("value", F.lit(resource).alias("resource"))
 
 
 def start_ingest(spark: SparkSession, landing: str, resource: str, context: list[str],
                  out_root: str, table: str | None = None, stream_name: str | None = None,
-                 checkpoint: str | None = None, partition_by: list[str] | None = None,
-                 available_now: bool = True) -> StreamingQuery:
+                 checkpoint: str | None = None, cluster_by: list[str] | None = None,
+                 available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental load of one resource; returns the query (call
     ``awaitTermination()`` on it)."""
     table = table or resource
     name = stream_name or f"ingest-{table}"
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
-    parts = list(partition_by if partition_by is not None else context)
+    cluster = list(cluster_by if cluster_by is not None else context)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        reqs = batch
+        docs = parse_landed(batch, context)
         for k in context:
-            reqs = reqs.withColumnRenamed(k, f"request_{k}")
-        docs = stamp(reqs.withColumn("doc", parse_doc("value")).drop("value"), "doc",
-                     {k: F.col(f"request_{k}") for k in context})
+            docs = docs.withColumnRenamed(k, f"request_{k}")
+        docs = stamp(docs, "doc", {k: F.col(f"request_{k}") for k in context})
         append_load(docs, out_root, table, f"{name}-{batch_id:010d}",
-                    [f"request_{k}" for k in parts])
+                    cluster_by=[f"request_{k}" for k in cluster])
 
-    w = (landed_stream(spark, landing, resource, context).writeStream
+    w = (landed_stream(spark, landing, resource, max_files_per_trigger).writeStream
          .queryName(name).option("checkpointLocation", ckpt).foreachBatch(load_batch))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
