@@ -58,10 +58,19 @@ def season_bounds(season, start=None, end=None) -> tuple[Column, Column]:
     return r_start, r_end
 
 
+# Fixed value: the two instant forms the API sends (with / without seconds).
+ISO_INSTANT = r"^(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2})(?::(\d{2}))?Z$"
+
+
 def parse_iso_instant(text) -> Column:
     """UTC ISO-8601 text with or without seconds ('2024-10-25T23:00Z',
-    '2024-10-25T20:00:00Z') -> TIMESTAMP_NTZ in UTC."""
-    return F.to_timestamp_ntz(_c(text), F.lit("yyyy-MM-dd'T'HH:mm[:ss]'Z'"))
+    '2024-10-25T20:00:00Z') -> TIMESTAMP_NTZ in UTC; anything else -> NULL.
+    Built from the parts, so the session time zone plays no part."""
+    t = _c(text)
+    part = lambda i: F.regexp_extract(t, ISO_INSTANT, i).try_cast("int")
+    sec = F.coalesce(part(6), F.lit(0))
+    return F.when(t.rlike(ISO_INSTANT), F.try_make_timestamp_ntz(
+        part(1), part(2), part(3), part(4), part(5), sec.cast("decimal(8,6)")))
 
 
 def parse_user_date(text) -> Column:
