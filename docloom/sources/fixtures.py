@@ -78,28 +78,41 @@ def iso_minutes(ts: Column) -> Column:
 
 
 # -------------------------------------------------------------- paging
-def nest_pages(df: DataFrame, group_cols: list[str], page_key: Column,
-               sort_key: Column, item_json: Column, page_size: int) -> DataFrame:
+def _field(name: str):
+    return lambda x: x[name]
+
+
+def nest_pages(df: DataFrame, group_cols: list[str], page_key: Column, sort_key: Column,
+               items: Column | dict[str, Column], page_size: int,
+               aggs: list[Column] | None = None) -> DataFrame:
     """Group items into documents of bounded size.
 
-    Returns ``group_cols + [page, n_items, items]`` where ``items`` is the JSON
-    array text of the page's items sorted by ``sort_key``.  The number of
-    pages of a group is ceil(count / page_size); an item goes to page
-    ``pmod(page_key, pages)``.  Counting is a partial (map-side) aggregate; the
-    join back is a hash join on a per-group count table, so AQE can broadcast it
-    when small and split it when skewed.
+    Returns ``group_cols + [page, n_items, <item arrays>, <aggs>]``: one JSON
+    array text per entry of ``items`` (a single Column gives ``items``), each
+    sorted by ``sort_key``, plus optional typed aggregates of the page.  The
+    number of pages of a group is ceil(count / page_size); a row goes to page
+    ``pmod(page_key, pages)``.  Counting is a partial (map-side) aggregate;
+    the count table joins back on the group key, so AQE broadcasts it when
+    small and splits skewed keys when not.
     """
-    items = df.select(*group_cols, page_key.alias("_pk"), sort_key.alias("_sk"),
-                      item_json.alias("_js"))
-    counts = items.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    paged = items.join(counts, group_cols).withColumn(
+    if isinstance(items, Column):
+        items = {"items": items}
+    names = list(items)
+    rows = df.withColumn("_pk", page_key).withColumn("_sk", sort_key)
+    for n in names:
+        rows = rows.withColumn(f"_js_{n}", items[n])
+    counts = rows.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    paged = rows.join(counts, group_cols).withColumn(
         "page", F.pmod(F.col("_pk"),
                        F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(page_size)))).cast("int"))
     grouped = paged.groupBy(*group_cols, "page").agg(
-        F.array_sort(F.collect_list(F.struct("_sk", "_js"))).alias("_items"))
-    return grouped.select(*group_cols, "page",
-                          F.size("_items").alias("n_items"),
-                          jarr_of(F.transform("_items", lambda x: x["_js"])).alias("items"))
+        F.array_sort(F.collect_list(F.struct("_sk", *[f"_js_{n}" for n in names]))).alias("_items"),
+        *(aggs or []))
+    extra = [c for c in grouped.columns if c not in (*group_cols, "page", "_items")]
+    return grouped.select(
+        *group_cols, "page", F.size("_items").alias("n_items"),
+        *[jarr_of(F.transform("_items", _field(f"_js_{n}"))).alias(n) for n in names],
+        *extra)
 
 
 # -------------------------------------------------------------- events
@@ -193,17 +206,16 @@ def board_docs(spark: SparkSession, sf_dir: str, page_size: int = EVENTS_PER_DOC
         F.col("l_partkey"),
         F.struct("l_linenumber", "l_suppkey", "l_partkey", "l_quantity", "l_discount",
                  "l_tax").alias("sk"),
-        jobj(kv("id", jstr(F.col("l_suppkey").cast("string"))),
-             kv("homeAway", jstr(F.when(F.col("l_linenumber") == 1, "home").otherwise("away"))),
-             kv("score", jstr(F.col("l_quantity").cast("int").cast("string"))),
-             kv("team", jobj(kv("id", jstr(F.col("l_suppkey").cast("string"))),
-                             kv("displayName", jstr(F.concat(F.lit("Supplier "),
-                                                             F.col("l_suppkey").cast("string")))))),
-             kv("linescores", jarr_of(F.array(
-                 jobj(kv("value", jnum(F.col("l_quantity").cast("int")))),
-                 jobj(kv("value", jnum(F.round(F.col("l_discount") * 100).cast("int")))),
-                 jobj(kv("value", jnum(F.round(F.col("l_tax") * 100).cast("int")))),
-                 jobj(kv("value", jnum(F.col("l_linenumber")))))))).alias("cj"))
+        F.to_json(F.struct(
+            F.col("l_suppkey").cast("string").alias("id"),
+            F.when(F.col("l_linenumber") == 1, "home").otherwise("away").alias("homeAway"),
+            F.col("l_quantity").cast("int").cast("string").alias("score"),
+            F.struct(F.col("l_suppkey").cast("string").alias("id"),
+                     F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")).alias("displayName"))
+             .alias("team"),
+            F.array(*[F.struct(v.cast("int").alias("value")) for v in (
+                F.col("l_quantity"), F.round(F.col("l_discount") * 100), F.round(F.col("l_tax") * 100),
+                F.col("l_linenumber"))]).alias("linescores"))).alias("cj"))
     comps = nest_pages(comp, ["l_orderkey"], F.col("l_partkey"), F.col("sk"), F.col("cj"),
                        competitors_per_event)
     ev = o.join(comps, o.o_orderkey == comps.l_orderkey, "left").select(
@@ -233,71 +245,59 @@ def event_docs(spark: SparkSession, sf_dir: str, page_size: int = LINES_PER_DOC)
     """Game summary per event (order) with its line items: ``resource,
     event_id, page, body``.  Orders without line items have no summary.
 
-    Body: header.id, lines[] (n, part, supp, qty, price, disc, tax, flag,
-    status, ship), and a player box: ``boxscore.players[0].statistics[0]``
-    with parallel arrays ``labels`` and per-athlete ``stats``."""
+    Body: ``header.id``; ``lines[]`` (n, part, supp, qty, price, disc, tax,
+    flag, status, ship); ``boxscore.teams[]`` -- one team per return flag with
+    statistics ``quantityMade-quantityAttempted`` ("made-attempted" text) and
+    ``lines``; ``boxscore.players[0].statistics[0]`` with parallel arrays
+    ``labels`` and per-athlete ``stats`` (line 7 has one stat fewer)."""
     li = load_table(spark, sf_dir, "lineitem")
     sk = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                   "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
-    line = jobj(
-        kv("n", jnum(F.col("l_linenumber"))),
-        kv("part", jnum(F.col("l_partkey"))),
-        kv("supp", jnum(F.col("l_suppkey"))),
-        kv("qty", jnum(F.col("l_quantity"))),
-        kv("price", jnum(F.col("l_extendedprice"))),
-        kv("disc", jnum(F.col("l_discount"))),
-        kv("tax", jnum(F.col("l_tax"))),
-        kv("flag", jstr(F.col("l_returnflag"))),
-        kv("status", jstr(F.col("l_linestatus"))),
-        kv("ship", jstr(F.date_format("l_shipdate", "yyyy-MM-dd"))))
-    # A player row per line: stats are text, as the API sends them; the line
-    # number decides how many stats the athlete has (short rows happen).
+    line = F.to_json(F.struct(
+        F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("part"),
+        F.col("l_suppkey").alias("supp"), F.col("l_quantity").alias("qty"),
+        F.col("l_extendedprice").alias("price"), F.col("l_discount").alias("disc"),
+        F.col("l_tax").alias("tax"), F.col("l_returnflag").alias("flag"),
+        F.col("l_linestatus").alias("status"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship")))
+    qty = F.col("l_quantity").cast("int")
     stats = F.slice(F.array(
-        jstr(F.col("l_quantity").cast("int").cast("string")),
-        jstr(F.concat(F.col("l_linenumber").cast("string"), F.lit("-"),
-                      F.col("l_quantity").cast("int").cast("string"))),
-        jstr(F.format_string("%+d", F.round(F.col("l_tax") * 100).cast("int"))),
-        jstr(F.format_string("%d:%02d", F.col("l_linenumber") + 10,
-                             F.round(F.col("l_discount") * 100).cast("int")))),
+        qty.cast("string"),
+        F.concat(F.col("l_linenumber").cast("string"), F.lit("-"), qty.cast("string")),
+        F.format_string("%+d", F.round(F.col("l_tax") * 100).cast("int")),
+        F.format_string("%d:%02d", F.col("l_linenumber") + 10,
+                        F.round(F.col("l_discount") * 100).cast("int"))),
         1, F.when(F.col("l_linenumber") == 7, 3).otherwise(4))
-    both = jobj(kv("line", line), kv("athlete", jobj(
-        kv("athlete", jobj(kv("id", jstr(F.col("l_partkey").cast("string"))),
-                           kv("displayName", jstr(F.concat(F.lit("Part "), F.col("l_partkey").cast("string")))))),
-        kv("stats", jarr_of(stats)))))
-    pages = nest_pages(li.select("l_orderkey", "l_partkey", sk.alias("sk"), both.alias("js")),
-                       ["l_orderkey"], F.col("l_partkey"), F.col("sk"), F.col("js"), page_size)
-    v = F.try_parse_json("items")
-    lines_v = F.try_variant_get(v, "$", "array<variant>")
-
-    def flag_team(flag: str) -> Column:
-        mine = F.filter(lines_v, lambda x: F.try_variant_get(x, "$.line.flag", "string") == flag)
-        qty = lambda arr: F.aggregate(
-            arr, F.lit(0).cast("bigint"),
-            lambda acc, x: acc + F.try_variant_get(x, "$.line.qty", "double").cast("bigint"))
-        return jobj(kv("team", jobj(kv("abbreviation", F.lit(f'"{flag}"')))),
-                    kv("statistics", jarr_of(F.array(
-                        jobj(kv("name", F.lit('"quantityMade-quantityAttempted"')),
-                             kv("displayValue", jstr(F.concat(qty(mine).cast("string"), F.lit("-"),
-                                                              qty(lines_v).cast("string"))))),
-                        jobj(kv("name", F.lit('"lines"')),
-                             kv("displayValue", jstr(F.size(mine).cast("string"))))))))
-
-    # Split the combined items into the arrays of the summary body.
+    athlete = F.to_json(F.struct(
+        F.struct(F.col("l_partkey").cast("string").alias("id"),
+                 F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("displayName"))
+         .alias("athlete"),
+        stats.alias("stats")))
+    q = F.col("l_quantity").cast("bigint")
+    aggs = [F.sum(q).alias("_tot")]
+    for f in TEAM_FLAGS:
+        aggs += [F.coalesce(F.sum(F.when(F.col("l_returnflag") == f, q)), F.lit(0)).alias(f"_made_{f}"),
+                 F.count(F.when(F.col("l_returnflag") == f, 1)).alias(f"_lines_{f}")]
+    pages = nest_pages(li, ["l_orderkey"], F.col("l_partkey"), sk,
+                       {"lines": line, "athletes": athlete}, page_size, aggs)
+    teams = F.to_json(F.array(*[F.struct(
+        F.struct(F.lit(f).alias("abbreviation")).alias("team"),
+        F.array(
+            F.struct(F.lit("quantityMade-quantityAttempted").alias("name"),
+                     F.concat(F.col(f"_made_{f}").cast("string"), F.lit("-"),
+                              F.col("_tot").cast("string")).alias("displayValue")),
+            F.struct(F.lit("lines").alias("name"),
+                     F.col(f"_lines_{f}").cast("string").alias("displayValue"))).alias("statistics"))
+        for f in TEAM_FLAGS]))
+    players = F.concat(F.lit('[{"statistics":[{"labels":["PTS","FG","+/-","MIN"],"athletes":'),
+                       F.col("athletes"), F.lit("}]}]"))
     return pages.select(
         F.lit("game_summary").alias("resource"),
         F.col("l_orderkey").cast("string").alias("event_id"),
         "page",
         jobj(kv("header", jobj(kv("id", jstr(F.col("l_orderkey").cast("string"))))),
-             kv("lines", F.to_json(F.transform(F.try_variant_get(v, "$", "array<variant>"),
-                                               lambda x: F.try_variant_get(x, "$.line", "variant")))),
-             kv("boxscore", jobj(
-                 kv("teams", jarr_of(F.array(*[flag_team(f) for f in TEAM_FLAGS]))),
-                 kv("players", F.concat(F.lit('[{"statistics":[{'),
-                 F.lit('"labels":["PTS","FG","+/-","MIN"],'),
-                 F.lit('"athletes":'),
-                 F.to_json(F.transform(F.try_variant_get(v, "$", "array<variant>"),
-                                       lambda x: F.try_variant_get(x, "$.athlete", "variant"))),
-                 F.lit("}]}]")))))).alias("body"))
+             kv("lines", F.col("lines")),
+             kv("boxscore", jobj(kv("teams", teams), kv("players", players)))).alias("body"))
 
 
 def group_docs(spark: SparkSession, sf_dir: str, page_size: int = TEAMS_PER_DOC) -> DataFrame:
@@ -409,13 +409,14 @@ def tx_docs(spark: SparkSession, sf_dir: str, page_size: int = TX_PER_DOC) -> Da
     li = load_table(spark, sf_dir, "lineitem")
     sk = F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
                   "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
-    tx = jobj(
-        kv("date", jstr(iso_minutes(F.col("l_shipdate")))),
-        kv("description", jstr(F.format_string("Order %d line %d: %s x part %d",
-                                               F.col("l_orderkey"), F.col("l_linenumber"),
-                                               F.col("l_quantity").cast("int"), F.col("l_partkey")))),
-        kv("team", F.when(F.col("l_returnflag") != "R",
-                          jobj(kv("displayName", jstr(F.concat(F.lit("Flag "), F.col("l_returnflag"))))))))
+    # to_json drops NULL fields, so returned lines get no "team" key at all.
+    tx = F.to_json(F.struct(
+        iso_minutes(F.col("l_shipdate")).alias("date"),
+        F.format_string("Order %d line %d: %s x part %d", F.col("l_orderkey"), F.col("l_linenumber"),
+                        F.col("l_quantity").cast("int"), F.col("l_partkey")).alias("description"),
+        F.when(F.col("l_returnflag") != "R",
+               F.struct(F.concat(F.lit("Flag "), F.col("l_returnflag")).alias("displayName")))
+         .alias("team")))
     pages = nest_pages(li, ["l_suppkey"], F.col("l_orderkey"), sk, tx, page_size)
     return pages.select(
         F.lit("transactions").alias("resource"),
