@@ -77,6 +77,18 @@ def iso_minutes(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm'Z'")
 
 
+def zpad(c: Column) -> Column:
+    """A non-negative integer as 20-digit text (sorts like the number)."""
+    return F.lpad(c.cast("string"), 20, "0")
+
+
+def packed_key(*parts: Column) -> Column:
+    """One string that sorts like the tuple of ``parts`` (each part must be
+    fixed-width or ``zpad``-ed).  Sorting one string is much cheaper than
+    comparing a wide struct inside ``array_sort``."""
+    return F.concat_ws("\u0001", *parts)
+
+
 # -------------------------------------------------------------- paging
 def _field(name: str):
     return lambda x: x[name]
@@ -251,8 +263,9 @@ def event_docs(spark: SparkSession, sf_dir: str, page_size: int = LINES_PER_DOC)
     ``lines``; ``boxscore.players[0].statistics[0]`` with parallel arrays
     ``labels`` and per-athlete ``stats`` (line 7 has one stat fewer)."""
     li = load_table(spark, sf_dir, "lineitem")
-    sk = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-                  "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    # Order of lines: line number, part, then the line's JSON text (a total
+    # order, so positions are deterministic with a cheap sort key).
+    sk = F.struct("l_linenumber", "l_partkey")
     line = F.to_json(F.struct(
         F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("part"),
         F.col("l_suppkey").alias("supp"), F.col("l_quantity").alias("qty"),
@@ -261,12 +274,13 @@ def event_docs(spark: SparkSession, sf_dir: str, page_size: int = LINES_PER_DOC)
         F.col("l_linestatus").alias("status"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship")))
     qty = F.col("l_quantity").cast("int")
+    tax = F.round(F.col("l_tax") * 100).cast("int")
     stats = F.slice(F.array(
         qty.cast("string"),
         F.concat(F.col("l_linenumber").cast("string"), F.lit("-"), qty.cast("string")),
-        F.format_string("%+d", F.round(F.col("l_tax") * 100).cast("int")),
-        F.format_string("%d:%02d", F.col("l_linenumber") + 10,
-                        F.round(F.col("l_discount") * 100).cast("int"))),
+        F.concat(F.when(tax >= 0, F.lit("+")).otherwise(F.lit("")), tax.cast("string")),
+        F.concat((F.col("l_linenumber") + 10).cast("string"), F.lit(":"),
+                 F.lpad(F.round(F.col("l_discount") * 100).cast("int").cast("string"), 2, "0"))),
         1, F.when(F.col("l_linenumber") == 7, 3).otherwise(4))
     athlete = F.to_json(F.struct(
         F.struct(F.col("l_partkey").cast("string").alias("id"),
@@ -407,13 +421,17 @@ def tx_docs(spark: SparkSession, sf_dir: str, page_size: int = TX_PER_DOC) -> Da
     description, team?}]}`` sorted by date; the team object is omitted for
     returned lines (flag 'R')."""
     li = load_table(spark, sf_dir, "lineitem")
-    sk = F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
-                  "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+    # Rows equal on all of these render the same JSON, so the order is total.
+    sk = packed_key(F.date_format("l_shipdate", "yyyyMMddHHmmss"), zpad(F.col("l_orderkey")),
+                    zpad(F.col("l_linenumber")), zpad(F.col("l_partkey")),
+                    zpad(F.col("l_quantity").cast("int")), F.col("l_returnflag"))
     # to_json drops NULL fields, so returned lines get no "team" key at all.
     tx = F.to_json(F.struct(
         iso_minutes(F.col("l_shipdate")).alias("date"),
-        F.format_string("Order %d line %d: %s x part %d", F.col("l_orderkey"), F.col("l_linenumber"),
-                        F.col("l_quantity").cast("int"), F.col("l_partkey")).alias("description"),
+        F.concat(F.lit("Order "), F.col("l_orderkey").cast("string"), F.lit(" line "),
+                 F.col("l_linenumber").cast("string"), F.lit(": "),
+                 F.col("l_quantity").cast("int").cast("string"), F.lit(" x part "),
+                 F.col("l_partkey").cast("string")).alias("description"),
         F.when(F.col("l_returnflag") != "R",
                F.struct(F.concat(F.lit("Flag "), F.col("l_returnflag")).alias("displayName")))
          .alias("team")))
