@@ -57,6 +57,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "venues": v.venues,
     "transactions": v.transactions,
     "standings": v.standings,
+    "officials": v.officials,
+    "articles": v.articles,
     # loads
     "roster_upsert": q.roster_upsert,
     "latest_event_snapshot": q.latest_event_snapshot,

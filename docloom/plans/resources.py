@@ -92,3 +92,7 @@ def game_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = chain(event_ids(spark, sf_dir), s, "event_id", "request_event_id")
     g = g.withColumnRenamed("date", "request_date").withColumnRenamed("event_id", "request_event_id")
     return stamp(g, "doc", {"date": F.col("request_date"), "event_id": F.col("request_event_id")})
+
+
+def news_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _parsed(fx.news_docs(spark, sf_dir), [])

@@ -96,13 +96,16 @@ def player_box(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def player_stats_kv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V6: one row per athlete with typed stats: points, field goals
-    made/attempted, signed plus-minus and minutes as seconds."""
-    a = _athletes(spark, sf_dir)
-    pairs = F.arrays_zip(F.transform(varr("box", "$.labels"), lambda x: vstr(x)).alias("k"),
-                         F.transform(varr("a", "$.stats"), lambda x: vstr(x)).alias("v"))
-    stat = lambda n: F.get(F.filter(pairs, lambda p: p["k"] == n), 0)["v"]
+    made/attempted, signed plus-minus and minutes as seconds.  The label and
+    stat arrays are materialised once per row; each stat is then a positional
+    lookup (``get`` gives NULL when a label has no value)."""
+    a = _athletes(spark, sf_dir).select(
+        "event_id", vstr("a", "$.athlete.id").alias("athlete_id"),
+        F.transform(varr("box", "$.labels"), lambda x: vstr(x)).alias("labels"),
+        F.transform(varr("a", "$.stats"), lambda x: vstr(x)).alias("stats"))
+    stat = lambda n: F.get("stats", F.array_position("labels", n) - 1)
     made, att = made_attempted(stat("FG"))
-    return a.select("event_id", vstr("a", "$.athlete.id").alias("athlete_id"),
+    return a.select("event_id", "athlete_id",
                     signed_int(stat("PTS")).alias("pts"),
                     made.alias("fg_made"), att.alias("fg_att"),
                     signed_int(stat("+/-")).alias("plus_minus"),
@@ -157,3 +160,21 @@ def standings(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = path_rows(e, "$.stats", "e", "s")
     return s.select(vstr("e", "$.team.id").alias("team_id"), vstr("s", "$.name").alias("stat_name"),
                     vdouble("s", "$.value").alias("value"))
+
+
+def officials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V9: officials of each game (game info array)."""
+    o = path_rows(rs.summary_docs(spark, sf_dir), "$.gameInfo.officials", "doc", "o")
+    return o.select(F.col("request_event_id").alias("event_id"),
+                    vstr("o", "$.displayName").alias("official"),
+                    vlong("o", "$.order").cast("int").alias("position"))
+
+
+def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """News articles; the whole description text is kept (its md5 is
+    reported here to keep the check small)."""
+    a = path_rows(rs.news_docs(spark, sf_dir), "$.articles", "doc", "a")
+    return a.select(vstr("a", "$.id").alias("article_id"),
+                    vstr("a", "$.headline").alias("headline"),
+                    vstr("a", "$.categories[0].description").alias("lang"),
+                    F.md5(vstr("a", "$.description")).alias("text_md5"))

@@ -40,6 +40,7 @@ TEAMS_PER_DOC = 1000
 ATHLETES_PER_DOC = 1000
 ENTRIES_PER_DOC = 1000
 TX_PER_DOC = 1000
+ARTICLES_PER_DOC = 100
 
 
 # ---------------------------------------------------------------- JSON text
@@ -261,7 +262,9 @@ def event_docs(spark: SparkSession, sf_dir: str, page_size: int = LINES_PER_DOC)
     flag, status, ship); ``boxscore.teams[]`` -- one team per return flag with
     statistics ``quantityMade-quantityAttempted`` ("made-attempted" text) and
     ``lines``; ``boxscore.players[0].statistics[0]`` with parallel arrays
-    ``labels`` and per-athlete ``stats`` (line 7 has one stat fewer)."""
+    ``labels`` and per-athlete ``stats`` (line 7 has one stat fewer);
+    ``gameInfo`` with attendance (total quantity) and ``officials[]`` (one per
+    line: the supplier, ordered by line number)."""
     li = load_table(spark, sf_dir, "lineitem")
     # Order of lines: line number, part, then the line's JSON text (a total
     # order, so positions are deterministic with a cheap sort key).
@@ -292,8 +295,11 @@ def event_docs(spark: SparkSession, sf_dir: str, page_size: int = LINES_PER_DOC)
     for f in TEAM_FLAGS:
         aggs += [F.coalesce(F.sum(F.when(F.col("l_returnflag") == f, q)), F.lit(0)).alias(f"_made_{f}"),
                  F.count(F.when(F.col("l_returnflag") == f, 1)).alias(f"_lines_{f}")]
+    official = F.to_json(F.struct(
+        F.concat(F.lit("Official "), F.col("l_suppkey").cast("string")).alias("displayName"),
+        F.col("l_linenumber").alias("order")))
     pages = nest_pages(li, ["l_orderkey"], F.col("l_partkey"), sk,
-                       {"lines": line, "athletes": athlete}, page_size, aggs)
+                       {"lines": line, "athletes": athlete, "officials": official}, page_size, aggs)
     teams = F.to_json(F.array(*[F.struct(
         F.struct(F.lit(f).alias("abbreviation")).alias("team"),
         F.array(
@@ -311,7 +317,9 @@ def event_docs(spark: SparkSession, sf_dir: str, page_size: int = LINES_PER_DOC)
         "page",
         jobj(kv("header", jobj(kv("id", jstr(F.col("l_orderkey").cast("string"))))),
              kv("lines", F.col("lines")),
-             kv("boxscore", jobj(kv("teams", teams), kv("players", players)))).alias("body"))
+             kv("boxscore", jobj(kv("teams", teams), kv("players", players))),
+             kv("gameInfo", jobj(kv("attendance", jnum(F.col("_tot"))),
+                                 kv("officials", F.col("officials"))))).alias("body"))
 
 
 def group_docs(spark: SparkSession, sf_dir: str, page_size: int = TEAMS_PER_DOC) -> DataFrame:
@@ -442,3 +450,19 @@ def tx_docs(spark: SparkSession, sf_dir: str, page_size: int = TX_PER_DOC) -> Da
         "page",
         jobj(kv("count", jnum(F.col("n_items"))),
              kv("transactions", F.col("items"))).alias("body"))
+
+
+def news_docs(spark: SparkSession, sf_dir: str, page_size: int = ARTICLES_PER_DOC) -> DataFrame:
+    """News per source (from ``documents``): ``{header, articles:[{id,
+    headline, description, categories:[{description: lang}]}]}``; the
+    description is the whole text."""
+    d = load_table(spark, sf_dir, "documents")
+    art = F.to_json(F.struct(
+        F.col("doc_id").cast("string").alias("id"),
+        F.concat(F.col("source"), F.lit(" #"), F.col("doc_id").cast("string")).alias("headline"),
+        F.col("text").alias("description"),
+        F.array(F.struct(F.col("lang").alias("description"))).alias("categories")))
+    pages = nest_pages(d, ["source"], F.col("doc_id"), F.col("doc_id"), art, page_size)
+    return pages.select(
+        F.lit("news").alias("resource"), "source", "page",
+        jobj(kv("header", F.lit('"NBA News"')), kv("articles", F.col("items"))).alias("body"))
