@@ -118,7 +118,11 @@ def nest_pages(df: DataFrame, group_cols: list[str], page_key: Column, sort_key:
     paged = rows.join(counts, group_cols).withColumn(
         "page", F.pmod(F.col("_pk"),
                        F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(page_size)))).cast("int"))
-    grouped = paged.groupBy(*group_cols, "page").agg(
+    # Shuffle on (group, page), not on the group alone: when the count table is
+    # too big to broadcast the join shuffles by group, and without this the
+    # aggregate would reuse that partitioning and keep a hot group in one task.
+    # With a broadcast join this is the aggregate's own shuffle (no extra cost).
+    grouped = paged.repartition(*group_cols, "page").groupBy(*group_cols, "page").agg(
         F.array_sort(F.collect_list(F.struct("_sk", *[f"_js_{n}" for n in names]))).alias("_items"),
         *(aggs or []))
     extra = [c for c in grouped.columns if c not in (*group_cols, "page", "_items")]
