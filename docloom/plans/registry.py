@@ -66,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replace_teams_load": ld.replace_teams_load,
     "merge_rosters_load": ld.merge_rosters_load,
     "load_run_report": ld.load_run_report,
+    "season_run_tables": ld.season_run_tables,
     # streaming
     "incremental_scoreboard_load": ld.incremental_scoreboard_load,
 }
