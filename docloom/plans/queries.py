@@ -17,6 +17,7 @@ from docloom.operators import requests as rq
 from docloom.operators.chain import chain, missing_documents, skipped_groups
 from docloom.operators.load import upsert, latest
 from docloom.operators.nested import key_census, path_rows
+from docloom.operators.pairs import name_value_columns, pair_sides, require_all
 from docloom.plans import resources as rs
 from docloom.sources.tables import load_table
 
@@ -246,18 +247,16 @@ def home_away_board(spark: SparkSession, sf_dir: str) -> DataFrame:
     documented home x away product whenever an entry has one of each, and
     never emits all pairs of a crowded entry."""
     ev = path_rows(rs.board(spark, sf_dir), "$.events", "doc", "event")
-    comps = varr("event", "$.competitions[0].competitors")
-    side = lambda name: F.filter(comps, lambda c: vstr(c, "$.homeAway") == name)
-    pairs = ev.select(
-        vstr("event", "$.id").alias("event_id"),
-        vstr("event", "$.status.type.description").alias("status"),
-        F.posexplode(F.arrays_zip(side("home").alias("h"), side("away").alias("a"))).alias("pair", "p"))
-    return pairs.where(F.col("p.h").isNotNull() & F.col("p.a").isNotNull()).select(
+    p = pair_sides(ev, varr("event", "$.competitions[0].competitors"), "$.homeAway", "home", "away",
+                   [vstr("event", "$.id").alias("event_id"),
+                    vstr("event", "$.status.type.description").alias("status")],
+                   ("pair", "h", "a"))
+    return p.select(
         "event_id", "status", F.col("pair").cast("int").alias("pair"),
-        vstr("p.h", "$.team.displayName").alias("home_team"),
-        (vstr("p.h", "$.score")).try_cast("int").alias("home_score"),
-        vstr("p.a", "$.team.displayName").alias("away_team"),
-        (vstr("p.a", "$.score")).try_cast("int").alias("away_score"))
+        vstr("h", "$.team.displayName").alias("home_team"),
+        vstr("h", "$.score").try_cast("int").alias("home_score"),
+        vstr("a", "$.team.displayName").alias("away_team"),
+        vstr("a", "$.score").try_cast("int").alias("away_score"))
 
 
 def standings_key_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,15 +265,13 @@ def standings_key_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     looked up inside each entry (no shuffle); with a repeated stat name the
     first one counts."""
     e = path_rows(rs.standings_docs(spark, sf_dir), "$.children[0].standings.entries", "doc", "e")
-    stats = varr("e", "$.stats")
-    stat = lambda n: F.get(F.filter(stats, lambda s: vstr(s, "$.name") == n), 0)
+    wins, losses, pct = name_value_columns(varr("e", "$.stats"), ["wins", "losses", "winPercent"])
     out = e.select(vstr("e", "$.team.id").alias("team_id"),
                    vstr("e", "$.team.displayName").alias("team"),
-                   vlong(stat("wins"), "$.value").alias("wins"),
-                   vlong(stat("losses"), "$.value").alias("losses"),
-                   vdouble(stat("winPercent"), "$.value").alias("win_pct"))
-    return out.where(F.col("wins").isNotNull() & F.col("losses").isNotNull()
-                     & F.col("win_pct").isNotNull())
+                   F.try_variant_get(wins, "$", "bigint").alias("wins"),
+                   F.try_variant_get(losses, "$", "bigint").alias("losses"),
+                   F.try_variant_get(pct, "$", "double").alias("win_pct"))
+    return require_all(out, ["wins", "losses", "win_pct"])
 
 
 def first_five_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
