@@ -17,6 +17,9 @@ SESSION_CONF = {
     # larger falls back to a shuffled join.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # A repeated key inside one JSON object keeps its last value, as Python's
+    # json module does; Spark's default would turn the whole document NULL.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

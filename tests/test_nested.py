@@ -59,3 +59,8 @@ def test_key_census(spark):
     d = docs_df(spark, [("a", '{"x":1,"y":null}'), ("b", '{"x":2}'), ("c", "[1]"), ("d", "bad")])
     got = {r.key: r.n_docs for r in key_census(d).collect()}
     assert got == {"x": 2, "y": 1}
+
+
+def test_repeated_key_keeps_last_value(spark):
+    d = docs_df(spark, [("a", '{"id":"1","id":"2"}')])
+    assert d.select(vstr("doc", "$.id").alias("i")).collect()[0].i == "2"
