@@ -41,10 +41,11 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir``."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    return spark.conf.get("spark.checkpoint.dir", None) or None
+    try:
+        d = spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext
+        d = None
+    return d or spark.conf.get("spark.checkpoint.dir", None) or None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -53,7 +54,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = checkpoint_dir(spark)
     if not d:
         d = tempfile.mkdtemp(prefix="docloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - core confs may be read-only at runtime
+            pass
+    try:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(d)
+        return spark.sparkContext.getCheckpointDir() or d
+    except Exception:  # noqa: BLE001
+        return d
