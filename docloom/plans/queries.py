@@ -341,9 +341,11 @@ def latest_event_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------ O17, O18
 def _board_tables(spark: SparkSession, sf_dir: str, depth):
     from docloom.operators.flatten import flatten
+    from docloom.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     b = rs.board(spark, sf_dir)
     return flatten(b, "scoreboard", ["request_date", "page"], "doc", max_depth=depth,
-                   keep=["request_date", "page"])
+                   keep=["request_date", "page"], materialize=True)
 
 
 def flatten_events_depth1(spark: SparkSession, sf_dir: str) -> DataFrame:
