@@ -20,6 +20,8 @@ SESSION_CONF = {
     # A repeated key inside one JSON object keeps its last value, as Python's
     # json module does; Spark's default would turn the whole document NULL.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # checkpoint files of DataFrames no longer referenced are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
