@@ -24,6 +24,24 @@ def held_out(id_col: str = "doc_id"):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.op01_toxicity import fit, score
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").filter(~held_out()).select("doc_id", F.col("toxic").alias("label"))
+    model = fit(docs, docs.join(labels, "doc_id"))
+    return score(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "vote", "neighbours")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.op02_language_id import fit, predict
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit(docs, ~held_out(), model_path())
+    return predict(docs, model, ["doc_id"]).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.op03_sentencepiece import encode_docs
     return encode_docs(read_table(spark, sf_dir, "documents"), model_path())
@@ -73,8 +91,132 @@ SELECT p.page_id, host, path, rule, coalesce(action, 'allow') AS verdict
 FROM p LEFT JOIN fit ON p.page_id = fit.page_id AND n = 1
 """
 
+#: a page is asked for again within this many fetches
+REFETCH_SPAN = 5000
+
+
+def warc_records(pages: DataFrame) -> DataFrame:
+    """Two records of every page: its response, and a conditional re-fetch some
+    fetches later, answered 304 with the validators of that response."""
+    digest = F.sha1(F.coalesce("html", F.lit("")))
+    base = pages.select("page_id", "url", digest.alias("digest"))
+    etag = F.concat(F.lit('"'), F.substring("digest", 1, 16), F.lit('"'))
+    first = base.select(
+        (F.col("page_id") * 2).alias("record_id"), F.lit("response").alias("type"), "url",
+        (F.col("page_id") * 2).alias("moment"), F.lit(200).alias("status"),
+        F.create_map(F.lit("content-type"), F.lit("text/html"), F.lit("etag"), etag,
+                     F.lit("age"), F.lit("0")).alias("headers"), "digest")
+    wait = F.pmod(F.col("page_id") * 7919, F.lit(REFETCH_SPAN))
+    again = base.select(
+        (F.col("page_id") * 2 + 1).alias("record_id"), F.lit("revisit").alias("type"), "url",
+        ((F.col("page_id") + wait) * 2 + 1).alias("moment"), F.lit(304).alias("status"),
+        F.create_map(F.lit("content-type"), F.lit("none"), F.lit("etag"), etag,
+                     F.lit("age"), wait.cast("string")).alias("headers"),
+        F.lit(None).cast("string").alias("digest"))
+    return first.unionByName(again)
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.op05_warc import header_lines, resolve_revisits
+    out = resolve_revisits(warc_records(read_table(spark, sf_dir, "pages")))
+    return out.select("record_id", F.expr("record_id div 2").alias("page_id"), "type", "canonical", "state",
+                      "source_id", header_lines("merged").alias("headers"))
+
+
+SQL["op5_warc"] = r"""
+WITH u AS (
+  SELECT page_id, sha1(coalesce(html, '')) AS digest,
+         regexp_replace(regexp_replace(trim(url), '#(.|\n)*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest
+  FROM pages),
+c AS (
+  SELECT page_id, '"' || digest[1:16] || '"' AS etag,
+         regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^www\.|:(80|443)$', '', 'g')
+         || regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '')
+         || coalesce('?' || nullif(array_to_string(list_sort(list_filter(
+              string_split(regexp_extract(rest, '^[^?]*\?((.|\n)*)$', 1), '&'),
+              lambda p: p <> '' AND NOT starts_with(p, 'utm_'))), '&'), ''), '') AS canonical
+  FROM u),
+r AS (
+  SELECT page_id * 2 AS record_id, page_id, 'response' AS type, canonical, etag, page_id * 2 AS moment, 0 AS wait FROM c
+  UNION ALL
+  SELECT page_id * 2 + 1, page_id, 'revisit', canonical, etag,
+         (page_id + page_id * 7919 % 5000) * 2 + 1, page_id * 7919 % 5000 FROM c),
+j AS (
+  SELECT v.*, s.record_id AS src, s.etag AS src_etag
+  FROM r v ASOF LEFT JOIN (SELECT * FROM r WHERE type = 'response') s
+    ON v.canonical = s.canonical AND v.moment > s.moment
+  WHERE v.type = 'revisit')
+SELECT record_id, page_id, type, canonical,
+       CASE WHEN canonical IS NULL THEN 'unresolvable' WHEN src IS NULL THEN 'no_earlier'
+            WHEN etag = src_etag THEN 'resolved' ELSE 'mismatch' END AS state,
+       CASE WHEN etag = src_etag THEN src END AS source_id,
+       CASE WHEN etag = src_etag THEN
+         'age: ' || wait || chr(10) || 'content-type: text/html' || chr(10) || 'etag: ' || etag END AS headers
+FROM j
+UNION ALL
+SELECT record_id, page_id, type, canonical, CASE WHEN canonical IS NULL THEN 'unresolvable' ELSE 'full' END,
+       CASE WHEN canonical IS NOT NULL THEN record_id END,
+       CASE WHEN canonical IS NOT NULL
+            THEN 'age: 0' || chr(10) || 'content-type: text/html' || chr(10) || 'etag: ' || etag END
+FROM r WHERE type = 'response'
+"""
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.op08_substring_dedup import drop_repeats
+    return drop_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
+SQL["op8_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, p, array_to_string(ws[p:p + 19], ' ') AS w
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS p FROM d)),
+late AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY w ORDER BY doc_id, p) AS n FROM g)
+         WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, p + o AS p FROM late, range(0, 20) t(o)),
+words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM d),
+kept AS (SELECT words.doc_id, string_agg(word, ' ' ORDER BY words.p) AS k
+         FROM words ANTI JOIN gone ON words.doc_id = gone.doc_id AND words.p = gone.p GROUP BY words.doc_id)
+SELECT d.doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) x ON d.doc_id = x.doc_id
+"""
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.op10_decontamination import find_leaks
+    return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+SQL["op10_decontamination"] = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM benchmark),
+ig AS (
+  SELECT DISTINCT item_id, k, array_to_string(ws[p:p + k - 1], ' ') AS g
+  FROM (SELECT item_id, ws, least(5, len(ws)) AS k, unnest(range(1, len(ws) - least(5, len(ws)) + 2)) AS p
+        FROM i WHERE len(ws) > 0)),
+size AS (SELECT item_id, count(*) AS n FROM ig GROUP BY item_id),
+dg AS (
+  SELECT DISTINCT doc_id, k, array_to_string(ws[p:p + k - 1], ' ') AS g
+  FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS p
+        FROM w, (SELECT DISTINCT k FROM ig) WHERE len(ws) >= k)),
+c AS (SELECT doc_id, item_id, count(*) AS n_common FROM dg JOIN ig USING (k, g) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n AS n_shingles, n_common, n_common / n::DOUBLE AS containment
+FROM c JOIN size USING (item_id) WHERE n_common * 5 >= n * 4
+"""
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_language_id": op2_language_id,
     "op3_sentencepiece": op3_sentencepiece,
+    "op5_warc": op5_warc,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_url_filters": op7_url_filters,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op10_decontamination": op10_decontamination,
 }
