@@ -183,6 +183,11 @@ LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) x ON d.doc_id
 """
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.op09_suffix_dedup import drop_repeated_bytes
+    return drop_repeated_bytes(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.op10_decontamination import find_leaks
     return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -218,5 +223,6 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_url_filters": op7_url_filters,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_decontamination": op10_decontamination,
 }
