@@ -1,8 +1,72 @@
-"""Corpus pipeline: documents in, clean encoded documents out."""
+"""Corpus pipeline: raw documents in, clean encoded documents out.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir), judges the documents its predecessor
+kept and returns those that stay; the last returns their encoding.  Every
+stage's result is written as Parquet in the shared folder and read again, so a
+lost executor repeats at most its part of one stage.
+
+Rows that share a doc_id and a text are one document (exact dedup keeps one of
+them).  Empty tables pass through every stage as empty tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docloom.llm.common import read_table, store
+from docloom.llm.queries import held_out, model_path
+
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language the model knows; without letters they go."""
+    from docloom.llm.op02_language_id import fit, keep_known
+    return keep_known(docs, fit(docs, ~held_out(), model_path()))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts: the longest, then the smallest id."""
+    from docloom.llm.op06_exact_dedup import grace_dedup
+    found = store(grace_dedup(docs), "dedup_decisions")
+    kept = found.filter("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n"))
+    repeated = not kept.filter("n > 1").isEmpty()
+    # an id may be kept with one text and dropped with another
+    from docloom.llm.op06_exact_dedup import normalised
+    keys = kept.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+    out = docs.join(keys, (docs["doc_id"] == keys["_id"]) & (F.sha2(normalised("text"), 256) == keys["_sha"]),
+                    "left_semi")
+    return out.dropDuplicates(["doc_id", "text"]) if repeated else out
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked shingle sets: the smallest id."""
+    from docloom.llm.op04_ngram_join import jaccard_components
+    found = jaccard_components(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_id"))
+    return docs.join(found, docs["doc_id"] == found["_id"], "left_semi")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    from docloom.llm.op10_decontamination import without_leaks
+    return without_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids and digests of the ids and of the decoded text."""
+    from docloom.llm.op03_sentencepiece import encode_docs
+    return encode_docs(docs, model_path(), keep_ids=True).drop("covered_bytes")
+
+
+STAGES = [("language ID", language), ("exact dedup", exact_dedup), ("n-gram Jaccard join", near_dedup),
+          ("benchmark decontamination", decontaminate), ("SentencePiece encoding", encode)]
+
+#: language ID and the encoder have no SQL form; the tests check run() against brute force
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = store(stage(spark, docs, sf_dir), f"stage{k}")
+    return docs

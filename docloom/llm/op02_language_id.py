@@ -22,9 +22,12 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.llm.common import chunks, store
+
 META = "▁"
 #: labelled texts per language that the model is fitted on (about; by hash of the id)
 FIT_DOCS_PER_LANGUAGE = 800
@@ -226,7 +229,6 @@ def fit(docs: DataFrame, learn_from: Column, model_path: str, id_col: str = "doc
     pairs = sample.mapInPandas(count, "word string, k int, n long")
     words = pairs.groupBy("word").agg(*[F.sum(F.when(F.col("k") == i, F.col("n")).otherwise(0)).alias(f"n{i}")
                                         for i in range(len(langs))])
-    from docloom.llm.common import store
     words = store(words, "language_words").repartition(max(2, spark.sparkContext.defaultParallelism))
     pieces = vocabulary(model_path)
     logp = np.log(np.full((len(pieces) + 1, len(langs)), 1.0 / (len(pieces) + 1)))
@@ -263,21 +265,38 @@ def _expected(words: DataFrame, pieces: list[str], logp: np.ndarray, n: int) ->
     return out
 
 
-def predict(docs: DataFrame, model: Model | None, keep: list[str], text_col: str = "text") -> DataFrame:
-    """Columns ``keep`` plus lang_pred, score and strange_share for every row."""
-    cols = [docs.schema[c] for c in keep]
-    shape = ", ".join([f"`{c.name}` {c.dataType.simpleString()}" for c in cols] +
-                      ["lang_pred string", "score double", "strange_share double"])
-    text = F.col(text_col).alias("_text")
+def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, lang_pred, score and strange_share (letters no piece covers) for every row."""
+    id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        score = model.scorer() if model else None
-        for pdf in batches:
-            size = pdf["_text"].str.len().fillna(0).to_numpy().cumsum()
-            for _, part in pdf.groupby((size // (4 << 20)).astype(np.int64), sort=True):
-                texts = part["_text"].fillna("").tolist()
-                got = score(texts) if score else pd.DataFrame(
-                    {"lang_pred": "und", "score": 0.0, "strange_share": 0.0}, index=range(len(texts)))
-                yield pd.concat([part[keep].reset_index(drop=True), got], axis=1)
-
-    return docs.select(*keep, text).mapInPandas(run, shape)
+        judge = _judge(model)
+        for batch, text in chunks(batches, "text"):
+            got = judge(text.to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(got["lang_pred"], pa.string()), pa.array(got["score"], pa.float64()),
+                 pa.array(got["strange_share"], pa.float64())], [id_col, "lang_pred", "score", "strange_share"])
+
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
+        run, f"{id_col} {id_type}, lang_pred string, score double, strange_share double")
+
+
+def keep_known(docs: DataFrame, model: Model | None, max_strange: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, whose text is in a language the model
+    knows: it has letters, and at most ``max_strange`` of them are letters that
+    no piece of the model covers."""
+    def run(batches):
+        judge = _judge(model)
+        for batch, text in chunks(batches, text_col):
+            got = judge(text.to_pylist())
+            ok = (got["lang_pred"] != "und") & (got["strange_share"] <= max_strange)
+            yield batch.filter(pa.array(ok.to_numpy(bool)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _judge(model: Model | None):
+    if model:
+        return model.scorer()
+    return lambda texts: pd.DataFrame({"lang_pred": "und", "score": 0.0, "strange_share": 0.0},
+                                      index=range(len(texts)))

@@ -125,12 +125,11 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], url_col: str
     a fitting rule the cascade finds no listed key and the verdict is allow."""
     host, path = host_path(url_col)
     lengths = [len(p) for _, _, p in rules] or [0]
-    # a key's parts may not be told apart by the joined text alone, so hash both lengths too
     judged = pages.withColumn("host", host).withColumn("path", path)
     keys = url_keys(F.col("host"), F.col("path"), lengths)
     judged = judged.withColumn("_keys", keys).withColumn(
         "_hashes", F.transform("_keys", lambda k: F.xxhash64(k)))
-    universe = judged.select(F.explode("_hashes").alias("k")).distinct()
+    universe = store(judged.select(F.explode("_hashes").alias("k")).distinct(), "url_keys")
     spark = pages.sparkSession
     rows = [(f"{h.lower()}{p}", a) for a, h, p in rules]
     hashed = spark.createDataFrame(rows or [("", "allow")], "rule string, action string").select(

@@ -38,7 +38,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.op02_language_id import fit, predict
     docs = read_table(spark, sf_dir, "documents")
     model = fit(docs, ~held_out(), model_path())
-    return predict(docs, model, ["doc_id"]).select(
+    return predict(docs, model).select(
         "doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
@@ -91,6 +91,32 @@ SELECT p.page_id, host, path, rule, coalesce(action, 'allow') AS verdict
 FROM p LEFT JOIN fit ON p.page_id = fit.page_id AND n = 1
 """
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.op04_ngram_join import jaccard_components
+    return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
+SQL["op4_ngram_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[p:p + k - 1], ' ') AS s
+  FROM (SELECT doc_id, ws, least(4, len(ws)) AS k, unnest(range(1, len(ws) - least(4, len(ws)) + 2)) AS p
+        FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y ON x.s = y.s AND x.doc_id <> y.doc_id
+      GROUP BY 1, 2),
+links AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+          WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, m AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) r ON r.a = d.doc_id
+"""
+
+
 #: a page is asked for again within this many fetches
 REFETCH_SPAN = 5000
 
@@ -219,6 +245,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_ngram_join": op4_ngram_join,
     "op5_warc": op5_warc,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_url_filters": op7_url_filters,
