@@ -115,7 +115,7 @@ class Powers:
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            m = max(n, 2 * len(self.up))
+            m = n + (1 << 16)
             for name, b in (("up", self.base), ("down", self.inv)):
                 a = np.full(m, b, np.uint64)
                 a[0] = 1
@@ -163,8 +163,17 @@ def split_words(raw: np.ndarray, offs: np.ndarray, gap: np.ndarray):
 
 
 def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, powers: Powers) -> np.ndarray:
-    s = prefix_hash(raw.astype(np.uint64) + U64(1), powers)
-    return span_hash(s, start, end, powers)
+    return span_hash(byte_prefix(raw, powers), start, end, powers)
+
+
+def byte_prefix(raw: np.ndarray, powers: Powers) -> np.ndarray:
+    """prefix_hash of bytes, in place where it can be."""
+    v = np.empty(len(raw) + 1, np.uint64)
+    v[0] = 0
+    v[1:] = raw
+    v[1:] += U64(1)
+    v[1:] *= powers.get(len(raw) + 1)[0][:len(raw)]
+    return np.cumsum(v, out=v)
 
 
 def gram_starts(first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from docloom.llm.anchors import Bitmap, anchor_places, bucket_bits, repeated_anchors, window_anchors
-from docloom.llm.common import (BYTE_BASE, U64, Powers, as_text, buffers, chunks, prefix_hash, span_hash, store,
+from docloom.llm.common import (BYTE_BASE, U64, Powers, as_text, buffers, byte_prefix, chunks, span_hash, store,
                                 text_bytes)
 from docloom.llm.op08_substring_dedup import _frames, keyed
 
@@ -115,7 +115,7 @@ class Windows:
     def read(self, text: pa.Array) -> None:
         self.raw, self.offs = buffers(text)
         n = len(self.raw)
-        s = prefix_hash(self.raw.astype(np.uint64) + U64(1), self.powers)
+        s = byte_prefix(self.raw, self.powers)
         at = np.arange(max(0, n - self.gram + 1))
         self.grams = span_hash(s, at, at + self.gram, self.powers)
         size = max(0, n - self.window + 1)
