@@ -77,14 +77,3 @@ def parse_user_date(text) -> Column:
     """'yyyy-MM-dd' or 'yyyyMMdd' -> DATE; anything else -> NULL."""
     t = F.trim(_c(text))
     return F.coalesce(F.try_to_date(t, "yyyy-MM-dd"), F.try_to_date(t, "yyyyMMdd"))
-
-
-def season_window_literal(season: int, start=None, end=None):
-    """The same resolution as ``season_bounds`` for driver-side parameters
-    (used to build partition filters that Spark can prune with)."""
-    import datetime as _dt
-    first = _dt.date(season - 1, SEASON_START_MONTH, SEASON_START_DAY)
-    last = _dt.date(season, SEASON_END_MONTH, SEASON_END_DAY)
-    s = start or first
-    e = end if end is not None else (last if s == first else s)
-    return s, e

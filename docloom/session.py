@@ -27,17 +27,23 @@ SESSION_CONF = {
 }
 
 
-def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "docloom", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+    """A session with this package's settings.  Master and shuffle partitions
+    are set only if the caller names them, so spark-submit's stay in force."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in SESSION_CONF.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if spark.sparkContext.master.startswith("local"):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -51,10 +57,12 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder; only set one where it is unset
-    (local runs and tests)."""
+    """The configured checkpoint folder.  Where it is unset, a local session gets
+    a folder of its own; on a cluster that is an error, as executors share none."""
     d = checkpoint_dir(spark)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="docloom-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)

@@ -2,9 +2,9 @@
 
 A file stream over ``<landing>/resource=<name>/`` picks up only documents
 not seen before (the checkpoint remembers processed files).  Each micro-batch
-is parsed, stamped and appended under ``load_id = <stream>-<batch id>`` with
-dynamic partition overwrite: if a batch is replayed after a failure it
-rewrites exactly its own partitions, so the table holds every document once.
+is parsed, stamped and appended under ``load_id = <stream>-<batch id>``: a batch
+replayed after a failure takes the place of its earlier attempt, so the table
+holds every document once.
 ``trigger(availableNow=True)`` processes what is there and stops, which is
 how a daily or polled load runs.
 """
@@ -15,10 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docloom.sources.landing import parse_landed
+from docloom.sources.landing import documents, parse_landed, rejects
 from docloom.operators.load import append_load
 from docloom.operators.nested import stamp
-from docloom.session import ensure_checkpoint_dir
 
 
 def landed_stream(spark: SparkSession, landing: str, resource: str,
@@ -36,20 +35,26 @@ def start_ingest(spark: SparkSession, landing: str, resource: str, context: list
                  checkpoint: str | None = None, cluster_by: list[str] | None = None,
                  available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental load of one resource; returns the query (call
-    ``awaitTermination()`` on it)."""
+    ``awaitTermination()`` on it).  Progress is kept beside the tables, in
+    ``<out_root>/_streams/<stream name>``, so another application goes on where
+    this one ended."""
     table = table or resource
     name = stream_name or f"ingest-{table}"
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    ckpt = checkpoint or f"{out_root.rstrip('/')}/_streams/{name}"
     cluster = list(cluster_by if cluster_by is not None else context)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        docs = parse_landed(batch, context)
+        parsed = parse_landed(batch, context)
+        docs = documents(parsed)
         for k in context:
             docs = docs.withColumnRenamed(k, f"request_{k}")
         docs = stamp(docs, "doc", {k: F.col(f"request_{k}") for k in context})
         append_load(docs, out_root, table, f"{name}-{batch_id:010d}",
                     cluster_by=[f"request_{k}" for k in cluster])
+        append_load(rejects(parsed), out_root, f"{table}_rejects", f"{name}-{batch_id:010d}")
 
+    # a repeated key keeps its last value, whatever session this runs in
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     w = (landed_stream(spark, landing, resource, max_files_per_trigger).writeStream
          .queryName(name).option("checkpointLocation", ckpt).foreachBatch(load_batch))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

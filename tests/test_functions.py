@@ -95,13 +95,3 @@ def test_stat_text(spark):
     got = df.select(clock_seconds("c").alias("c"), signed_int("s").alias("s"),
                     made.alias("a"), att.alias("b")).collect()
     assert [tuple(r) for r in got] == [(2145, 15, 45, 89), (None, -3, 7, None), (None, 12, None, None)]
-
-
-def test_pruning_bounds_agree_with_spark_window(spark):
-    from docloom.functions.dates import season_window_literal
-    days = [None, dt.date(2024, 10, 1), dt.date(2024, 12, 25), dt.date(2025, 6, 30), dt.date(2025, 8, 1)]
-    cases = [(2025, a, b) for a in days for b in days]
-    df = spark.createDataFrame(cases, "s int, a date, b date")
-    s, e = season_bounds(F.col("s"), F.col("a"), F.col("b"))
-    got = [(r.s, r.e) for r in df.select(s.alias("s"), e.alias("e")).collect()]
-    assert got == [season_window_literal(*c) for c in cases]
