@@ -57,6 +57,8 @@ def run_arguments(argv: list[str]) -> dict:
     a = build_parser().parse_args(argv)
     tables = None if not a.tables else [t for t in a.tables.split(",")]
     if tables is not None:
+        if not all(t.strip() for t in tables):
+            raise SystemExit(f"an empty name in {a.tables!r}; available: {', '.join(sorted(RESOURCES))}")
         bad = unknown_resources(tables)
         if bad:
             raise SystemExit(f"unknown tables: {', '.join(bad)}; available: {', '.join(sorted(RESOURCES))}")
@@ -74,12 +76,18 @@ def run_arguments(argv: list[str]) -> dict:
         if a.season_schedule is not None:
             if tables is not None and "scoreboard" not in (normalize_names(tables) or set()):
                 print("warning: --tables excludes the schedule; loading it anyway", file=sys.stderr)
+            if start or end:
+                print("warning: a season schedule is the whole season; --start and --end are ignored", file=sys.stderr)
+                start = end = None
             sel = ["scoreboard"]
         else:
             sel = tables
         kw.update(season=season, start=start, end=end, tables=sel)
     elif a.reference:
         sel = normalize_names(tables) if tables is not None else {"teams", "rosters"}
+        if sel - {"teams", "rosters"}:
+            print(f"warning: not reference tables, ignored: {', '.join(sorted(sel - {'teams', 'rosters'}))}",
+                  file=sys.stderr)
         kw.update(season=DEFAULT_SEASON, tables=sorted(sel & {"teams", "rosters"}))
     else:
         kw.update(season=DEFAULT_SEASON, tables=tables)

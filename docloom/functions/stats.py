@@ -24,7 +24,13 @@ def signed_int(text) -> Column:
 
 
 def made_attempted(text) -> tuple[Column, Column]:
-    """'45-89' -> (45, 89); missing parts -> NULL."""
-    parts = F.split(_c(text), "-")
-    return ((F.try_element_at(parts, F.lit(1))).try_cast("bigint"),
-            (F.try_element_at(parts, F.lit(2))).try_cast("bigint"))
+    """'45-89' -> (45, 89); '7-' -> (7, NULL); any other text, '-5' too -> NULLs."""
+    t = _c(text)
+    pair = t.rlike(r"^\d+-\d*$")
+    return (F.when(pair, F.split_part(t, F.lit("-"), F.lit(1))).try_cast("bigint"),
+            F.when(pair, F.split_part(t, F.lit("-"), F.lit(2))).try_cast("bigint"))
+
+
+def plain_number(text) -> Column:
+    """'50.6' -> 50.6, '-5' -> -5.0, '+3' -> 3.0; a pair or other text -> NULL."""
+    return F.trim(_c(text)).try_cast("double")

@@ -1,28 +1,26 @@
-"""Row-local operators on arrays inside one document: pairing two sides of
-a list and turning a name/value list into columns.  Both work inside each
-row with higher-order functions -- no join, no shuffle, no all-pairs."""
+"""Pairing two sides of a list, and name/value lists as columns (inside each
+row with higher-order functions: no join, no shuffle)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions.json import vstr
 
 
-def pair_sides(df: DataFrame, items: Column, side_path: str, left: str, right: str,
-               keep: list[Column], out: tuple[str, str, str] = ("pair", "l", "r")) -> DataFrame:
-    """Q3: pair the k-th ``left`` item with the k-th ``right`` item of each
-    row's array (items whose ``side_path`` is ``left`` / ``right``).  A row
-    without one of the sides gives no pair; extra items on one side stay
-    unpaired rather than forming all combinations."""
-    side = lambda name: F.filter(items, lambda c: vstr(c, side_path) == name)
+def pair_sides(rows: DataFrame, group: list[str], side: str, left: str, right: str, order: list[str],
+               values: list[str], out: tuple[str, str, str] = ("pair", "l", "r")) -> DataFrame:
+    """Q3: pair the k-th ``left`` row with the k-th ``right`` row of each group,
+    k counted over the whole group in ``order``.  Rows without a counterpart
+    come out with NULL on the other side; nothing is multiplied and nothing lost."""
     pos, lcol, rcol = out
-    z = df.select(*keep, F.posexplode(F.arrays_zip(side(left).alias(lcol), side(right).alias(rcol)))
-                  .alias(pos, "_p"))
-    return z.where(F.col(f"_p.{lcol}").isNotNull() & F.col(f"_p.{rcol}").isNotNull()) \
-        .select(*[c for c in z.columns if c != "_p"], F.col(f"_p.{lcol}").alias(lcol),
-                F.col(f"_p.{rcol}").alias(rcol))
+    k = F.row_number().over(Window.partitionBy(*group, side).orderBy(*order)) - 1
+    ranked = rows.where(F.col(side).isin(left, right)).withColumn(pos, k)
+    value = F.struct(*values)
+    return ranked.groupBy(*group, pos).agg(
+        F.any_value(F.when(F.col(side) == left, value), ignoreNulls=True).alias(lcol),
+        F.any_value(F.when(F.col(side) == right, value), ignoreNulls=True).alias(rcol))
 
 
 def name_value_columns(stats: Column, names: list[str], name_path: str = "$.name",

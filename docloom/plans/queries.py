@@ -9,14 +9,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docloom.functions.json import truthy, varr, vdouble, vlong, vpath, vstr
+from docloom.functions.json import top_keys, truthy, varr, vdouble, vlong, vpath, vstr
 from docloom.operators import requests as rq
 from docloom.operators.chain import chain, missing_documents, skipped_groups
 from docloom.operators.load import upsert, latest
-from docloom.operators.nested import key_census, path_rows
+from docloom.operators.nested import path_rows
 from docloom.operators.pairs import name_value_columns, pair_sides, require_all
 from docloom.plans import resources as rs
 from docloom.sources.tables import load_table
@@ -217,46 +217,52 @@ def skipped_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------ Q1..Q7
 def games_of_day(spark: SparkSession, sf_dir: str, day: str = "19970315") -> DataFrame:
     """Q1: the games of one day (a filter on the request day column)."""
-    ev = path_rows(rs.scoreboard(spark, sf_dir).where(F.col("request_date") == day),
-                   "$.events", "doc", "event")
+    ev = path_rows(rs.scoreboard(spark, sf_dir, dt.datetime.strptime(day, "%Y%m%d").date())
+                   .where(F.col("request_date") == day), "$.events", "doc", "event")
     return ev.select(F.col("request_date").alias("date"), vstr("event", "$.uid").alias("uid"),
                      vstr("event", "$.name").alias("name"),
                      vstr("event", "$.status.type.description").alias("status"))
 
 
 def first_event_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q2: the first event of each scoreboard document (``get``, NULL when
-    empty), then its summary: number of lines and total quantity."""
+    """Q2: the first event of each day, over all of the day's documents, then
+    its summary: number of lines and total quantity.  The first event of each
+    document is a bounded candidate; the day's first is the least of them."""
     sb = rs.scoreboard(spark, sf_dir)
-    first = sb.select(F.col("request_date").alias("date"), "page",
-                      F.get(varr("doc", "$.events"), 0).alias("event"))
-    ids = first.where(truthy(vpath("event", "$.id"))).select(
-        "date", "page", vstr("event", "$.id").alias("event_id"))
-    docs = rs.summary_docs(spark, sf_dir).drop("page", "event_id", "ingested_at")
+    first = sb.select(F.col("request_date").alias("date"), F.get(varr("doc", "$.events"), 0).alias("event"))
+    first = first.select("date", F.regexp_extract(vstr("event", "$.uid"), r"~e:(\d+)$", 1).cast("bigint").alias("n"),
+                         truthy(vpath("event", "$.id")).alias("ok"), vstr("event", "$.id").alias("event_id"))
+    ids = first.groupBy("date").agg(F.min_by(F.struct("ok", "event_id"), "n").alias("e")) \
+        .where("e.ok").select("date", F.col("e.event_id").alias("event_id"))
+    only = ids.select(F.col("event_id").cast("bigint").alias("o_orderkey"))
+    docs = rs.summary_docs(spark, sf_dir, only).drop("page", "event_id", "ingested_at")
     lines = path_rows(chain(ids, docs, "event_id", "request_event_id"), "$.lines", "doc", "line")
-    return lines.groupBy("date", "page", "event_id").agg(
+    return lines.groupBy("date", "event_id").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.round(F.sum(vdouble("line", "$.qty")), 2).alias("sum_qty"))
 
 
 def home_away_board(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q3: home and away sides of each event entry.
+    """Q3: home and away sides of each event, whatever documents and entries
+    they came in.
 
-    Pairs are made by position inside the entry (k-th home with k-th away);
-    an entry without a home or an away gives no row.  This equals the
-    documented home x away product whenever an entry has one of each, and
-    never emits all pairs of a crowded entry."""
+    Pairs are made by position in the whole event (k-th home with k-th away, in
+    the order of team, score and linescores); a side without a counterpart is
+    kept with NULLs.  This equals the documented home x away product whenever
+    an event has one of each, and never emits all pairs of a crowded one."""
     ev = path_rows(rs.board(spark, sf_dir), "$.events", "doc", "event")
-    p = pair_sides(ev, varr("event", "$.competitions[0].competitors"), "$.homeAway", "home", "away",
-                   [vstr("event", "$.id").alias("event_id"),
-                    vstr("event", "$.status.type.description").alias("status")],
-                   ("pair", "h", "a"))
-    return p.select(
-        "event_id", "status", F.col("pair").cast("int").alias("pair"),
-        vstr("h", "$.team.displayName").alias("home_team"),
-        vstr("h", "$.score").try_cast("int").alias("home_score"),
-        vstr("a", "$.team.displayName").alias("away_team"),
-        vstr("a", "$.score").try_cast("int").alias("away_score"))
+    c = path_rows(ev.select(vstr("event", "$.id").alias("event_id"),
+                            vstr("event", "$.status.type.description").alias("status"),
+                            vpath("event", "$.competitions[0]").alias("comp")), "$.competitors", "comp", "c")
+    c = c.select("event_id", "status", vstr("c", "$.homeAway").alias("side"),
+                 vlong("c", "$.team.id").alias("team_id"), vstr("c", "$.team.displayName").alias("team"),
+                 vstr("c", "$.score").try_cast("int").alias("score"),
+                 F.transform(varr("c", "$.linescores"), lambda x: vlong(x, "$.value")).alias("ls"))
+    p = pair_sides(c, ["event_id", "status"], "side", "home", "away", ["team_id", "score", "ls"],
+                   ["team", "score"], ("pair", "h", "a"))
+    return p.select("event_id", "status", F.col("pair").cast("int").alias("pair"),
+                    F.col("h.team").alias("home_team"), F.col("h.score").alias("home_score"),
+                    F.col("a.team").alias("away_team"), F.col("a.score").alias("away_score"))
 
 
 def standings_key_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,34 +281,43 @@ def standings_key_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_five_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q5: the first five transactions of each document in array order."""
+    """Q5: the first five transactions of each supplier over all its documents:
+    five of each document are candidates (they are sorted inside), the least
+    five of those are the answer."""
     t = rs.transactions_docs(spark, sf_dir)
-    first5 = F.slice(varr("doc", "$.transactions"), 1, 5)
-    x = t.select("supplier", "page", F.posexplode(first5).alias("pos", "tx"))
-    return x.select("supplier", "page", F.col("pos").cast("int").alias("pos"),
-                    vstr("tx", "$.date").alias("date"),
-                    vstr("tx", "$.description").alias("description"),
-                    vstr("tx", "$.team.displayName").alias("team"))
+    x = t.select("supplier", F.explode(F.slice(varr("doc", "$.transactions"), 1, 5)).alias("tx"))
+    text = vstr("tx", "$.description")
+    x = x.select("supplier", vstr("tx", "$.date").alias("date"), text.alias("description"),
+                 vstr("tx", "$.team.displayName").alias("team"),
+                 F.transform(F.regexp_extract_all(text, F.lit(r"(\d+)")), lambda n: n.cast("bigint")).alias("n"))
+    # order: date, then order, line, part and quantity as numbers, then flag ('R' has no team)
+    n = [F.get("n", i) for i in (0, 1, 3, 2)]
+    w = Window.partitionBy("supplier").orderBy("date", *n, F.coalesce("team", F.lit("Flag R")))
+    return x.withColumn("pos", F.row_number().over(w) - 1).where("pos < 5").select(
+        "supplier", F.col("pos").cast("int").alias("pos"), "date", "description", "team")
 
 
 def scoreboard_key_census(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q6: top-level keys of the scoreboard documents with document counts."""
-    return key_census(rs.scoreboard(spark, sf_dir), "doc")
+    """Q6: top-level keys of the scoreboard documents with the number of days
+    whose documents hold them."""
+    keys = rs.scoreboard(spark, sf_dir).select("request_date", F.explode(top_keys("doc")).alias("key")).distinct()
+    return keys.groupBy("key").agg(F.count(F.lit(1)).alias("n_days"))
 
 
 def table_census(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q7: one row per loaded table with its row count (teams are rows of the
-    teams path; the other resources one row per document)."""
+    """Q7: one row per loaded table with its number of requests answered (days,
+    teams, rosters, summaries), however many documents an answer came in."""
     parts = [
-        rs.teams(spark, sf_dir).select(F.lit("teams").alias("table_name")),
-        rs.rosters(spark, sf_dir).select(F.lit("rosters").alias("table_name")),
-        rs.scoreboard(spark, sf_dir).select(F.lit("scoreboard").alias("table_name")),
-        rs.game_summary(spark, sf_dir).select(F.lit("game_summary").alias("table_name")),
+        rs.teams(spark, sf_dir).select(F.lit("teams").alias("table_name"), vstr("team", "$.team.id").alias("k")),
+        rs.rosters(spark, sf_dir).select(F.lit("rosters"), F.col("request_team_id")),
+        rs.scoreboard(spark, sf_dir).select(F.lit("scoreboard"), F.col("request_date")),
+        rs.game_summary(spark, sf_dir).select(F.lit("game_summary"),
+                                              F.concat_ws("|", "request_date", "request_event_id")),
     ]
     u = parts[0]
     for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
+        u = u.union(p)
+    return u.distinct().groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 # ------------------------------------------------------------ O16, V11

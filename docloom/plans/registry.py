@@ -51,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "team_box": v.team_box,
     "player_box": v.player_box,
     "player_stats_kv": v.player_stats_kv,
+    "player_stats_list": v.player_stats_list,
     "roster_players": v.roster_players,
     "player_injuries": v.player_injuries,
     "player_contracts": v.player_contracts,
@@ -67,6 +68,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_rosters_load": ld.merge_rosters_load,
     "load_run_report": ld.load_run_report,
     "season_run_tables": ld.season_run_tables,
+    "failed_run_recovery": ld.failed_run_recovery,
+    "schema_over_loads": ld.schema_over_loads,
+    "rejected_documents": ld.rejected_documents,
     # streaming
     "incremental_scoreboard_load": ld.incremental_scoreboard_load,
 }

@@ -27,8 +27,9 @@ def _parsed(df: DataFrame, context: list[str]) -> DataFrame:
     return stamp(p, "doc", {k: F.col(f"request_{k}") for k in context}).drop("body")
 
 
-def scoreboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _parsed(fx.day_docs(spark, sf_dir), ["date"])
+def scoreboard(spark: SparkSession, sf_dir: str, day=None) -> DataFrame:
+    """``day`` limits the documents to one day before they are built."""
+    return _parsed(fx.day_docs(spark, sf_dir, day=day), ["date"])
 
 
 def board(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,8 +49,8 @@ def roster_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parsed(fx.roster_docs(spark, sf_dir), ["team_id"])
 
 
-def summary_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _parsed(fx.event_docs(spark, sf_dir), ["event_id"])
+def summary_docs(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
+    return _parsed(fx.event_docs(spark, sf_dir, only=only), ["event_id"])
 
 
 def standings_docs(spark: SparkSession, sf_dir: str) -> DataFrame:

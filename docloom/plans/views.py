@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from docloom.functions.dates import parse_iso_instant
 from docloom.functions.json import varr, vbool, vdouble, vlong, vpath, vstr
-from docloom.functions.stats import clock_seconds, made_attempted, signed_int
+from docloom.functions.stats import clock_seconds, made_attempted, plain_number, signed_int
 from docloom.operators.nested import path_rows
+from docloom.operators.pairs import name_value_columns
 from docloom.plans import resources as rs
 
 # Status type id -> game state.
@@ -21,7 +22,8 @@ LOCAL_ZONE = "America/New_York"
 
 def games(spark: SparkSession, sf_dir: str, zone: str = LOCAL_ZONE) -> DataFrame:
     """V1: one row per scoreboard event: uid parts, state decoded from the
-    status id, start time in UTC and in a local zone."""
+    status id, start time in UTC and in a local zone, and its first
+    competition's id, date, flags and venue."""
     ev = rs.scoreboard_events(spark, sf_dir)
     uid = F.str_to_map(vstr("event", "$.uid"), F.lit("~"), F.lit(":"))
     state = F.create_map(*[x for k, v in STATE_BY_STATUS_ID.items() for x in (F.lit(k), F.lit(v))])
@@ -33,7 +35,13 @@ def games(spark: SparkSession, sf_dir: str, zone: str = LOCAL_ZONE) -> DataFrame
         vbool("event", "$.status.type.completed").alias("completed"),
         F.date_format(start, "yyyy-MM-dd HH:mm").alias("start_utc"),
         F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(zone), start),
-                      "yyyy-MM-dd HH:mm").alias("start_local"))
+                      "yyyy-MM-dd HH:mm").alias("start_local"),
+        vstr("event", "$.competitions[0].id").alias("competition_id"),
+        F.date_format(parse_iso_instant(vstr("event", "$.competitions[0].date")), "yyyy-MM-dd HH:mm:ss")
+         .alias("competition_utc"),
+        vbool("event", "$.competitions[0].neutralSite").alias("neutral_site"),
+        vbool("event", "$.competitions[0].conferenceCompetition").alias("conference"),
+        vstr("event", "$.competitions[0].venue.fullName").alias("venue"))
 
 
 def _competitors(spark, sf_dir) -> DataFrame:
@@ -62,56 +70,67 @@ def linescores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def team_box(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V4: team statistics of each summary as rows; 'made-attempted' text is
-    split into two numbers."""
+    """V4: team statistics of each event, added up over its documents:
+    'made-attempted' text is split into two numbers, any other number (decimal
+    or negative too) is the value."""
     t = path_rows(rs.summary_docs(spark, sf_dir), "$.boxscore.teams", "doc", "t")
     s = path_rows(t, "$.statistics", "t", "s")
     made, att = made_attempted(vstr("s", "$.displayValue"))
-    return s.select(F.col("request_event_id").alias("event_id"), "page",
-                    vstr("t", "$.team.abbreviation").alias("team"),
-                    vstr("s", "$.name").alias("stat_name"),
-                    F.when(vstr("s", "$.displayValue").contains("-"), made).alias("made"),
-                    F.when(vstr("s", "$.displayValue").contains("-"), att).alias("attempted"),
-                    F.when(~vstr("s", "$.displayValue").contains("-"),
-                           signed_int(vstr("s", "$.displayValue"))).alias("value"))
+    s = s.select(F.col("request_event_id").alias("event_id"),
+                 vstr("t", "$.team.abbreviation").alias("team"), vstr("s", "$.name").alias("stat_name"),
+                 made.alias("made"), att.alias("attempted"), plain_number(vstr("s", "$.displayValue")).alias("value"))
+    return s.groupBy("event_id", "team", "stat_name").agg(
+        F.sum("made").alias("made"), F.sum("attempted").alias("attempted"), F.round(F.sum("value"), 2).alias("value"))
 
 
 def _athletes(spark, sf_dir) -> DataFrame:
-    d = rs.summary_docs(spark, sf_dir).select(
-        F.col("request_event_id").alias("event_id"),
-        vpath("doc", "$.boxscore.players[0].statistics[0]").alias("box"))
-    return path_rows(d, "$.athletes", "box", "a")
+    """One row per athlete of every side and statistics group; only the labels
+    travel with it, not the group."""
+    p = path_rows(rs.summary_docs(spark, sf_dir).select(F.col("request_event_id").alias("event_id"), "doc"),
+                  "$.boxscore.players", "doc", "p")
+    g = path_rows(p.select("event_id", vstr("p", "$.side").alias("side"), "p"), "$.statistics", "p", "g")
+    g = g.select("event_id", "side", F.transform(varr("g", "$.labels"), lambda x: vstr(x)).alias("labels"),
+                 varr("g", "$.athletes").alias("athletes"))
+    a = g.select("event_id", "side", "labels", F.explode("athletes").alias("a"))
+    return a.select("event_id", "side", "labels", vstr("a", "$.athlete.id").alias("athlete_id"),
+                    F.transform(varr("a", "$.stats"), lambda x: vstr(x)).alias("stats"))
 
 
 def player_box(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V5: labels zipped with each athlete's stats; when the stats are shorter
-    than the labels the missing values are NULL (a map would raise)."""
+    """V5: labels zipped with each athlete's stats, of both sides; where one of
+    the two is shorter the other's entries come with NULL (a map would raise)."""
     a = _athletes(spark, sf_dir)
-    labels = F.transform(varr("box", "$.labels"), lambda x: vstr(x))
-    stats = F.transform(varr("a", "$.stats"), lambda x: vstr(x))
-    z = a.select("event_id", vstr("a", "$.athlete.id").alias("athlete_id"),
-                 F.inline(F.arrays_zip(labels.alias("label"), stats.alias("value"))))
-    return z.where(F.col("label").isNotNull())
+    return a.select("event_id", "side", "athlete_id",
+                    F.inline(F.arrays_zip(F.col("labels").alias("label"), F.col("stats").alias("value"))))
 
 
 def player_stats_kv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V6: one row per athlete with typed stats: points, field goals
-    made/attempted, signed plus-minus and minutes as seconds.  The label and
-    stat arrays are materialised once per row; each stat is then a positional
-    lookup (``get`` gives NULL when a label has no value)."""
-    a = _athletes(spark, sf_dir).select(
-        "event_id", vstr("a", "$.athlete.id").alias("athlete_id"),
-        F.transform(varr("box", "$.labels"), lambda x: vstr(x)).alias("labels"),
-        F.transform(varr("a", "$.stats"), lambda x: vstr(x)).alias("stats"))
+    """V6 on parallel arrays: one row per athlete with typed stats: points,
+    field goals made/attempted, signed plus-minus and minutes as seconds, by
+    positional lookup (``get`` gives NULL when a label has no value)."""
+    a = _athletes(spark, sf_dir)
     stat = lambda n: F.get("stats", F.array_position("labels", n) - 1)
     made, att = made_attempted(stat("FG"))
-    return a.select("event_id", "athlete_id",
+    return a.select("event_id", "side", "athlete_id",
                     signed_int(stat("PTS")).alias("pts"),
                     made.alias("fg_made"), att.alias("fg_att"),
                     signed_int(stat("+/-")).alias("plus_minus"),
                     clock_seconds(stat("MIN")).alias("min_seconds"))
 
 
+def player_stats_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V6 on the documented name/value list: clock text as seconds, points,
+    signed plus-minus; a stat that is not listed is NULL."""
+    a = path_rows(rs.summary_docs(spark, sf_dir).select(F.col("request_event_id").alias("event_id"), "doc"),
+                  "$.playerStats", "doc", "a")
+    minutes, points, plus = name_value_columns(varr("a", "$.stats"), ["minutes", "points", "plusMinus"],
+                                               value_type="string")
+    return a.select("event_id", vstr("a", "$.athlete.id").alias("athlete_id"),
+                    vstr("a", "$.team.displayName").alias("team"),
+                    clock_seconds(minutes).alias("min_seconds"), signed_int(points).alias("pts"),
+                    signed_int(plus).alias("plus_minus"))
+
+
 def roster_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V7: athletes of every roster document with the team id stamped."""
     r = path_rows(rs.roster_docs(spark, sf_dir), "$.athletes", "doc", "a")
@@ -155,10 +174,11 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def standings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Standings entries of the first child group, one row per stat."""
-    e = path_rows(rs.standings_docs(spark, sf_dir), "$.children[0].standings.entries", "doc", "e")
-    s = path_rows(e, "$.stats", "e", "s")
-    return s.select(vstr("e", "$.team.id").alias("team_id"), vstr("s", "$.name").alias("stat_name"),
+    """Standings entries of all child groups, one row per stat."""
+    g = path_rows(rs.standings_docs(spark, sf_dir).select("doc"), "$.children", "doc", "g")
+    e = path_rows(g.select(vstr("g", "$.name").alias("group_name"), "g"), "$.standings.entries", "g", "e")
+    s = path_rows(e.select("group_name", "e"), "$.stats", "e", "s")
+    return s.select("group_name", vstr("e", "$.team.id").alias("team_id"), vstr("s", "$.name").alias("stat_name"),
                     vdouble("s", "$.value").alias("value"))
 
 

@@ -91,6 +91,10 @@ def packed_key(*parts: Column) -> Column:
 
 
 # -------------------------------------------------------------- paging
+def row_hash(*cols: Column) -> Column:
+    return F.xxhash64(*cols)
+
+
 def _field(name: str):
     return lambda x: x[name]
 
@@ -104,7 +108,8 @@ def nest_pages(df: DataFrame, group_cols: list[str], page_key: Column, sort_key:
     array text per entry of ``items`` (a single Column gives ``items``), each
     sorted by ``sort_key``, plus optional typed aggregates of the page.  The
     number of pages of a group is ceil(count / page_size); a row goes to page
-    ``pmod(page_key, pages)``.  Counting is a partial (map-side) aggregate;
+    ``pmod(page_key, pages)``; ``page_key`` must tell the rows of a group apart
+    (a unique key, or ``row_hash`` of the whole sort key).  Counting is a partial (map-side) aggregate;
     the count table joins back on the group key, so AQE broadcasts it when
     small and splits skewed keys when not.
     """
@@ -114,8 +119,10 @@ def nest_pages(df: DataFrame, group_cols: list[str], page_key: Column, sort_key:
     rows = df.withColumn("_pk", page_key).withColumn("_sk", sort_key)
     for n in names:
         rows = rows.withColumn(f"_js_{n}", items[n])
-    counts = rows.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    paged = rows.join(counts, group_cols).withColumn(
+    counts = rows.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")).select(
+        *[F.col(c).alias(f"_g_{c}") for c in group_cols], "_n")
+    same = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in group_cols]  # a NULL group is a group
+    paged = rows.join(counts, same).drop(*[f"_g_{c}" for c in group_cols]).withColumn(
         "page", F.pmod(F.col("_pk"),
                        F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(page_size)))).cast("int"))
     # Shuffle on (group, page), not on the group alone: when the count table is
@@ -183,13 +190,15 @@ def _day_payload(day: Column, season: Column, events_json: Column) -> Column:
         clash)
 
 
-def day_docs(spark: SparkSession, sf_dir: str, page_size: int = EVENTS_PER_DOC) -> DataFrame:
+def day_docs(spark: SparkSession, sf_dir: str, page_size: int = EVENTS_PER_DOC, day=None) -> DataFrame:
     """Scoreboard per day (from orders): ``resource, date, page, body``.
 
     Events: id (see ``event_id_json``), uid, date, name, shortName, status,
-    total.  Events of a page are sorted by order key.
+    total, competitions (one: id, date, two flags, venue).  Events of a page are sorted by order key.
     """
     o = load_table(spark, sf_dir, "orders")
+    if day is not None:  # a range on the raw column, so it reaches the scan
+        o = o.where((F.col("o_orderdate") >= F.lit(day)) & (F.col("o_orderdate") < F.date_add(F.lit(day), 1)))
     ev = o.select(
         F.to_date("o_orderdate").alias("day"),
         F.col("o_orderkey"),
@@ -200,7 +209,14 @@ def day_docs(spark: SparkSession, sf_dir: str, page_size: int = EVENTS_PER_DOC)
                                       F.lit(" at Order "), F.col("o_orderkey").cast("string")))),
              kv("shortName", jstr(F.col("o_orderpriority"))),
              kv("status", _status_obj(status_id_of(F.col("o_orderstatus")))),
-             kv("total", jnum(F.col("o_totalprice")))).alias("ev"))
+             kv("total", jnum(F.col("o_totalprice"))),
+             kv("competitions", jarr_of(F.array(jobj(
+                 kv("id", jstr(F.concat(F.lit("c"), F.col("o_orderkey").cast("string")))),
+                 kv("date", jstr(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"))),
+                 kv("neutralSite", jbool(F.col("o_orderstatus") == "P")),
+                 kv("conferenceCompetition", jbool(F.col("o_custkey") % 2 == 0)),
+                 kv("venue", jobj(kv("fullName", jstr(F.concat(F.lit("Arena "), F.col("o_custkey").cast("string"))))))
+             ))))).alias("ev"))
     pages = nest_pages(ev, ["day"], F.col("o_orderkey"), F.col("o_orderkey"), F.col("ev"), page_size)
     return pages.select(
         F.lit("scoreboard").alias("resource"),
@@ -212,20 +228,19 @@ def day_docs(spark: SparkSession, sf_dir: str, page_size: int = EVENTS_PER_DOC)
 def board_docs(spark: SparkSession, sf_dir: str, page_size: int = EVENTS_PER_DOC,
                competitors_per_event: int = COMPETITORS_PER_EVENT) -> DataFrame:
     """Scoreboard per day with ``competitions[0].competitors`` (from orders and
-    lineitem): line 1 plays home, line 2 away; team = supplier; score = the
+    lineitem): odd lines play home, even lines away; team = supplier; score = the
     quantity as text; linescores = quantity, discount and tax in points,
     line number.  An order's competitor list is itself paged, and each page
     is one event entry of the day (same id, like a repeated listing)."""
     o = load_table(spark, sf_dir, "orders")
-    li = load_table(spark, sf_dir, "lineitem").where(F.col("l_linenumber").isin(1, 2))
+    li = load_table(spark, sf_dir, "lineitem")
     comp = li.select(
         "l_orderkey",
-        F.col("l_partkey"),
         F.struct("l_linenumber", "l_suppkey", "l_partkey", "l_quantity", "l_discount",
                  "l_tax").alias("sk"),
         F.to_json(F.struct(
             F.col("l_suppkey").cast("string").alias("id"),
-            F.when(F.col("l_linenumber") == 1, "home").otherwise("away").alias("homeAway"),
+            F.when(F.col("l_linenumber") % 2 == 1, "home").otherwise("away").alias("homeAway"),
             F.col("l_quantity").cast("int").cast("string").alias("score"),
             F.struct(F.col("l_suppkey").cast("string").alias("id"),
                      F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")).alias("displayName"))
@@ -233,7 +248,7 @@ def board_docs(spark: SparkSession, sf_dir: str, page_size: int = EVENTS_PER_DOC
             F.array(*[F.struct(v.cast("int").alias("value")) for v in (
                 F.col("l_quantity"), F.round(F.col("l_discount") * 100), F.round(F.col("l_tax") * 100),
                 F.col("l_linenumber"))]).alias("linescores"))).alias("cj"))
-    comps = nest_pages(comp, ["l_orderkey"], F.col("l_partkey"), F.col("sk"), F.col("cj"),
+    comps = nest_pages(comp, ["l_orderkey"], row_hash(F.col("sk")), F.col("sk"), F.col("cj"),
                        competitors_per_event)
     ev = o.join(comps, o.o_orderkey == comps.l_orderkey, "left").select(
         F.to_date("o_orderdate").alias("day"),
@@ -258,18 +273,24 @@ def board_docs(spark: SparkSession, sf_dir: str, page_size: int = EVENTS_PER_DOC
              kv("day", jobj(kv("date", jstr(F.date_format("day", "yyyy-MM-dd")))))).alias("body"))
 
 
-def event_docs(spark: SparkSession, sf_dir: str, page_size: int = LINES_PER_DOC) -> DataFrame:
+def event_docs(spark: SparkSession, sf_dir: str, page_size: int = LINES_PER_DOC,
+               only: DataFrame | None = None) -> DataFrame:
     """Game summary per event (order) with its line items: ``resource,
     event_id, page, body``.  Orders without line items have no summary.
 
     Body: ``header.id``; ``lines[]`` (n, part, supp, qty, price, disc, tax,
     flag, status, ship); ``boxscore.teams[]`` -- one team per return flag with
-    statistics ``quantityMade-quantityAttempted`` ("made-attempted" text) and
-    ``lines``; ``boxscore.players[0].statistics[0]`` with parallel arrays
-    ``labels`` and per-athlete ``stats`` (line 7 has one stat fewer);
-    ``gameInfo`` with attendance (total quantity) and ``officials[]`` (one per
-    line: the supplier, ordered by line number)."""
+    statistics ``quantityMade-quantityAttempted`` ("made-attempted" text),
+    ``lines`` and ``netMargin`` (decimal, may be negative);
+    ``boxscore.players[]``: two sides (odd lines, even lines), each with a
+    statistics group of parallel arrays ``labels`` and per-athlete ``stats``
+    (line 7 has one stat fewer, line 6 one more than there are labels);
+    ``playerStats[]`` with name/value lists; ``gameInfo`` with attendance (total quantity) and ``officials[]`` (one per
+    line: the supplier, ordered by line number).  ``only`` (o_orderkey) limits
+    the documents to the events that are asked for, before anything is built."""
     li = load_table(spark, sf_dir, "lineitem")
+    if only is not None:
+        li = li.join(only.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     # Order of lines: line number, part, then the line's JSON text (a total
     # order, so positions are deterministic with a cheap sort key).
     sk = F.struct("l_linenumber", "l_partkey")
@@ -282,28 +303,38 @@ def event_docs(spark: SparkSession, sf_dir: str, page_size: int = LINES_PER_DOC)
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship")))
     qty = F.col("l_quantity").cast("int")
     tax = F.round(F.col("l_tax") * 100).cast("int")
+    minutes = F.concat((F.col("l_linenumber") + 10).cast("string"), F.lit(":"),
+                       F.lpad(F.round(F.col("l_discount") * 100).cast("int").cast("string"), 2, "0"))
+    signed = F.concat(F.when(tax >= 0, F.lit("+")).otherwise(F.lit("")), tax.cast("string"))
     stats = F.slice(F.array(
         qty.cast("string"),
         F.concat(F.col("l_linenumber").cast("string"), F.lit("-"), qty.cast("string")),
-        F.concat(F.when(tax >= 0, F.lit("+")).otherwise(F.lit("")), tax.cast("string")),
-        F.concat((F.col("l_linenumber") + 10).cast("string"), F.lit(":"),
-                 F.lpad(F.round(F.col("l_discount") * 100).cast("int").cast("string"), 2, "0"))),
-        1, F.when(F.col("l_linenumber") == 7, 3).otherwise(4))
-    athlete = F.to_json(F.struct(
-        F.struct(F.col("l_partkey").cast("string").alias("id"),
-                 F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("displayName"))
-         .alias("athlete"),
-        stats.alias("stats")))
+        signed, minutes, F.lit("extra")),
+        1, F.when(F.col("l_linenumber") == 7, 3).when(F.col("l_linenumber") == 6, 5).otherwise(4))
+    who = F.struct(F.col("l_partkey").cast("string").alias("id"),
+                   F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("displayName"))
+    athlete = F.to_json(F.struct(who.alias("athlete"), stats.alias("stats")))
+    odd = F.col("l_linenumber") % 2 == 1
+    named = F.to_json(F.struct(
+        who.alias("athlete"),
+        F.struct(F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")).alias("displayName")).alias("team"),
+        F.filter(F.array(*[F.when(keep, F.struct(F.lit(n).alias("name"), v.alias("value"))) for n, v, keep in (
+            ("minutes", minutes, F.col("l_linenumber") != 7), ("points", qty.cast("string"), F.lit(True)),
+            ("plusMinus", signed, F.lit(True)))]), lambda x: x.isNotNull()).alias("stats")))
     q = F.col("l_quantity").cast("bigint")
     aggs = [F.sum(q).alias("_tot")]
+    margin = F.round(F.col("l_quantity") * (F.col("l_tax") - F.col("l_discount")) * 100)
     for f in TEAM_FLAGS:
+        aggs.append(F.coalesce(F.sum(F.when(F.col("l_returnflag") == f, margin.cast("bigint"))), F.lit(0))
+                    .alias(f"_margin_{f}"))
         aggs += [F.coalesce(F.sum(F.when(F.col("l_returnflag") == f, q)), F.lit(0)).alias(f"_made_{f}"),
                  F.count(F.when(F.col("l_returnflag") == f, 1)).alias(f"_lines_{f}")]
     official = F.to_json(F.struct(
         F.concat(F.lit("Official "), F.col("l_suppkey").cast("string")).alias("displayName"),
         F.col("l_linenumber").alias("order")))
-    pages = nest_pages(li, ["l_orderkey"], F.col("l_partkey"), sk,
-                       {"lines": line, "athletes": athlete, "officials": official}, page_size, aggs)
+    pages = nest_pages(li, ["l_orderkey"], row_hash(F.col("l_linenumber"), F.col("l_partkey"), line), sk,
+                       {"lines": line, "home": F.when(odd, athlete), "away": F.when(~odd, athlete),
+                        "named": named, "officials": official}, page_size, aggs)
     teams = F.to_json(F.array(*[F.struct(
         F.struct(F.lit(f).alias("abbreviation")).alias("team"),
         F.array(
@@ -311,10 +342,14 @@ def event_docs(spark: SparkSession, sf_dir: str, page_size: int = LINES_PER_DOC)
                      F.concat(F.col(f"_made_{f}").cast("string"), F.lit("-"),
                               F.col("_tot").cast("string")).alias("displayValue")),
             F.struct(F.lit("lines").alias("name"),
-                     F.col(f"_lines_{f}").cast("string").alias("displayValue"))).alias("statistics"))
+                     F.col(f"_lines_{f}").cast("string").alias("displayValue")),
+            F.struct(F.lit("netMargin").alias("name"),
+                     (F.col(f"_margin_{f}") / 100).cast("decimal(20,2)").cast("string").alias("displayValue")))
+        .alias("statistics"))
         for f in TEAM_FLAGS]))
-    players = F.concat(F.lit('[{"statistics":[{"labels":["PTS","FG","+/-","MIN"],"athletes":'),
-                       F.col("athletes"), F.lit("}]}]"))
+    players = F.concat(F.lit("["), *[x for side, sep in (("home", ","), ("away", "")) for x in (
+        F.lit(f'{{"side":"{side}","statistics":[{{"labels":["PTS","FG","+/-","MIN"],"athletes":'),
+        F.col(side), F.lit("}]}" + sep))], F.lit("]"))
     return pages.select(
         F.lit("game_summary").alias("resource"),
         F.col("l_orderkey").cast("string").alias("event_id"),
@@ -322,6 +357,7 @@ def event_docs(spark: SparkSession, sf_dir: str, page_size: int = LINES_PER_DOC)
         jobj(kv("header", jobj(kv("id", jstr(F.col("l_orderkey").cast("string"))))),
              kv("lines", F.col("lines")),
              kv("boxscore", jobj(kv("teams", teams), kv("players", players))),
+             kv("playerStats", F.col("named")),
              kv("gameInfo", jobj(kv("attendance", jnum(F.col("_tot"))),
                                  kv("officials", F.col("officials"))))).alias("body"))
 
@@ -397,7 +433,7 @@ def stat_docs(spark: SparkSession, sf_dir: str, page_size: int = ENTRIES_PER_DOC
     """Standings per region: ``children[0].standings.entries[]`` = one entry
     per customer of the region with stats wins (F orders), losses (O orders)
     and winPercent (omitted when the customer has neither).  ``children[1]``
-    holds the same entries under a decoy name and must be ignored."""
+    holds the same entries under another group name."""
     c = load_table(spark, sf_dir, "customer")
     o = load_table(spark, sf_dir, "orders")
     n = load_table(spark, sf_dir, "nation")
@@ -447,7 +483,7 @@ def tx_docs(spark: SparkSession, sf_dir: str, page_size: int = TX_PER_DOC) -> Da
         F.when(F.col("l_returnflag") != "R",
                F.struct(F.concat(F.lit("Flag "), F.col("l_returnflag")).alias("displayName")))
          .alias("team")))
-    pages = nest_pages(li, ["l_suppkey"], F.col("l_orderkey"), sk, tx, page_size)
+    pages = nest_pages(li, ["l_suppkey"], row_hash(sk), sk, tx, page_size)
     return pages.select(
         F.lit("transactions").alias("resource"),
         F.col("l_suppkey").cast("string").alias("supplier"),

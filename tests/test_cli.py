@@ -35,3 +35,20 @@ def test_reference_mode_keeps_reference_tables_only():
 def test_errors(argv):
     with pytest.raises(SystemExit):
         run_arguments(argv + BASE)
+
+
+@pytest.mark.parametrize("names", [",", "scoreboard,", " ,teams"])
+def test_empty_names_are_an_error(names):
+    with pytest.raises(SystemExit):
+        run_arguments(["--all", "--tables", names] + BASE)
+
+
+def test_schedule_is_the_whole_season_and_warns(capsys):
+    kw = run_arguments(["--season-schedule", "2025", "--start", "2024-10-29", "--end", "2024-10-31"] + BASE)
+    assert kw["start"] is None and kw["end"] is None
+    assert "ignored" in capsys.readouterr().err
+
+
+def test_reference_mode_warns_of_ignored_tables(capsys):
+    run_arguments(["--reference", "--tables", "teams,scoreboard"] + BASE)
+    assert "scoreboard" in capsys.readouterr().err
