@@ -17,17 +17,26 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_pairing_is_row_local(spark):
-    body = ('{"events":[{"id":"1","c":[{"h":"home","s":1},{"h":"away","s":2},{"h":"home","s":3}]},'
-            '{"id":"2","c":[{"h":"home","s":4}]}]}')
-    ev = path_rows(docs_df(spark, [("a", body)]), "$.events", "doc", "e")
-    p = pair_sides(ev, varr("e", "$.c"), "$.h", "home", "away", [vstr("e", "$.id").alias("id")])
-    rows = p.select("id", "pair", vstr("l", "$.s").alias("ls"), vstr("r", "$.s").alias("rs")).collect()
-    assert [tuple(r) for r in rows] == [("1", 0, "1", "2")]   # one pair, no product, no lonely home
-    plan = _plan(p)
-    assert "Join" not in plan and "Exchange" not in plan
+def test_pairing_keeps_every_side(spark):
+    rows = [("e", "home", "h1", 1), ("e", "home", "h2", 2), ("e", "home", "h3", 3), ("e", "away", "a1", 9),
+            ("f", "away", "a2", 1), ("e", "other", "x", 1)]
+    df = spark.createDataFrame(rows, "id string, side string, team string, n int")
+    p = pair_sides(df, ["id"], "side", "home", "away", ["n"], ["team"])
+    got = sorted((r.id, r.pair, r.l and r.l.team, r.r and r.r.team) for r in p.collect())
+    assert got == [("e", 0, "h1", "a1"), ("e", 1, "h2", None), ("e", 2, "h3", None), ("f", 0, None, "a2")]
 
 
+def test_one_day_is_a_range_on_the_scan(spark):
+    from docloom.plans.queries import games_of_day
+    plan = games_of_day(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+
+
+def test_windows_join_on_days_behind_literal_bounds(spark):
+    from docloom.plans.queries import season_1998_orders
+    plan = season_1998_orders(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "NestedLoop" not in plan
+
 def test_name_value_lookup_is_row_local(spark):
     body = '{"stats":[{"name":"wins","value":3},{"name":"losses","value":1},{"name":"wins","value":9}]}'
     d = docs_df(spark, [("a", body)])
