@@ -20,6 +20,8 @@ from docloom.llm.common import U64, bucket_count, chunks
 
 #: bound of the bitmap: 2**28 bits, 32 MB
 MAX_BITS = 28
+#: anchors a task gathers before it ships them
+HOLD = 1 << 20
 
 
 def sliding(op, x: np.ndarray, n: int) -> np.ndarray:
@@ -67,29 +69,43 @@ class Bitmap:
 def repeated_anchors(docs: DataFrame, places, total_bytes: int, per_anchor: int) -> Bitmap:
     """``docs`` has a ``text`` column; ``places(text array)`` gives the hashes
     of all anchors in a chunk, one for each place.  A hash that a chunk holds
-    often is shipped once, marked as repeated."""
+    often is shipped once, marked as repeated.  Inside a bucket 32 more bits tell
+    hashes apart; as buckets keep their size, about one in 10,000 hashes counts
+    as repeated by mistake, at any size of the corpus."""
     spark = docs.sparkSession
     expected = max(1, total_bytes // per_anchor)
-    cut = bucket_bits(spark, expected * 8, 4 << 20)
+    cut = bucket_bits(spark, expected * 4, 4 << 20)
     bits = min(MAX_BITS, max(cut + 3, (8 * expected).bit_length()))
 
-    def emit(batches):
+    def held(batches):
+        """Anchors of several chunks at a time, so that less is shipped twice."""
+        got, size = [], 0
         for _, text in chunks(batches, "text"):
-            values, n = np.unique(places(text), return_counts=True)
+            got.append(places(text))
+            size += len(got[-1])
+            if size >= HOLD:
+                yield np.concatenate(got)
+                got, size = [], 0
+        if size:
+            yield np.concatenate(got)
+
+    def emit(batches):
+        for found in held(batches):
+            values, n = np.unique(found, return_counts=True)
             one, more = values[n == 1], values[n > 1]
             a, b = bucket_cuts(one, cut), bucket_cuts(more, cut)
+            one, more = (((x << U64(cut)) >> U64(32)).astype(np.uint32) for x in (one, more))
             full = np.flatnonzero((np.diff(a) > 0) | (np.diff(b) > 0)).tolist()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(full, pa.int32()), pa.array([one[a[k]:a[k + 1]].tobytes() for k in full], pa.binary()),
                  pa.array([more[b[k]:b[k + 1]].tobytes() for k in full], pa.binary())], ["bucket", "one", "more"])
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        bucket = int(pdf["bucket"].iloc[0])
-        values, n = np.unique(np.frombuffer(b"".join(pdf["one"]), np.uint64), return_counts=True)
-        more = np.concatenate([values[n > 1], np.frombuffer(b"".join(pdf["more"]), np.uint64)])
+        values, n = np.unique(np.frombuffer(b"".join(pdf["one"]), np.uint32), return_counts=True)
+        more = np.concatenate([values[n > 1], np.frombuffer(b"".join(pdf["more"]), np.uint32)])
         flags = np.zeros(1 << (bits - cut), bool)
-        flags[(more >> U64(64 - bits)).astype(np.int64) - (bucket << (bits - cut))] = True
-        return pd.DataFrame({"bucket": [bucket], "flags": [np.packbits(flags).tobytes()]})
+        flags[more >> np.uint32(32 - (bits - cut))] = True
+        return pd.DataFrame({"bucket": [int(pdf["bucket"].iloc[0])], "flags": [np.packbits(flags).tobytes()]})
 
     rows = docs.select("text").mapInArrow(emit, "bucket int, one binary, more binary").groupBy(
         "bucket").applyInPandas(count, "bucket int, flags binary").collect()

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: bytes of text a worker turns into arrays at a time (a longer text is one chunk)
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 U64 = np.uint64
 #: odd multipliers of the polynomial hashes (arbitrary, fixed)
 BYTE_BASE = 0x9E3779B97F4A7C15
