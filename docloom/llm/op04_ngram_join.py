@@ -15,8 +15,10 @@ Answer level: equal sets are one class.  Each class is first compared with one
 highly similar class, the one that leads most of its lists.  What is then known
 answers the rest: classes that already hang together need no comparison, and
 for two classes with one leader the Jaccard distances to it bound theirs (it is
-a metric), which settles the pair when the bounds do.  Only pairs that remain
-are compared, exactly.
+a metric), and so does what the two lost of it (shingles known to be nobody else's
+are never shared), which settles the pair when the bounds do.  Pairs that remain are
+first bounded by small histograms of their sets (the summed differences of the
+counts never exceed the symmetric difference), then compared exactly.
 
 Defined results: documents without words or text have an empty set and link
 with nothing; rows that share an id count as one document; an empty table gives
@@ -39,8 +41,6 @@ from docloom.llm.common import (BYTE_BASE, U64, WORD_BASE, Powers, buffers, chun
 SHINGLE = 4
 #: Jaccard threshold in hundredths
 PERCENT = 85
-#: the common order asks the bitmap about every second shingle hash (the others count as shared)
-ASKED = 2
 
 
 class Sets:
@@ -73,25 +73,42 @@ def need(n, percent: int = PERCENT):
     return -(-percent * n // 100)
 
 
+def histogram(h: np.ndarray) -> bytes:
+    """Counts of the hashes by their leading bits, about eight to a bin, as bytes."""
+    bits = max(4, int(len(h)).bit_length() - 4)
+    return np.minimum(np.bincount((h >> U64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(
+        np.uint8).tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """A lower bound of the symmetric difference of two sets from their histograms."""
+    x, y = np.frombuffer(a, np.uint8).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64)
+    while len(x) > len(y):
+        x = x[::2] + x[1::2]
+    while len(y) > len(x):
+        y = y[::2] + y[1::2]
+    return int(np.abs(x - y).sum())
+
+
 def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Per row: id, size, active, a 128-bit fingerprint of the set and, if
-    active, the set and the shared shingles of its prefix with their positions."""
+    """Per row: id, size, own (shingles that no other document has), active, a
+    128-bit fingerprint of the set and, if active, the set, its histogram and the
+    shared shingles of its prefix with their positions."""
     spark = docs.sparkSession
 
     def places(text):
         s = Sets(n)
         s.read(text)
-        return s.h[s.h % U64(ASKED) == 0]
+        return s.h
 
-    found = repeated_anchors(docs, places, text_bytes(docs), per_anchor=6 * ASKED)
+    found = repeated_anchors(docs, places, text_bytes(docs), per_anchor=6)
     flags, bits = spark.sparkContext.broadcast(found.packed), found.bits
 
     def run(batches):
         s, bitmap = Sets(n), Bitmap(flags.value, bits)
         for batch, text in chunks(batches, "text"):
             s.read(text)
-            alone = s.h % U64(ASKED) == 0
-            alone[alone] = ~bitmap.has(s.h[alone])
+            alone = ~bitmap.has(s.h)
             size = np.diff(s.cut)
             prefix = np.where(size > 0, size - need(size, percent) + 1, 0)
             own = np.concatenate([[0], np.cumsum(alone)])
@@ -99,22 +116,25 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
             active = prefix > own
             sums = [np.concatenate([[U64(0)], np.cumsum(mix(s.h ^ U64(k)), dtype=np.uint64)]) for k in (1, 2)]
             f1, f2 = ((x[s.cut[1:]] - x[s.cut[:-1]]).view(np.int64) for x in sums)
-            sets, keys, pos = [], [], []
+            sets, keys, pos, hists = [], [], [], []
             for i, ok in enumerate(active.tolist()):
                 if not ok:
-                    sets.append(None), keys.append(None), pos.append(None)
+                    sets.append(None), keys.append(None), pos.append(None), hists.append(None)
                     continue
                 h = s.h[s.cut[i]:s.cut[i + 1]]
                 shared = h[~alone[s.cut[i]:s.cut[i + 1]]][:prefix[i] - own[i]]
                 sets.append(h.tobytes()), keys.append(shared.tobytes())
                 pos.append(np.arange(own[i], prefix[i], dtype=np.int32).tobytes())
+                hists.append(histogram(h))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(active), pa.array(f1), pa.array(f2),
-                 *(pa.array(x, pa.binary()) for x in (sets, keys, pos))],
-                ["id", "size", "active", "f1", "f2", "shingles", "keys", "pos"])
+                [batch.column(0), pa.array(size, pa.int64()), pa.array(own, pa.int64()), pa.array(active),
+                 pa.array(f1), pa.array(f2),
+                 *(pa.array(x, pa.binary()) for x in (sets, keys, pos, hists))],
+                ["id", "size", "own", "active", "f1", "f2", "shingles", "keys", "pos", "hist"])
 
     return docs.select("id", "text").mapInArrow(
-        run, "id long, size long, active boolean, f1 long, f2 long, shingles binary, keys binary, pos binary")
+        run, "id long, size long, own long, active boolean, f1 long, f2 long, "
+             "shingles binary, keys binary, pos binary, hist binary")
 
 
 def _entries(classes: DataFrame) -> DataFrame:
@@ -152,27 +172,45 @@ def _overlaps(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         run, "a long, b long, common long, union long")
 
 
+def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose histograms leave the threshold possible, with the
+    least share of their shingles that differ."""
+    x = classes.select(F.col("rep").alias("a"), F.col("size").alias("m"), F.col("hist").alias("x"))
+    y = classes.select(F.col("rep").alias("b"), F.col("size").alias("n"), F.col("hist").alias("y"))
+
+    def run(batches):
+        for pdf in batches:
+            far = np.array([least_difference(a, b) for a, b in zip(pdf["x"], pdf["y"])], np.int64)
+            total = pdf["m"].to_numpy() + pdf["n"].to_numpy()
+            ok = far <= total - 2 * -(-total * percent // (100 + percent))
+            yield pd.DataFrame({"a": pdf["a"][ok], "b": pdf["b"][ok], "far": (far / total)[ok]})
+
+    return pairs.select("a", "b").join(x, "a").join(y, "b").mapInPandas(run, "a long, b long, far double")
+
+
 def link_classes(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(rep, component) of classes that link with another one, directly or not.
-    ``classes``: rep, size, shingles, keys, pos, one row per distinct set."""
+    ``classes``: rep, size, own, shingles, keys, pos, hist, one row per distinct set."""
     entries = store(_entries(classes), "index")
     lists = entries.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).filter("a < last")
     entries = store(entries.join(lists.select("key", "a"), "key"), "index")
     linked = F.col("common") * 100 >= F.col("union") * percent
 
-    # one highly similar class each: the leader of most of its lists
-    lead = (entries.filter("a != rep").groupBy("rep", "a").agg(F.count("*").alias("n"))
-            .groupBy("rep").agg(F.max(F.struct("n", (-F.col("a")).alias("m"))).alias("best"))
-            .select(F.col("rep").alias("b"), (-F.col("best.m")).alias("a")))
+    # one highly similar class each, among the leaders of its lists
+    ask = entries.filter("a != rep").select(F.col("rep").alias("b"), "a").distinct()
+    lead = (_bounded(ask, classes, percent).groupBy("b").agg(F.min(F.struct("far", "a")).alias("best"))
+            .select("b", F.col("best.a").alias("a")))
     known = store(_overlaps(lead, classes), "known")
     first = known.filter(linked).select("a", "b")
     comp = store(components(first), "components")
 
     # what hangs together already needs no comparison
-    led = known.select(F.col("b").alias("rep"), F.col("a").alias("leader"),
-                       (1 - F.col("common") / F.col("union")).alias("far"))
+    whole = classes.select(F.col("rep").alias("a"), F.col("size").alias("leader_size"))
+    led = known.join(whole, "a").select(F.col("b").alias("rep"), F.col("a").alias("leader"), "leader_size", "common",
+                                        (1 - F.col("common") / F.col("union")).alias("far"))
     rows = (entries.select("key", "rep", "size", "pos").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-            .withColumn("component", F.coalesce("component", "rep")).join(led, "rep", "left"))
+            .withColumn("component", F.coalesce("component", "rep")).join(led, "rep", "left")
+            .join(classes.select("rep", "own"), "rep"))
     rows = store(rows, "rows")
     mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
     rows = rows.join(mixed.select("key"), "key")
@@ -188,15 +226,23 @@ def link_classes(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     rest = F.least(F.col("x_size") - F.col("x_pos"), F.col("y_size") - F.col("y_pos"))
     same_leader = F.coalesce(F.col("x_leader") == F.col("y_leader"), F.lit(False))
     limit = 1 - percent / 100
+    # shingles of nobody else are never shared: they bound the overlap, and with a
+    # common leader only what neither lost of it, plus shared additions, can be
+    free = F.least(F.col("x_size") - F.col("x_own"), F.col("y_size") - F.col("y_own"))
+    gains = F.least(*[F.col(f"{k}_size") - F.col(f"{k}_common") - F.least(f"{k}_own", F.col(f"{k}_size") - F.col(f"{k}_common"))
+                      for k in "xy"])
+    through = F.when(same_leader, F.least("x_common", "y_common") + gains).otherwise(free)
     pairs = (x.join(y, ["key", "block"]).filter(
         (F.col("x_rep") < F.col("y_rep")) & (F.col("x_component") != F.col("y_component"))
         & (F.least("x_size", "y_size") * 100 >= F.greatest("x_size", "y_size") * percent) & (rest >= overlap)
+        & (free >= overlap) & (through >= overlap)
+        & ~F.coalesce((F.col("x_leader") == F.col("y_rep")) | (F.col("y_leader") == F.col("x_rep")), F.lit(False))
         & ~(same_leader & (F.abs(F.col("x_far") - F.col("y_far")) > limit + 1e-9)))
         .select(F.col("x_rep").alias("a"), F.col("y_rep").alias("b"),
                 (same_leader & (F.col("x_far") + F.col("y_far") < limit - 1e-9)).alias("settled")).distinct())
     pairs = store(pairs, "pairs")
     more = pairs.filter("settled").select("a", "b").unionByName(
-        _overlaps(pairs.filter("not settled"), classes).filter(linked).select("a", "b"))
+        _overlaps(_bounded(pairs.filter("not settled"), classes, percent), classes).filter(linked).select("a", "b"))
     more = store(more, "links")
     if more.isEmpty():
         return comp.select(F.col("node").alias("rep"), "component")
@@ -212,7 +258,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     reps = live.groupBy("f1", "f2", "size").agg(F.min("id").alias("rep"))
     reps = store(reps, "reps")
     classes = store(live.join(reps.select("f1", "f2", F.col("rep").alias("id")), ["f1", "f2", "id"])
-                    .select(F.col("id").alias("rep"), "size", "shingles", "keys", "pos").dropDuplicates(["rep"]),
+                    .select(F.col("id").alias("rep"), "size", "own", "shingles", "keys", "pos", "hist").dropDuplicates(["rep"]),
                     "classes")
     comp = link_classes(classes, percent)
     names = reps.join(comp, "rep", "left").select("f1", "f2", F.coalesce("component", "rep").alias("component_id"))
