@@ -1,16 +1,18 @@
 """Suffix-array dedup: byte strings that occur twice, by merged Burrows-Wheeler
 transforms.
 
-Only windows whose anchor (see ``anchors``) occurs at two places can repeat.  A
-chunk cuts its texts into the runs of such windows that share an anchor, ships
-each distinct run once, and runs with one anchor meet in one task.  A run that
+A window can repeat only if all the short stretches in it can, that is, if the
+anchor (see ``anchors``) of each occurs at two places; so a common line, shorter
+than a window, makes no candidates.  A chunk cuts its texts into the runs of
+candidate windows that share an anchor, ships each distinct run once, and runs
+with one anchor meet in one task.  A run that
 several places hold is repeated as a whole.  The distinct runs of a task are
 dealt to shards; each shard's suffixes are sorted once, giving its transform.
 The transforms are merged by iterative interleave refinement: starting from the
 shards one after another, every pass reads the transforms in the current
 interleave and deals the shard numbers out stably by symbol, which sorts the
-merged suffixes by one more symbol (two bytes) without looking at a suffix
-again.  A rank at which neighbours first part has their common prefix; where
+merged suffixes by one more symbol (up to eight bytes) without looking at a
+suffix again.  A rank at which neighbours first part has their common prefix; where
 they still agree after a window's length lies an interval of repeated windows.
 
 Defined results: null counts as empty; texts shorter than a window lose
@@ -28,60 +30,73 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from docloom.llm.anchors import Bitmap, anchor_places, bucket_bits, repeated_anchors, window_anchors
+from docloom.llm.anchors import Bitmap, anchor_places, bucket_bits, repeated_anchors, sliding, window_anchors
 from docloom.llm.common import (BYTE_BASE, U64, Powers, as_text, buffers, byte_prefix, chunks, span_hash, store,
                                 text_bytes)
 from docloom.llm.op08_substring_dedup import _frames, keyed
 
 WINDOW, GRAM = 200, 32
 SHARDS = 4
+#: bytes of strings merged at a time, about (an anchor's strings stay together); at
+#: most 65,536 symbols differ in so many, so symbols are eight bytes
+MERGE_BYTES = 60_000
 #: separates strings; no byte of UTF-8
 END = 0xFF
 
 
 # ---------------------------------------------------------------- transforms
-def rotation_order(t: np.ndarray) -> np.ndarray:
-    """Cyclic rotations of ``t`` sorted by 256 bytes (prefix doubling)."""
-    r = np.zeros(len(t), np.uint64)
-    for k in range(8):
-        r = (r << U64(8)) | np.roll(t, -k).astype(np.uint64)
-    rank = np.unique(r, return_inverse=True)[1]
-    for w in (8, 16, 32, 64, 128):
-        top = int(rank.max())
-        if top == len(t) - 1:
-            break
-        rank = np.unique(rank.astype(np.int64) * (top + 1) + np.roll(rank, -w), return_inverse=True)[1]
-    return np.argsort(rank, kind="stable")
-
-
 class Shard:
-    """Concatenated strings, their suffix order and transform over byte pairs."""
+    """Concatenated strings as one circular text: its first eight bytes at each
+    position, and its rotations in order (by 256 bytes, by prefix doubling)."""
 
     def __init__(self, strings: list[bytes]):
         sep = bytes([END])
         self.text = np.frombuffer(sep.join([*strings, b""]), np.uint8)
         self.starts = np.concatenate([[0], np.cumsum([len(s) + 1 for s in strings])])[:-1]
-        self.order = rotation_order(self.text)
-        pair = self.text.astype(np.uint16) << 8 | np.roll(self.text, -1)
-        self.bwt = pair[(self.order - 2) % len(pair)]
+        self.words = np.zeros(len(self.text), np.uint64)
+        for k in range(8):
+            self.words = (self.words << U64(8)) | np.roll(self.text, -k).astype(np.uint64)
+        rank = np.unique(self.words, return_inverse=True)[1]
+        for w in (8, 16, 32, 64, 128):
+            top = int(rank.max())
+            if top == len(rank) - 1:
+                break
+            rank = np.unique(rank.astype(np.int64) * (top + 1) + np.roll(rank, -w), return_inverse=True)[1]
+        self.order = np.argsort(rank, kind="stable")
+
+
+def _transforms(shards: list[Shard], depth: int) -> tuple[int, list[np.ndarray]]:
+    """(bytes of a symbol, transform of each shard).  A symbol is the longest of
+    8, 4, 2, 1 bytes that divides the depth and whose distinct values fit 16 bits."""
+    words = np.concatenate([s.words for s in shards])
+    cuts = np.cumsum([len(s.words) for s in shards])[:-1]
+    for step in (8, 4, 2, 1):
+        if depth % step:
+            continue
+        values, rank = np.unique(words >> U64(64 - 8 * step), return_inverse=True)
+        if len(values) <= 1 << 16:
+            break
+    return step, [r[(s.order - step) % len(r)] for s, r in zip(shards, np.split(rank.astype(np.uint16), cuts))]
 
 
 def merge_shards(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(interleave, block, lcp): the shard of each merged rank, the number of
-    its block of suffixes that agree on ``depth`` bytes, and the even number of
-    bytes after which a rank parts from the one before it (-1: not within depth)."""
-    z = np.repeat(np.arange(len(shards), dtype=np.uint8), [len(s.bwt) for s in shards])
-    block, lcp = np.zeros(len(z), np.int64), np.full(len(z), -1, np.int16)
+    its block of suffixes that agree on ``depth`` bytes, and the number of bytes,
+    in whole symbols, after which a rank parts from the one before it (-1: not
+    within depth)."""
+    step, bwt = _transforms(shards, depth)
+    z = np.repeat(np.arange(len(shards), dtype=np.uint8), [len(t) for t in bwt])
+    block, lcp = np.zeros(len(z), np.int32), np.full(len(z), -1, np.int16)
     symbols, count = np.empty(len(z), np.uint16), 1
-    for done in range(0, depth, 2):
-        for k, s in enumerate(shards):
-            symbols[z == k] = s.bwt
+    for done in range(0, depth, step):
+        for k, t in enumerate(bwt):
+            symbols[z == k] = t
         order = np.argsort(symbols, kind="stable")
         new, old = symbols[order], block[order]
         parts = np.ones(len(z), bool)
         parts[1:] = (new[1:] != new[:-1]) | (old[1:] != old[:-1])
         lcp[parts & (lcp < 0)] = done
-        block, z = np.cumsum(parts) - 1, z[order]
+        block, z = np.cumsum(parts, dtype=np.int32) - 1, z[order]
         if block[-1] + 1 == count:
             break  # no block parted, so none ever will
         count = int(block[-1]) + 1
@@ -90,7 +105,7 @@ def merge_shards(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarra
 
 def repeated_windows(strings: list[bytes], window: int = WINDOW, shards: int = SHARDS) -> list[np.ndarray]:
     """For each string, whether the window at each offset occurs a second time
-    in the strings.  ``window`` is even."""
+    in the strings."""
     k = max(1, min(shards, len(strings)))
     dealt = [Shard(strings[i::k]) for i in range(k)]
     z, block, _ = merge_shards(dealt, window)
@@ -111,6 +126,7 @@ class Windows:
 
     def __init__(self, window: int, gram: int):
         self.window, self.gram, self.span, self.powers = window, gram, window - gram + 1, Powers(BYTE_BASE)
+        self.short = min(window, 2 * gram)  # bytes of a stretch
 
     def read(self, text: pa.Array) -> None:
         self.raw, self.offs = buffers(text)
@@ -118,24 +134,33 @@ class Windows:
         s = byte_prefix(self.raw, self.powers)
         at = np.arange(max(0, n - self.gram + 1))
         self.grams = span_hash(s, at, at + self.gram, self.powers)
-        size = max(0, n - self.window + 1)
-        end = np.repeat(self.offs[1:], np.diff(self.offs))[:size]
-        self.anchors = window_anchors(self.grams, np.arange(size) + self.window <= end, self.span)
-        self.is_place = anchor_places(self.grams, self.anchors, self.span)
+        self.end = np.repeat(self.offs[1:], np.diff(self.offs))
+        self.stretches = self._anchors(self.short)
+
+    def _anchors(self, window: int) -> np.ndarray:
+        size = max(0, len(self.raw) - window + 1)
+        return window_anchors(self.grams, np.arange(size) + window <= self.end[:size], window - self.gram + 1)
+
+    def places(self) -> np.ndarray:
+        return self.grams[anchor_places(self.grams, self.stretches, self.short - self.gram + 1)]
 
     def runs(self, bitmap: Bitmap):
         """(first window, last window, anchor, anchor met twice) of the runs of
-        windows with one anchor that is repeated somewhere."""
-        m = self.anchors
+        candidate windows with one anchor."""
+        m = self._anchors(self.window)
+        may = self.stretches != 0
+        may[may] = bitmap.has(self.stretches[may])
         ok = m != 0
-        ok[ok] = bitmap.has(m[ok])
+        if len(m):
+            ok &= sliding(np.minimum, may.view(np.uint8), self.window - self.short + 1).astype(bool)
         edge = np.ones(len(m), bool)
         edge[1:] = m[1:] != m[:-1]
         begin = ok & edge
+        begin[1:] |= ok[1:] & ~ok[:-1]
         last = ok.copy()
-        last[:-1] &= edge[1:]
+        last[:-1] &= edge[1:] | ~ok[1:]
         a, b = np.flatnonzero(begin), np.flatnonzero(last)
-        v, place = m[a], np.flatnonzero(self.is_place)
+        v, place = m[a], np.flatnonzero(anchor_places(self.grams, m, self.span))
         lo, hi = np.searchsorted(place, a), np.searchsorted(place, b + self.span)
         run = np.repeat(np.arange(len(a)), hi - lo)
         at = np.arange(len(run)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
@@ -155,11 +180,11 @@ def repeated_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     def places(text):
         w = Windows(window, gram)
         w.read(text)
-        return w.grams[w.is_place]
+        return w.places()
 
-    found = repeated_anchors(docs, places, total, per_anchor=60)
+    found = repeated_anchors(docs, places, total, per_anchor=gram // 2)
     flags, bits = spark.sparkContext.broadcast(found.packed), found.bits
-    cut = bucket_bits(spark, total, 8 << 20)
+    cut = bucket_bits(spark, total, 4 << 20)
 
     def emit(batches):
         w, bitmap = Windows(window, gram), Bitmap(flags.value, bits)
@@ -214,8 +239,13 @@ def repeated_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
         _, group, size = np.unique(np.array(anchor, np.uint64), return_inverse=True, return_counts=True)
         rest = np.flatnonzero((size[group] > 1) | (np.array(twice) > 0))
         spans: list[tuple] = [()] * len(strings)
-        if len(rest):
-            for i, flag in zip(rest.tolist(), repeated_windows([strings[i] for i in rest.tolist()], window)):
+        # strings with different anchors share no window: merge some anchors' at a time
+        rest = rest[np.argsort(group[rest], kind="stable")]
+        bytes_ = np.cumsum([len(strings[i]) for i in rest.tolist()])
+        whole = np.searchsorted(group[rest], group[rest], "left")  # where the anchor's strings begin
+        part = (bytes_ // MERGE_BYTES)[whole] if len(rest) else np.zeros(0, np.int64)
+        for some in np.split(rest, np.flatnonzero(np.diff(part)) + 1) if len(rest) else []:
+            for i, flag in zip(some.tolist(), repeated_windows([strings[i] for i in some.tolist()], window)):
                 f = np.flatnonzero(np.diff(np.concatenate([[0], flag.view(np.int8), [0]])))
                 spans[i] = tuple(zip(f[::2].tolist(), (f[1::2] + window - 1).tolist()))
         for i in np.flatnonzero(held > 1).tolist():
@@ -253,7 +283,9 @@ def repeated_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
 
     pieces = docs.select("id", "key", "text").mapInArrow(
         emit, "bucket int, label long, " + ", ".join(f"{k} binary" for k in NAMES[2:]))
-    met = pieces.groupBy("bucket").applyInPandas(meet, "label long, id binary, key binary, begin binary, end binary")
+    # so many tasks: their work is not in proportion to the bytes they read
+    met = pieces.repartition(1 << cut, "bucket").groupBy("bucket").applyInPandas(
+        meet, "label long, id binary, key binary, begin binary, end binary")
     return met.groupBy("label").applyInPandas(unite, "id long, key long, begins array<long>, ends array<long>")
 
 
