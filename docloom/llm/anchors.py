@@ -21,7 +21,7 @@ from docloom.llm.common import U64, bucket_count, chunks
 #: bound of the bitmap: 2**28 bits, 32 MB
 MAX_BITS = 28
 #: anchors a task gathers before it ships them
-HOLD = 1 << 20
+HOLD = 1 << 18
 
 
 def sliding(op, x: np.ndarray, n: int) -> np.ndarray:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: bytes of text a worker turns into arrays at a time (a longer text is one chunk)
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 U64 = np.uint64
 #: odd multipliers of the polynomial hashes (arbitrary, fixed)
 BYTE_BASE = 0x9E3779B97F4A7C15
@@ -60,13 +60,12 @@ def bucket_count(spark: SparkSession, total_bytes: int, per_bucket: int) -> int:
 
 # ---------------------------------------------------------------- chunks
 def as_text(col: pa.Array) -> pa.Array:
-    """A plain string array without nulls (null counts as empty) and offset 0."""
+    """A plain string array without nulls (null counts as empty)."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     if not pa.types.is_large_string(col.type):
         col = col.cast(pa.large_string())
-    col = pc.fill_null(col, "")
-    return pa.concat_arrays([col])
+    return pc.fill_null(col, "") if col.null_count else col
 
 
 def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
