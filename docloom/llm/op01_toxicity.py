@@ -1,38 +1,49 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine.
 
-Terms are words and word beginnings that a chi-square test on labelled rows
-marks as telling.  Labelled examples are kept in an inverted index whose lists
-are cut into blocks of examples; each list knows the largest weight in a block.
-A text's query sums those maxima to an upper bound per block, visits blocks by
-falling bound and stops when no block can still change the k nearest examples
-(block-max).  The neighbours' votes, weighted by closeness, are turned into a
-probability by an isotonic map fitted on the examples themselves, each without
-itself among its neighbours.
+Terms are all words of a text and their beginnings.  A term weighs by its count,
+its inverse document frequency and one plus a chi-square test on labelled rows,
+so telling terms count more and no term is left out.  Labelled examples are kept
+in an inverted index cut into blocks of examples; each term knows its largest
+weight in a block.  A text's query sums those maxima to an upper bound per block,
+visits blocks by falling bound and leaves out those that cannot change the k
+nearest examples (block-max).  In a block the terms held most are one matrix
+product, the others go by their lists; the best are then computed again from
+their whole vectors in double precision.  The neighbours' votes, weighted by
+closeness, are turned into a probability by an isotonic map fitted on the
+examples themselves, each without itself among its neighbours.
 
 The classifier is fitted on at most about ``FIT_ROWS`` labelled rows; inverse
-document frequencies are counted over all documents.
+document frequencies of their terms are counted over all documents.  A term that
+none of them holds adds to a text's length as one that this text alone holds.
 
-Defined results: null counts as empty; a text without any telling term has no
-neighbours and gets the rate of positives among such examples; without labels
-every score is 0.
+Defined results: null counts as empty; a text that shares no term with an example
+has no neighbours and gets the rate of positives among examples without words;
+without labels every score is 0.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.common import store
 
-#: labelled rows the classifier is fitted on, and terms kept
-FIT_ROWS, TERMS = 16_000, 512
-NEIGHBOURS, BLOCK = 25, 64
-MIN_DOCS, MIN_CHI2 = 4, 12.0
+#: labelled rows the classifier is fitted on
+FIT_ROWS = 16_000
+NEIGHBOURS, BLOCK = 25, 2048
+#: chi-square that doubles a term's weight
+CHI2 = 12.0
+#: terms of the matrix, texts of one product
+DENSE, BATCH = 1024, 64
+#: more than twice the rounding error of a cosine summed in single precision
+SLACK = 2e-4
 PREFIXES = (3, 4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -48,90 +59,175 @@ def term_counts(text: str) -> Counter:
     return out
 
 
-class Matcher:
-    """Counts of chosen terms in a text, looking at each distinct word once."""
+class Matcher(dict):
+    """Counts of all terms in a text, looking at each distinct word once.  Terms
+    outside ``terms`` get numbers from ``len(terms)`` on, valid for one text."""
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms):
         self.ids = {t: i for i, t in enumerate(terms)}
-        self.sizes = sorted({len(t) - 1 for t in terms if t[0] == "^"})
-        self.seen: dict[str, tuple] = {}
-
-    def _of(self, w: str) -> tuple:
-        got = [self.ids[w]] if w in self.ids else []
-        got += [self.ids[p] for k in self.sizes if len(w) > k and (p := "^" + w[:k]) in self.ids]
-        if len(self.seen) > 300_000:
-            self.seen.clear()
-        self.seen[w] = tuple(got)
-        return self.seen[w]
-
-    def __call__(self, text: str) -> dict[int, int]:
-        out: dict[int, int] = {}
-        seen, of = self.seen, self._of
-        for w in _WORD.findall(text.lower()):
-            hit = seen.get(w)
-            if hit is None:
-                hit = of(w)
-            for i in hit:
-                out[i] = out.get(i, 0) + 1
-        return out
-
-
-def unit(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(terms, weights) of a text as a vector of length 1."""
-    ids = np.array(sorted(counts), np.int64)
-    if not len(ids):
-        return ids, np.zeros(0)
-    w = (1 + np.log([counts[i] for i in ids.tolist()])) * idf[ids]
-    norm = np.sqrt((w * w).sum())
-    return (ids, w / norm) if norm else (ids[:0], np.zeros(0))
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.other: dict[str, int] = {}
+        self.rows = np.full((1 << 12, 1 + len(PREFIXES)), -1, np.int64)
+
+    def __missing__(self, w: str) -> int:
+        n = len(self)
+        if n == len(self.rows):
+            self.rows = np.concatenate([self.rows, np.full_like(self.rows, -1)])
+        for j, t in enumerate([w] + ["^" + w[:k] for k in PREFIXES if len(w) > k]):
+            i = self.ids.get(t)
+            self.rows[n, j] = len(self.ids) + self.other.setdefault(t, len(self.other)) if i is None else i
+        self[w] = n
+        return n
+
+    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        if len(self) > 300_000:
+            self.forget()
+        words = Counter(_WORD.findall(text.lower()))
+        if not words:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        t = self.rows[at].ravel()
+        n = np.repeat(np.fromiter(words.values(), np.int64, len(words)), self.rows.shape[1])
+        order = np.argsort(t, kind="stable")
+        order = order[np.searchsorted(t[order], 0):]
+        t, n = t[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+        return t[first], np.add.reduceat(n, first)
+
+
+def packed(ids: np.ndarray, counts: np.ndarray) -> bytes:
+    """Terms of an example as steps, then their counts."""
+    return zlib.compress(np.concatenate([np.diff(ids, prepend=0), counts]).astype(np.int32).tobytes(), 1)
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(zlib.decompress(data), np.int32)
+    return np.cumsum(both[:len(both) // 2], dtype=np.int32), both[len(both) // 2:]
+
+
+def unit(ids: np.ndarray, counts: np.ndarray, weight: np.ndarray, other: float) -> tuple[np.ndarray, np.ndarray]:
+    """(terms, weights) of a text as a vector of length 1, without the terms
+    outside ``weight``, which weigh ``other`` in its length."""
+    known = int(np.searchsorted(ids, len(weight)))
+    tf = 1 + np.log(counts)
+    w = tf[:known] * weight[ids[:known]]
+    norm = np.sqrt((w * w).sum() + ((tf[known:] * other) ** 2).sum())
+    return ids[:known], w / norm if norm else w
 
 
 class Index:
     """Block-max inverted index over unit vectors of labelled examples."""
 
-    def __init__(self, vectors, labels, ids, n_terms: int, block: int = BLOCK):
+    def __init__(self, vectors, labels, ids, n_terms: int, block: int = BLOCK, dense: int = DENSE):
+        vectors = list(vectors)
         self.labels, self.ids, self.block = np.asarray(labels), np.asarray(ids), block
-        n = len(vectors)
+        self.n = n = len(vectors)
         self.n_blocks = max(1, -(-n // block))
-        ex = np.concatenate([np.full(len(v[0]), i) for i, v in enumerate(vectors)] or [np.zeros(0)]).astype(np.int64)
-        term = np.concatenate([v[0] for v in vectors] or [np.zeros(0)]).astype(np.int64)
-        weight = np.concatenate([v[1] for v in vectors] or [np.zeros(0)])
-        order = np.lexsort((ex, term))
-        self.ex, self.weight, term = ex[order], weight[order], term[order]
-        cell = term * self.n_blocks + self.ex // block
-        self.begin = np.searchsorted(cell, np.arange(n_terms * self.n_blocks + 1))
-        self.top = np.zeros(n_terms * self.n_blocks)
-        np.maximum.at(self.top, cell, self.weight)
-        self.top = self.top.reshape(n_terms, self.n_blocks)
+        # examples led by the same term lie together, so that blocks differ
+        lead = [int(v[0][np.argmax(v[1])]) if len(v[0]) else -1 for v in vectors]
+        self.example = np.argsort(np.array(lead, np.int64), kind="stable")  # at each place
+        self.place = np.empty(n, np.int64)
+        self.place[self.example] = np.arange(n)
+        sizes = [len(vectors[e][0]) for e in self.example.tolist()]
+        self.begin_row = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)  # of each place
+        self.term, self.weight = np.zeros(self.begin_row[-1], np.int32), np.zeros(self.begin_row[-1])
+        for i, e in enumerate(self.example.tolist()):
+            x, y = self.begin_row[i], self.begin_row[i + 1]
+            self.term[x:y], self.weight[x:y] = vectors[e]
+            vectors[e] = None
+        held = np.bincount(self.term, minlength=n_terms)
+        most = np.argsort(-held, kind="stable")[:dense]
+        most = most[held[most] * 20 >= n]
+        self.col = np.full(n_terms, -1, np.int32)
+        self.col[most] = np.arange(len(most))
+        self.matrix = np.zeros((n, len(most)), np.float32)
+        self.top = np.zeros((n_terms, self.n_blocks), np.float32)
+        self.lists = []  # of each block: where a term's list begins, its places, its weights
+        for b in range(self.n_blocks):
+            x, y = b * block, min(n, (b + 1) * block)
+            rows = slice(self.begin_row[x], self.begin_row[y])
+            term, weight = self.term[rows], self.weight[rows].astype(np.float32)
+            at = np.repeat(np.arange(y - x, dtype=np.int32), np.diff(self.begin_row[x:y + 1]))
+            col = self.col[term]
+            self.matrix[x + at[col >= 0], col[col >= 0]] = weight[col >= 0]
+            self.top[most, b] = self.matrix[x:y].max(0, initial=0)
+            few = np.flatnonzero(col < 0)
+            few = few[np.argsort(term[few], kind="stable")]
+            term, at, weight = term[few], at[few], weight[few]
+            start = np.flatnonzero(np.diff(term, prepend=-1))
+            if len(start):
+                self.top[term[start], b] = np.maximum.reduceat(weight, start)
+            begin = np.zeros(n_terms + 1, np.int32)
+            np.cumsum(np.bincount(term, minlength=n_terms), out=begin[1:])
+            self.lists.append((begin, at, weight))
+        self.query = np.zeros(n_terms)
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int, without: int = -1):
         """(example numbers, cosines) of the k nearest with cosine > 0, by
         falling cosine, then example number."""
-        bound = weights @ self.top[ids]
-        order = np.lexsort((np.arange(self.n_blocks), -bound))
-        best_e, best_c = np.zeros(0, np.int64), np.zeros(0)
-        for b in order.tolist():
-            if bound[b] <= 0:
-                break
-            if len(best_e) == k and (bound[b] < best_c[-1] - 1e-9 or
-                                     (bound[b] <= best_c[-1] and b * self.block > best_e.max())):
-                if bound[b] < best_c[-1] - 1e-9:
-                    break
-                continue
-            acc = np.zeros(self.block)
-            for t, q in zip(ids.tolist(), weights.tolist()):
-                lo, hi = self.begin[t * self.n_blocks + b], self.begin[t * self.n_blocks + b + 1]
-                if lo < hi:
-                    acc[self.ex[lo:hi] - b * self.block] += q * self.weight[lo:hi]
-            e = np.flatnonzero(acc > 0)
-            c = np.round(acc[e], 9)
-            e = e + b * self.block
-            if without >= 0:
-                c, e = c[e != without], e[e != without]
-            best_e, best_c = np.concatenate([best_e, e]), np.concatenate([best_c, c])
-            keep = np.lexsort((best_e, -best_c))[:k]
-            best_e, best_c = best_e[keep], best_c[keep]
-        return best_e, best_c
+        return self.nearest_many([(ids, weights)], k, [without])[0]
+
+    def vector(self, e: int) -> tuple[np.ndarray, np.ndarray]:
+        """(terms, weights) of an example."""
+        x, y = self.begin_row[self.place[e]], self.begin_row[self.place[e] + 1]
+        return self.term[x:y], self.weight[x:y]
+
+    def nearest_many(self, queries, k: int, without=None) -> list:
+        """``nearest`` of each (terms, weights)."""
+        bound = np.zeros((len(queries), self.n_blocks))
+        dense = np.zeros((len(queries), self.matrix.shape[1]), np.float32)
+        lists = []
+        for i, (t, w) in enumerate(queries):
+            bound[i] = w @ self.top[t]
+            c = self.col[t]
+            dense[i, c[c >= 0]] = w[c >= 0]
+            lists.append((t[c < 0], w[c < 0].astype(np.float32)))
+        found = np.zeros((len(queries), self.n), np.float32)
+        best = np.zeros((len(queries), k), np.float32)
+        order = np.argsort(-bound, axis=1, kind="stable")
+        for rank in range(self.n_blocks):
+            due = np.flatnonzero((bound[np.arange(len(bound)), order[:, rank]] > 0) &
+                                 (bound[np.arange(len(bound)), order[:, rank]] + SLACK >= best.min(1)))
+            for b in np.unique(order[due, rank]).tolist():
+                who = due[order[due, rank] == b]
+                x, y = b * self.block, min(self.n, (b + 1) * self.block)
+                got = dense[who] @ self.matrix[x:y].T
+                for i, cos in zip(who.tolist(), got):
+                    cos += self._listed(*lists[i], b, y - x)
+                    if without is not None and without[i] >= 0 and x <= self.place[without[i]] < y:
+                        cos[self.place[without[i]] - x] = 0
+                    both = np.concatenate([best[i], cos])
+                    best[i] = np.partition(both, len(both) - k)[len(both) - k:]
+                found[who, x:y] = got
+        return [self._exact(q, np.flatnonzero(f >= low - SLACK) if low > SLACK else np.flatnonzero(f), k)
+                for q, f, low in zip(queries, found, best.min(1))]
+
+    def _listed(self, terms: np.ndarray, weights: np.ndarray, b: int, size: int) -> np.ndarray:
+        """Products of a query's listed terms with the examples of a block."""
+        begin, place, weight = self.lists[b]
+        lo = begin[terms]
+        n = begin[terms + 1] - lo
+        held = n > 0
+        lo, n = lo[held], n[held]
+        at = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
+        return np.bincount(place[at], np.repeat(weights[held], n) * weight[at], size)
+
+    def _exact(self, query, places: np.ndarray, k: int):
+        e = self.example[places]
+        if not len(e):
+            return e, np.zeros(0)
+        self.query[query[0]] = query[1]
+        lo = self.begin_row[places]
+        n = self.begin_row[places + 1] - lo
+        start = np.concatenate([[0], np.cumsum(n)])[:-1]
+        at = np.arange(n.sum()) + np.repeat(lo - start, n)
+        c = np.round(np.add.reduceat(self.query[self.term[at]] * self.weight[at], start), 9)
+        self.query[query[0]] = 0
+        keep = np.lexsort((e, -c))[:k]
+        return e[keep], c[keep]
 
 
 def vote(labels: np.ndarray, cosines: np.ndarray) -> float:
@@ -159,38 +255,30 @@ def isotonic(x: np.ndarray, y: np.ndarray, groups: int = 20) -> tuple[np.ndarray
 
 
 class Model:
-    def __init__(self, terms, idf, index, base, empty_rate, curve):
-        self.terms, self.idf, self.index = terms, idf, index
-        self.base, self.empty_rate, self.curve = base, empty_rate, curve
-
-    def scorer(self, k: int = NEIGHBOURS):
-        match = Matcher(self.terms)
-        memo: dict[bytes, tuple] = {}
-
-        def score(text: str) -> tuple:
-            """(score, vote, neighbour ids, their labels, cosines)"""
-            ids, w = unit(match(text), self.idf)
-            key = ids.tobytes() + np.round(w, 12).tobytes()
-            got = memo.get(key)
-            if got is None:
-                e, c = self.index.nearest(ids, w, k)
-                if len(e):
-                    v = vote(self.index.labels[e], c)
-                    got = (float(np.interp(v, *self.curve)), v, self.index.ids[e].tolist(),
-                           self.index.labels[e].tolist(), c.tolist())
-                else:
-                    got = (self.empty_rate, 0.0, [], [], [])
-                if len(memo) > 50_000:
-                    memo.clear()
-                memo[key] = got
-            return got
-
-        return score
+    """What the fit found; ``shared`` is broadcast as plain values, and each
+    worker makes its matcher and index of it once."""
+
+    def __init__(self, spark, terms, weight, other, rows, base, empty_rate):
+        self.base, self.empty_rate = base, empty_rate
+        self.curve = (np.zeros(1), np.full(1, base))
+        self.shared = spark.sparkContext.broadcast(
+            {"terms": terms, "weight": weight, "other": other, "rows": rows})
+
+
+def parts_of(shared: dict) -> tuple:
+    """(matcher, index) of a worker."""
+    if "made" not in shared:
+        index = Index((unit(*unpacked(x), shared["weight"], shared["other"]) for x in shared["rows"]["vectors"]),
+                      shared["rows"]["y"], shared["rows"]["id"], len(shared["weight"]))
+        shared["made"] = Matcher(shared["terms"].to_pylist()), index
+        del shared["rows"], shared["terms"]
+    return shared["made"]
 
 
 def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "label", fit_rows: int = FIT_ROWS, n_terms: int = TERMS) -> Model | None:
+        label_col: str = "label", fit_rows: int = FIT_ROWS) -> Model | None:
     """``labelled``: id, text and label (0/1) of rows that may be learnt from."""
+    spark = docs.sparkSession
     rows = labelled.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
     total = rows.count()
     if not total:
@@ -199,86 +287,116 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     sample = store(rows.filter(u < F.lit(int((1 << 30) * min(1.0, fit_rows / total)))).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("y")),
         "toxic_sample")
-    parts = max(2, docs.sparkSession.sparkContext.defaultParallelism)
+    parts = max(2, spark.sparkContext.defaultParallelism)
     sample = sample.repartition(parts)
 
     def term_rows(batches):
+        yes, no = Counter(), Counter()
         for pdf in batches:
-            yes, no = Counter(), Counter()
             for t, y in zip(pdf["text"], pdf["y"]):
                 (yes if y else no).update(term_counts(t).keys())
-            yield pd.DataFrame([(t, yes[t], no[t]) for t in yes.keys() | no.keys()], columns=["term", "yes", "no"])
+        both = list(yes.keys() | no.keys())
+        yield pd.DataFrame({"term": both, "yes": [yes[t] for t in both], "no": [no[t] for t in both]})
 
     n1 = sample.filter("y = 1").count()
     n0 = sample.count() - n1
     if not n1 or not n0:
         return None
-    df = sample.mapInPandas(term_rows, "term string, yes long, no long").groupBy("term").agg(
-        F.sum("yes").alias("a"), F.sum("no").alias("b")).filter(F.col("a") + F.col("b") >= MIN_DOCS)
-    a, b, n = F.col("a"), F.col("b"), n1 + n0
-    c, d = F.lit(n1) - a, F.lit(n0) - b
-    chi2 = F.lit(float(n)) * F.pow(a * d - b * c, 2) / (F.lit(float(n1)) * n0) / ((a + b) * (c + d))
-    top = df.withColumn("chi2", F.when((c + d) > 0, chi2).otherwise(0.0)).filter(F.col("chi2") >= MIN_CHI2)
-    terms = sorted(r["term"] for r in top.orderBy(F.desc("chi2"), "term").limit(n_terms).collect())
-    if not terms:
-        base = n1 / n
-        empty = Index([], [], [], 1)
-        return Model(["^"], np.zeros(1), empty, base, base, (np.zeros(1), np.full(1, base)))
+    # bounded by fit_rows x terms of a text
+    got = sample.mapInPandas(term_rows, "term string, yes int, no int").groupBy("term").agg(
+        F.sum("yes").cast("int").alias("a"), F.sum("no").cast("int").alias("b")).toArrow().sort_by("term")
+    terms = got["term"].combine_chunks()
+    a, b, n = got["a"].to_numpy().astype(float), got["b"].to_numpy().astype(float), n1 + n0
+    c, d = n1 - a, n0 - b
+    chi2 = n * (a * d - b * c) ** 2 / (float(n1) * n0) / np.maximum(1, a + b) / np.maximum(1, c + d)
+    named = spark.sparkContext.broadcast(terms)
+    del got
 
     def frequencies(batches):
-        match = Matcher(terms)
-        n_docs, freq = 0, np.zeros(len(terms), np.int64)
+        match, n_terms = Matcher(named.value.to_pylist()), len(named.value)
+        n_docs, freq = 0, np.zeros(n_terms, np.int64)
         for pdf in batches:
             for t in pdf["text"]:
                 n_docs += 1
                 if t:
-                    freq[list(match(t))] += 1
-        yield pd.DataFrame({"term": np.arange(-1, len(terms)), "n": np.concatenate([[n_docs], freq])})
-
-    got = docs.select(F.col(text_col).alias("text")).mapInPandas(frequencies, "term long, n long").groupBy("term").agg(
-        F.sum("n").alias("n")).toPandas()
-    n_docs = int(got.loc[got["term"] == -1, "n"].sum())
-    freq = np.zeros(len(terms))
-    freq[got.loc[got["term"] >= 0, "term"]] = got.loc[got["term"] >= 0, "n"]
-    idf = np.log((1 + n_docs) / (1 + freq)) + 0.1
+                    ids = match(t)[0]
+                    freq[ids[:np.searchsorted(ids, n_terms)]] += 1
+        some = np.flatnonzero(freq)
+        yield pd.DataFrame({"term": np.append(-1, some), "n": np.append(n_docs, freq[some])})
+
+    got = docs.select(F.col(text_col).alias("text")).mapInPandas(frequencies, "term int, n long").groupBy("term").agg(
+        F.sum("n").alias("n")).toArrow()
+    freq = np.zeros(len(terms) + 1)  # the last is the number of documents
+    freq[got["term"].to_numpy()] = got["n"].to_numpy()
+    n_docs, freq = int(freq[-1]), freq[:-1]
+    weight = (np.log((1 + n_docs) / (1 + freq)) + 0.1) * (1 + chi2 / CHI2)
 
     def vectors(batches):
-        match = Matcher(terms)
+        match = Matcher(named.value.to_pylist())
         for pdf in batches:
-            v = [unit(match(t), idf) for t in pdf["text"]]
-            yield pd.DataFrame({"id": pdf["id"], "y": pdf["y"], "terms": [x[0].tolist() for x in v],
-                                "weights": [x[1].tolist() for x in v]})
-
-    # bounded by fit_rows x telling terms of a text
-    ex = sample.mapInPandas(vectors, "id long, y int, terms array<long>, weights array<double>").toPandas()
-    ex = ex.sort_values("id", kind="stable").reset_index(drop=True)
-    bare = ex["terms"].str.len() == 0
+            v = [match(t) for t in pdf["text"]]
+            yield pd.DataFrame({"id": pdf["id"], "y": pdf["y"], "n": [len(x[0]) for x in v],
+                                "vector": [packed(*x) for x in v]})
+
+    # bounded by fit_rows x terms of a text
+    ex = sample.mapInPandas(vectors, "id long, y int, n int, vector binary").toArrow().sort_by("id")
+    named.unpersist()
+    bare = ex["n"].to_numpy() == 0
     base = n1 / n
-    empty_rate = float((ex.loc[bare, "y"].sum() + base) / (bare.sum() + 1))
-    ex = ex[~bare].reset_index(drop=True)
-    vec = [(np.asarray(t, np.int64), np.asarray(w, float)) for t, w in zip(ex["terms"], ex["weights"])]
-    index = Index(vec, ex["y"].to_numpy(), ex["id"].to_numpy(), len(terms))
-    votes, ys = [], []
-    for i, (t, w) in enumerate(vec):
-        e, c = index.nearest(t, w, NEIGHBOURS, without=i)
-        if len(e):
-            votes.append(vote(index.labels[e], c))
-            ys.append(index.labels[i])
-    curve = isotonic(np.array(votes), np.array(ys)) if votes else (np.zeros(1), np.full(1, base))
-    return Model(terms, idf, index, base, empty_rate, curve)
-
-
-def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    empty_rate = float((ex["y"].to_numpy()[bare].sum() + base) / (bare.sum() + 1))
+    ex = ex.filter(pa.array(~bare))
+    ys = ex["y"].to_numpy()
+    model = Model(spark, terms, weight, float(np.log((1 + n_docs) / 2) + 0.1), {
+        "vectors": ex["vector"].to_pylist(), "y": ys, "id": ex["id"].to_numpy()}, base, empty_rate)
+    del ex, terms
+    shared = model.shared
+
+    def own_votes(batches):
+        """Each example's vote of its neighbours, without itself."""
+        for pdf in batches:
+            index = parts_of(shared.value)[1]
+            at = pdf["id"].to_numpy()
+            for x in range(0, len(at), BATCH):
+                some = at[x:x + BATCH]
+                q = [index.vector(i) for i in some.tolist()]
+                near = index.nearest_many(q, NEIGHBOURS, some.tolist())
+                yield pd.DataFrame([(i, vote(index.labels[e], c)) for i, (e, c) in zip(some.tolist(), near) if len(e)],
+                                   columns=["id", "vote"])
+
+    if len(ys):
+        got = spark.range(0, len(ys), 1, parts).mapInPandas(own_votes, "id long, vote double").toArrow().sort_by("id")
+        if len(got):
+            model.curve = isotonic(got["vote"].to_numpy(), ys[got["id"].to_numpy()])
+    return model
+
+
+def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",
+          k: int = NEIGHBOURS) -> DataFrame:
     """id, score, vote and evidence (neighbour ids, labels, cosines) per row."""
     id_type = docs.schema[id_col].dataType.simpleString()
+    names = [id_col, "score", "vote", "neighbours", "labels", "cosines"]
+    if model:
+        shared, curve, empty_rate = model.shared, model.curve, model.empty_rate
+
+    def judge(near, index) -> tuple:
+        e, c = near
+        if not len(e):
+            return empty_rate, 0.0, [], [], []
+        v = vote(index.labels[e], c)
+        return float(np.interp(v, *curve)), v, index.ids[e].tolist(), index.labels[e].tolist(), c.tolist()
 
     def run(batches):
-        f = model.scorer() if model else None
         for pdf in batches:
-            got = [f(t or "") if f else (0.0, 0.0, [], [], []) for t in pdf["text"]]
-            yield pd.DataFrame([(i, *g) for i, g in zip(pdf["id"], got)],
-                               columns=[id_col, "score", "vote", "neighbours", "labels", "cosines"])
-
+            for x in range(0, len(pdf), BATCH):
+                some = pdf.iloc[x:x + BATCH]
+                got = [(0.0, 0.0, [], [], [])] * len(some)
+                if model_given:
+                    match, index = parts_of(shared.value)
+                    q = [unit(*match(t or ""), shared.value["weight"], shared.value["other"]) for t in some["text"]]
+                    got = [judge(near, index) for near in index.nearest_many(q, k)]
+                yield pd.DataFrame([(i, *g) for i, g in zip(some["id"], got)], columns=names)
+
+    model_given = model is not None
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(
         run, f"{id_col} {id_type}, score double, vote double, neighbours array<long>, labels array<int>, "
              "cosines array<double>")

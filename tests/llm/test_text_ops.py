@@ -193,6 +193,66 @@ def test_toxicity_odd_texts_and_no_labels(spark):
     assert got[4].score == got[5].score == got[13].score
 
 
+def test_toxicity_weighs_every_term_of_whole_texts(spark):
+    """Examples agree in every telling term; only the rest of a text tells which is its copy."""
+    from docloom.llm.op01_toxicity import fit, score, term_counts
+    rng = np.random.default_rng(5)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    vocab = ["".join(rng.choice(letters, int(rng.integers(2, 9)))) for _ in range(900)]
+    own = [" ".join(rng.choice(vocab, 30)) for _ in range(80)]
+    data = [(i, f"{'awful fool' if i < 40 else 'nice friend'} {t}", "en", "a") for i, t in enumerate(own)]
+    new = [(100 + i, t, "en", "a") for i, (_, t, _, _) in enumerate(data)] + [(300, own[3] + " unheard words", "en", "a")]
+    train = docs(spark, data).withColumn("label", (F.col("doc_id") < 40).cast("int"))
+    every = docs(spark, data + new)
+    got = as_dict(score(every, fit(every, train)))
+    n, n1, n0 = 161, 40, 40
+    terms = [term_counts(t) for _, t, _, _ in data]
+    df = Counter(t for _, x, _, _ in data + new for t in term_counts(x))
+    a, b = Counter(t for x in terms[:40] for t in x), Counter(t for x in terms[40:] for t in x)
+
+    def weigh(t):
+        if not a[t] + b[t]:
+            return math.log((1 + n) / 2) + 0.1
+        chi = 80 * (a[t] * (n0 - b[t]) - b[t] * (n1 - a[t])) ** 2 / (n1 * n0) / (a[t] + b[t]) / max(1, 80 - a[t] - b[t])
+        return (math.log((1 + n) / (1 + df[t])) + 0.1) * (1 + chi / 12)
+
+    def vector(text):
+        v = {t: (1 + math.log(c)) * weigh(t) for t, c in term_counts(text).items()}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / size for t, x in v.items()}
+
+    made = [vector(t) for _, t, _, _ in data]
+    for i, t, _, _ in new[::7] + new[-1:]:
+        v = vector(t)
+        cos = np.round([sum(x * e.get(t, 0) for t, x in v.items()) for e in made], 9)
+        want = [e for e in np.lexsort((np.arange(80), -cos)) if cos[e] > 0][:25]
+        assert got[i].neighbours == want and np.allclose(got[i].cosines, cos[want], atol=2e-9)
+    for i, *_ in new[:-1]:
+        assert got[i].neighbours[0] == i - 100 and got[i].cosines[0] == 1 > got[i].cosines[1]
+    assert got[300].neighbours[0] == 3 and got[300].cosines[0] < 1
+
+
+def test_matrix_and_lists_give_all_cosines():
+    from docloom.llm.op01_toxicity import Index
+    rng = np.random.default_rng(3)
+    n, terms = 300, 400
+    held = 1 / np.arange(1, terms + 1)
+    vec = []
+    for _ in range(n):
+        ids = np.sort(rng.choice(terms, int(rng.integers(1, 40)), replace=False, p=held / held.sum()))
+        w = rng.integers(1, 4, len(ids)).astype(float)
+        vec.append((ids, w / np.sqrt((w * w).sum())))
+    dense = np.zeros((n, terms))
+    for i, (t, w) in enumerate(vec):
+        dense[i, t] = w
+    for n_dense in (0, 8, 1024):
+        index = Index(vec, rng.integers(0, 2, n), np.arange(n), terms, block=32, dense=n_dense)
+        for i, (e, c) in enumerate(index.nearest_many(vec[:90], 12, list(range(90)))):
+            cos = np.round(dense @ dense[i], 9)
+            want = [x for x in np.lexsort((np.arange(n), -cos)) if cos[x] > 0 and x != i][:12]
+            assert e.tolist() == want and np.allclose(c, cos[want])
+
+
 # ---------------------------------------------------------- decontamination
 def brute_leaks(data, items):
     import re
