@@ -9,8 +9,9 @@ at their source form a non-branching path and are compacted to one span with
 source coordinates; a branch shows as a jump of the source.  Spans join back to
 the documents and their words go.
 
-An edge is known by a 64-bit hash and verified by an independent 32-bit one.  In
-a chunk only an edge's first occurrence is shipped in full; the others refer to it.
+An edge is known by a 64-bit hash and verified by an independent 32-bit one.  Only
+an edge's first occurrence in a chunk meets those of other chunks; the later ones
+wait at their chunk's label and take the source that their first one learnt.
 
 Defined results: null and texts shorter than a window lose nothing; ids are
 expected to be unique, rows that share an id and a text get the same result,
@@ -68,9 +69,13 @@ def _frames(pdf: pd.DataFrame, col: str, kind) -> list[np.ndarray]:
     return [np.frombuffer(b, kind) for b in pdf[col]]
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``docs``: id, key, text.  Per (id, key) with later occurrences: starts
-    and numbers of windows of the compacted spans, and their sources."""
+def _joined(pdf: pd.DataFrame, col: str, kind) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *_frames(pdf, col, kind)])
+
+
+def chunk_edges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+    """``docs``: id, key, text.  Per chunk and bucket the first occurrences of
+    edges, and per chunk the later ones of those that have such."""
     spark = docs.sparkSession
     total = text_bytes(docs)
 
@@ -83,7 +88,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     flags, bits = spark.sparkContext.broadcast(found.packed), found.bits
     cut = bucket_bits(spark, total, 8 << 20)
 
-    def emit(batches):
+    def occurrences(batches):
+        """Of each chunk its label, ids and keys, the edges' hashes, documents and
+        positions in order, which are an edge's first, and the others that count."""
         e, bitmap = Edges(window, gram), Bitmap(flags.value, bits)
         for batch, text in chunks(batches, "text"):
             e.read(text)
@@ -104,29 +111,52 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
             k = heads[ref]
             twin = ~new & (ids[doc] == ids[doc[k]]) & (keys[doc] == keys[doc[k]]) & (pos == pos[k])
             more = np.flatnonzero(~new & ~twin)
+            yield int(ids.min()), ids, keys, h, c, doc, pos, ref, heads, more
+
+    def emit_heads(batches):
+        for label, ids, keys, h, c, doc, pos, ref, heads, more in occurrences(batches):
             a = bucket_cuts(h[heads], cut)
-            b = np.searchsorted(ref[more], a)
-            label = int(ids.min())
+            tailed = np.zeros(len(heads), np.uint8)
+            tailed[ref[more]] = 1
             out = []
             for i in np.flatnonzero(np.diff(a)).tolist():
-                x, y = heads[a[i]:a[i + 1]], more[b[i]:b[i + 1]]
-                near, d = np.unique(np.concatenate([doc[x], doc[y]]), return_inverse=True)
+                x = heads[a[i]:a[i + 1]]
+                near, d = np.unique(doc[x], return_inverse=True)
                 out.append((i, label, ids[near].astype(np.int64).tobytes(), keys[near].astype(np.int64).tobytes(),
-                            h[x].tobytes(), c[x].tobytes(), d[:len(x)].astype(np.uint32).tobytes(), pos[x].tobytes(),
-                            d[len(x):].astype(np.uint32).tobytes(), pos[y].tobytes(),
-                            (ref[y] - a[i]).astype(np.uint32).tobytes()))
+                            h[x].tobytes(), c[x].tobytes(), d.astype(np.uint32).tobytes(), pos[x].tobytes(),
+                            tailed[a[i]:a[i + 1]].tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.int64()),
-                 *(pa.array([r[j] for r in out], pa.binary()) for j in range(2, 11))], names)
+                 *(pa.array([r[j] for r in out], pa.binary()) for j in range(2, 9))], ["bucket", "label", *head_cols])
 
-    names = ["bucket", "label", "ids", "keys", "h", "c", "doc", "pos", "doc2", "pos2", "ref"]
+    def emit_tails(batches):
+        for label, ids, keys, h, c, doc, pos, ref, heads, more in occurrences(batches):
+            if not len(more):
+                continue
+            some, at = np.unique(ref[more], return_inverse=True)
+            x = heads[some]
+            row = (h[x], c[x], ids[doc[x]].astype(np.int64), pos[x], ids[doc[more]].astype(np.int64),
+                   keys[doc[more]].astype(np.int64), pos[more], at.astype(np.uint32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([label], pa.int64()), *(pa.array([v.tobytes()], pa.binary()) for v in row)],
+                ["label", *tail_cols])
+
+    head_cols = ["ids", "keys", "h", "c", "doc", "pos", "tailed"]
+    tail_cols = ["h", "c", "head_id", "head_pos", "id", "key", "pos", "ref"]
+    rows = docs.select("id", "key", "text")
+    return (rows.mapInArrow(emit_heads, "bucket int, label long, " + ", ".join(f"{k} binary" for k in head_cols)),
+            rows.mapInArrow(emit_tails, "label long, " + ", ".join(f"{k} binary" for k in tail_cols)))
+
+
+def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """``docs``: id, key, text.  Per (id, key) with later occurrences: starts
+    and numbers of windows of the compacted spans, and their sources."""
+    heads, tails = chunk_edges(docs, window, gram)
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         ids, keys = _frames(pdf, "ids", np.int64), _frames(pdf, "keys", np.int64)
         base = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
         h, c, pos = (np.concatenate(_frames(pdf, k, t)) for k, t in (("h", np.uint64), ("c", np.uint32), ("pos", np.uint32)))
-        sizes = [len(x) for x in _frames(pdf, "pos", np.uint32)]
-        heads = np.concatenate([[0], np.cumsum(sizes)])
         doc = np.concatenate([d + np.int64(o) for d, o in zip(_frames(pdf, "doc", np.uint32), base)])
         ids, keys = np.concatenate(ids), np.concatenate(keys)
         order = np.lexsort((pos, keys[doc], ids[doc], c, h))
@@ -135,26 +165,38 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
         new[1:] = (hs[1:] != hs[:-1]) | (cs[1:] != cs[:-1])
         first = np.empty(len(order), np.int64)  # of each entry, the entry of its edge's first occurrence
         first[order] = order[new][np.cumsum(new) - 1]
-        pos2, doc2 = np.concatenate(_frames(pdf, "pos2", np.uint32)), np.concatenate(
-            [d + np.int64(o) for d, o in zip(_frames(pdf, "doc2", np.uint32), base)])
-        ref = np.concatenate([r + np.int64(o) for r, o in zip(_frames(pdf, "ref", np.uint32), heads)])
-        d, p, f = np.concatenate([doc, doc2]), np.concatenate([pos, pos2]), np.concatenate([first, first[ref]])
-        later = ~((ids[d] == ids[doc[f]]) & (keys[d] == keys[doc[f]]) & (p == pos[f]))
-        d, p, f = d[later], p[later], f[later]
-        row = np.searchsorted(base, d, "right") - 1
+        tailed = _joined(pdf, "tailed", np.uint8) == 1
+        later = np.flatnonzero(~((ids[doc] == ids[doc[first]]) & (keys[doc] == keys[doc[first]]) & (pos == pos[first])))
+        row = np.searchsorted(base, doc[later], "right") - 1
         order = np.argsort(row, kind="stable")
         cuts = np.searchsorted(row[order], np.arange(len(pdf) + 1))
         out = []
         for i, label in enumerate(pdf["label"]):
-            o = order[cuts[i]:cuts[i + 1]]
+            o = later[order[cuts[i]:cuts[i + 1]]]
             if len(o):
-                out.append((label, ids[d[o]].tobytes(), keys[d[o]].tobytes(), p[o].tobytes(),
-                            ids[doc[f[o]]].tobytes(), pos[f[o]].tobytes()))
-        return pd.DataFrame(out, columns=["label", "id", "key", "pos", "src", "src_pos"])
-
-    def compact(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = pd.DataFrame({k: np.concatenate(_frames(pdf, k, t)) for k, t in (
-            ("id", np.int64), ("key", np.int64), ("pos", np.uint32), ("src", np.int64), ("src_pos", np.uint32))})
+                f, t = first[o], tailed[o]
+                out.append((label, ids[doc[o]].tobytes(), keys[doc[o]].tobytes(), pos[o].tobytes(),
+                            ids[doc[f]].tobytes(), pos[f].tobytes(), h[o[t]].tobytes(), c[o[t]].tobytes(),
+                            ids[doc[f[t]]].tobytes(), pos[f[t]].tobytes()))
+        return pd.DataFrame(out, columns=["label", "id", "key", "pos", "src", "src_pos", "h", "c", "h_src", "h_pos"])
+
+    def compact(pdf: pd.DataFrame, late: pd.DataFrame) -> pd.DataFrame:
+        kinds = (("id", np.int64), ("key", np.int64), ("pos", np.uint32), ("src", np.int64), ("src_pos", np.uint32))
+        met = {k: _joined(pdf, k, t) for k, t in kinds}
+        # later occurrences in the chunk: the source their first one learnt, or itself
+        edge = [("h", np.uint64), ("c", np.uint32)]
+        known = pd.DataFrame({k: _joined(pdf, k, t) for k, t in edge})
+        known["at"] = np.arange(len(known))
+        mine = pd.DataFrame({k: _joined(late, k, t) for k, t in edge}).merge(
+            known.drop_duplicates(["h", "c"]), "left", ["h", "c"])["at"].fillna(-1).to_numpy(np.int64)
+        src, src_pos = _joined(late, "head_id", np.int64), _joined(late, "head_pos", np.uint32)
+        src[mine >= 0] = _joined(pdf, "h_src", np.int64)[mine[mine >= 0]]
+        src_pos[mine >= 0] = _joined(pdf, "h_pos", np.uint32)[mine[mine >= 0]]
+        base = np.cumsum([0] + [len(x) for x in _frames(late, "c", np.uint32)])
+        ref = np.concatenate([np.zeros(0, np.int64),
+                              *(x + np.int64(o) for x, o in zip(_frames(late, "ref", np.uint32), base))])
+        own = {k: _joined(late, k, t) for k, t in kinds[:3]} | {"src": src[ref], "src_pos": src_pos[ref]}
+        t = pd.DataFrame({k: np.concatenate([met[k], own[k]]) for k in met})
         t = t.drop_duplicates(["id", "key", "pos"]).sort_values(["id", "key", "pos"], kind="stable")
         a = {k: t[k].to_numpy().astype(np.int64) for k in t}
         other = np.ones(len(t), bool)
@@ -167,11 +209,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
                               "source_starts": a["src_pos"][begin]})
         return spans.groupby(["id", "key"], sort=False).agg(list).reset_index()
 
-    edges = docs.select("id", "key", "text").mapInArrow(
-        emit, "bucket int, label long, " + ", ".join(f"{k} binary" for k in names[2:]))
-    met = edges.groupBy("bucket").applyInPandas(
-        meet, "label long, id binary, key binary, pos binary, src binary, src_pos binary")
-    return met.groupBy("label").applyInPandas(
+    met = heads.groupBy("bucket").applyInPandas(
+        meet, "label long, id binary, key binary, pos binary, src binary, src_pos binary, h binary, c binary, "
+              "h_src binary, h_pos binary")
+    return met.groupBy("label").cogroup(tails.groupBy("label")).applyInPandas(
         compact, "id long, key long, starts array<long>, windows array<long>, sources array<long>, "
                  "source_starts array<long>")
 

@@ -196,3 +196,19 @@ def test_empty_tables(spark):
     empty = docs(spark, [])
     for f in (jaccard_components, grace_dedup, drop_repeats, drop_repeated_bytes):
         assert f(empty).collect() == []
+
+
+def test_hot_passage_meets_once_per_chunk(spark):
+    """Of a passage that every document holds, one entry per chunk meets the others."""
+    from helpers import BASE
+    from docloom.llm.op08_substring_dedup import chunk_edges, drop_repeats, keyed
+    data = [(i, f"own{i} {BASE} end{i} {BASE}", "en", "a") for i in range(300)]
+    df = docs(spark, data)
+    heads, tails = chunk_edges(keyed(df, "doc_id", "text"))
+    h = np.concatenate([np.frombuffer(r.h, np.uint64) for r in heads.collect()])
+    assert np.unique(h, return_counts=True)[1].max() <= df.rdd.getNumPartitions()
+    assert sum(len(r.pos) // 4 for r in tails.collect()) > 300
+    got = as_dict(drop_repeats(df))
+    n = len(BASE.split())
+    assert got[0].kept == f"own0 {BASE} end0" and got[0].n_removed == n
+    assert all(got[i].kept == f"own{i} end{i}" and got[i].n_removed == 2 * n for i in range(1, 300))
