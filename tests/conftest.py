@@ -8,24 +8,14 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from docloom.session import get_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session(master="local[*]", shuffle_partitions=8)
-    yield s
+    """The one session of a test run; subfolders use it too."""
+    yield get_session(master="local[*]", shuffle_partitions=8, extra={"spark.driver.memory": "12g"})
 
 
 @pytest.fixture()
 def scratch():
     """A fresh folder per test (never reused, never cleared)."""
     return tempfile.mkdtemp(prefix="docloom-test-")
-
-
-def docs_df(spark, rows, context=("k",)):
-    """Rows of (context..., json text) -> DataFrame with ``doc`` VARIANT."""
-    cols = list(context) + ["body"]
-    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))
-    from docloom.operators.nested import parse_documents
-    return parse_documents(df, "body", "doc")

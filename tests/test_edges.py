@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import docs_df
+from support import docs_df
 from docloom.functions.json import varr, vstr
 from docloom.operators.chain import chain
 from docloom.operators.flatten import flatten

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from docloom.sources import fixtures as fx
 from docloom.sources.tables import load_table
 

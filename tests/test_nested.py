@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import docs_df
+from support import docs_df
 from docloom.functions.json import vstr
 from docloom.operators.nested import extract_keys, key_census, path_rows, stamp
 

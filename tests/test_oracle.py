@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
-from conftest import SF_SMALL
+from support import SF_SMALL
 from docloom.plans.registry import QUERIES, oracle
 from docloom.sources.tables import TABLES
 

@@ -4,7 +4,7 @@ filters reaching the scan."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, docs_df
+from support import SF_SMALL, docs_df
 from docloom.functions.json import varr, vstr
 from docloom.operators import load as ld
 from docloom.operators.nested import path_rows
