@@ -1,23 +1,5 @@
-import os
-import sys
-import tempfile
-
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-sys.path.insert(0, ROOT)
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
-
-@pytest.fixture(scope="session")
-def spark():
-    from pyspark.sql import SparkSession
-    s = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "4")
-         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="docloom-test-")).getOrCreate())
-    s.sparkContext.setLogLevel("ERROR")
-    return s
-
 
 @pytest.fixture()
 def tables(spark, tmp_path):
