@@ -161,6 +161,13 @@ def split_words(raw: np.ndarray, offs: np.ndarray, gap: np.ndarray):
     return start, end, np.searchsorted(start, offs)
 
 
+def word_array(raw: np.ndarray, gap: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The words of ``split_words`` as an Arrow text array."""
+    cut = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(end - start, out=cut[1:])
+    return pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(cut), pa.py_buffer(raw[~gap])])
+
+
 def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, powers: Powers) -> np.ndarray:
     return span_hash(byte_prefix(raw, powers), start, end, powers)
 

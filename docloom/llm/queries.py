@@ -241,6 +241,113 @@ FROM c JOIN size USING (item_id) WHERE n_common * 5 >= n * 4
 """
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.op11_conversation_repair import damage, repair_conversations
+    return repair_conversations(damage(read_table(spark, sf_dir, "conversations")))
+
+
+# Rows after damage, their faults, then the edit lattice row by row: the cheapest edits
+# (ties ASCII-least) that end in each state (0 nothing, 1 system, 2 user, 3 assistant).
+SQL["op11_conversation_repair"] = r"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+h AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)), 4294967295::BIGINT) % 20 AS kind
+  FROM k),
+d AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM h WHERE kind <> 0),
+o AS (
+  SELECT *, row_number() OVER w AS i, lag(role[1]) OVER w AS before,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS kept,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+  FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy)),
+f AS (
+  SELECT *, CASE WHEN kept = '' THEN 'b' WHEN nth > 1 THEN 'd' WHEN kept[-1] IN ('.', '!', '?') THEN 'f' ELSE 't' END AS fault,
+         before IS NOT NULL AND before || role[1] NOT IN ('su', 'ua', 'au') AS odd FROM o),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+walk AS (
+  SELECT ids.conv_id, 0::BIGINT AS i, 0 AS state, {'cost': 0::BIGINT, 'audit': '', 'lines': ''} AS best FROM ids
+  UNION ALL
+  SELECT conv_id, i, state, min(best) AS best FROM (
+    SELECT r.conv_id, r.i, e.state, {
+        'cost': s.best.cost + s.ins_cost + e.cost, 'audit': s.best.audit || s.ins || e.letter,
+        'lines': s.best.lines || s.ins_lines || CASE e.letter WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || r.role || ':' || r.text
+                 ELSE chr(10) || (CASE e.state WHEN 2 THEN 'user:' ELSE 'assistant:' END) || r.text END} AS best
+    FROM (
+      SELECT conv_id, i, best, state, 0 AS ins_cost, '' AS ins, '' AS ins_lines FROM walk
+      UNION ALL SELECT conv_id, i, best, CASE state WHEN 2 THEN 3 ELSE 2 END, 3, 'I',
+                       CASE state WHEN 2 THEN chr(10) || 'assistant:' ELSE chr(10) || 'user:' END FROM walk
+      UNION ALL SELECT conv_id, i, best, 3, 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:' FROM walk WHERE state <> 2) s
+    JOIN f r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.i = s.i + 1,
+    LATERAL (
+      SELECT 'D' AS letter, s.state AS state, 4 AS cost
+      UNION ALL SELECT 'K', CASE r.role[1] WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END, CASE r.fault WHEN 't' THEN 3 ELSE 0 END
+        WHERE r.fault IN ('f', 't') AND ((r.role[1] = 's' AND s.state = 0) OR (r.role[1] = 'u' AND s.state <> 2)
+                                         OR (r.role[1] = 'a' AND s.state = 2))
+      UNION ALL SELECT 'R', CASE s.state WHEN 2 THEN 3 ELSE 2 END, CASE r.fault WHEN 't' THEN 6 ELSE 3 END
+        WHERE r.fault IN ('f', 't')) e)
+  GROUP BY conv_id, i, state),
+done AS (
+  SELECT conv_id, min(best) AS best FROM (
+    SELECT conv_id, i, state, best FROM walk
+    UNION ALL SELECT conv_id, i, 3, {'cost': best.cost + 3, 'audit': best.audit || 'I', 'lines': best.lines || chr(10) || 'assistant:'}
+      FROM walk WHERE state = 2
+    UNION ALL SELECT conv_id, i, 3, {'cost': best.cost + 6, 'audit': best.audit || 'II',
+                                     'lines': best.lines || chr(10) || 'user:' || chr(10) || 'assistant:'} FROM walk WHERE state = 1) w
+  WHERE state IN (0, 3) AND i = (SELECT count(*) FROM f WHERE f.conv_id IS NOT DISTINCT FROM w.conv_id) GROUP BY conv_id),
+n AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+         count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (odd) AS illegal
+  FROM f GROUP BY conv_id)
+SELECT done.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.cost AS cost, best.audit AS audit,
+       sha256(best.lines[2:]) AS repaired_sha256
+FROM done LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM done.conv_id
+"""
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.op12_ranked_search import rank_documents
+    return rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+SQL["op12_ranked_search"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM documents),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term FROM benchmark),
+t AS (SELECT count(*) FILTER (len(ws) > 0) AS n, sum(len(ws))::BIGINT AS l FROM d),
+tf AS (
+  SELECT r, doc_id, len(ws) AS size, term, count(*) AS tf FROM (SELECT r, doc_id, ws, unnest(ws) AS term FROM d)
+  WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, t GROUP BY term, n),
+s AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * size * n) // l))))::BIGINT AS score
+  FROM i JOIN tf USING (term) JOIN w USING (term), t GROUP BY item_id, r, doc_id)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM s WHERE score > 0) WHERE rank <= 50
+"""
+
+
+def packing_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.op13_best_fit_packing import pack
+    return pack(read_table(spark, sf_dir, "documents"), packing_path())
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
@@ -252,4 +359,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
