@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.session import ensure_checkpoint_dir
+
 
 def number_rows(df: DataFrame, group: list[str], order: list[Column], out: str = "pos",
                 partitions: int | None = None) -> DataFrame:
@@ -20,6 +22,7 @@ def number_rows(df: DataFrame, group: list[str], order: list[Column], out: str =
     ``order`` should tell rows apart: equal rows get different positions in any
     order, and all of them fall into one range.  Groups may be null.  The ranged
     rows are checkpointed, so a repeated task sees the same partitions."""
+    ensure_checkpoint_dir(df.sparkSession)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g).asc_nulls_first() for g in group]
     ranged = df.repartitionByRange(n, *keys, *order).withColumn("_part", F.spark_partition_id()).checkpoint(eager=True)
