@@ -354,12 +354,13 @@ def _long(rows: DataFrame, block_rows: int, fan: int) -> DataFrame:
     merged = store(merged, "long_rows")
     there = merged.filter(~F.col("gone"))
     place = F.struct(F.col("turn").isNotNull(), F.col("turn"))
-    first = there.groupBy("conv", "role", "sha").agg(F.min(place).alias("first"))
-    same = there["conv"].eqNullSafe(first["conv"]) & (there["role"] == first["role"]) & (there["sha"] == first["sha"])
+    first = there.groupBy(F.col("conv").alias("_c"), F.col("role").alias("_r"), F.col("sha").alias("_s")).agg(
+        F.min(place).alias("first"))
+    same = F.col("conv").eqNullSafe(F.col("_c")) & (F.col("role") == F.col("_r")) & (F.col("sha") == F.col("_s"))
     tail = F.rtrim("text", F.lit(SPACES))
     items = there.join(first, same).select(
-        there["conv"], "turn", there["role"], there["sha"], "more",
-        F.when(tail == "", BLANK).when(place != F.col("first"), DUPLICATE)
+        "conv", "turn", "role", "sha", "more",
+        F.when(tail == "", BLANK).when(~place.eqNullSafe(F.col("first")), DUPLICATE)
          .when(F.right(tail, F.lit(1)).isin(".", "!", "?"), FINE).otherwise(TRUNCATED).alias("fault"))
     items = store(number_rows(items, ["conv"], [F.col("turn").asc_nulls_first(), F.col("role"), F.col("sha")], "item")
                   .withColumn("block", F.expr(f"item div {block_rows}")), "long_items")

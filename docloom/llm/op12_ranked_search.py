@@ -20,7 +20,7 @@ w * part over the query's distinct terms.  N counts the documents that hold a
 term, n and L terms with repeats, df over all documents.
 
 Terms are runs of ASCII letters and digits and non-ASCII characters, A-Z
-lower-cased; they are compared as texts, not as hashes.
+lower-cased; they are compared as texts, not as hashes.  Rows of one item id are one query.
 
 Defined results: null and wordless texts and queries match nothing; documents
 that share an id are ranked each, in any order among equals; a null id comes after
@@ -43,7 +43,7 @@ TOP = 50
 #: bytes of text of one chunk and its lists
 CHUNK = 1 << 23
 #: distinct (query, term) pairs that one scan of the documents looks up
-BLOCK_TERMS = 1_000_000
+BLOCK_TERMS = 250_000
 #: first step of the merge: shares of a query's candidates
 SHARES = 64
 
@@ -129,7 +129,7 @@ class Best:
     """The k best (score, id) of a query seen so far by a task."""
 
     def __init__(self, k: int):
-        self.k, self.score, self.id, self.null = k, np.zeros(0, np.int64), None, None
+        self.k, self.score, self.id = k, np.zeros(0, np.int64), None
 
     def floor(self) -> int:
         return int(self.score[-1]) if len(self.score) == self.k else 0
@@ -143,11 +143,11 @@ class Best:
 
 
 def search_chunk(lists: Lists, part: np.ndarray, query: list[tuple[int, int]], top: int, floor: int,
-                 acc: np.ndarray) -> tuple[np.ndarray, int]:
-    """Documents of the chunk that may be among the best ``top``, their exact
-    scores in ``acc`` (zeroed by the caller), and the accumulators created.
-    ``query`` is its (term, weight) pairs, the rarest first; a document whose score is
-    below ``floor`` is of no use."""
+                 acc: np.ndarray, has: np.ndarray) -> np.ndarray:
+    """Documents of the chunk that got an accumulator, among them all that can be
+    among the best ``top``; their exact scores are in ``acc``, ``has`` marks them (the
+    caller clears both).  ``query`` is its (term, weight) pairs, the rarest first; a
+    document whose score is below ``floor`` is of no use."""
     cut = lists.cut
     most = np.array([w * int(part[cut[t]:cut[t + 1]].max(initial=0)) for t, w in query], np.int64)
     rest = np.concatenate([np.cumsum(most[::-1])[::-1], [0]])
@@ -161,16 +161,18 @@ def search_chunk(lists: Lists, part: np.ndarray, query: list[tuple[int, int]], t
         if creating:
             # the k-th best partial score; only worth looking up once it can matter
             kth = floor
-            if len(held) >= top and rest[j] < 2 * int(acc[held].max()):
+            if len(held) >= top and rest[j] <= int(acc[held].max()):
                 kth = max(kth, int(np.partition(acc[held], len(held) - top)[len(held) - top]))
             creating = rest[j] >= kth
-        old = acc[doc] > 0
+        old = has[doc]
         if creating:
-            held = np.concatenate([held, doc[~old]])
+            new = doc[~old]
+            has[new] = True
+            held = np.concatenate([held, new])
             acc[doc] += w * part[a:b]
         else:
             acc[doc[old]] += w * part[a:b][old]
-    return held, len(held)
+    return held
 
 
 def rank_documents(docs: DataFrame, items: DataFrame, top: int = TOP, id_col: str = "doc_id", text_col: str = "text",
@@ -199,13 +201,13 @@ def rank_documents(docs: DataFrame, items: DataFrame, top: int = TOP, id_col: st
                     continue
                 m = 50 + (50 * lists.n * n_docs) // max(n_terms, 1)
                 part = (1_000_000_000 * lists.tf) // (1000 * lists.tf + 20 * m[lists.doc])
-                acc = np.zeros(len(lists.n), np.int64)
+                acc, has = np.zeros(len(lists.n), np.int64), np.zeros(len(lists.n), bool)
                 ids = batch.column(0)
                 for q, mine in enumerate(queries):
                     floor = best[q].floor()
-                    held, _ = search_chunk(lists, part, mine, top, floor, acc)
+                    held = search_chunk(lists, part, mine, top, floor, acc, has)
                     score = acc[held]
-                    acc[held] = 0
+                    acc[held], has[held] = 0, False
                     use = np.flatnonzero(score >= max(floor, 1))
                     if len(use) > top:  # ties with the k-th stay: their ids decide
                         kth = np.partition(score[use], len(use) - top)[len(use) - top]

@@ -264,11 +264,10 @@ d AS (
   FROM h WHERE kind <> 0),
 o AS (
   SELECT *, row_number() OVER w AS i, lag(role[1]) OVER w AS before,
-         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS kept,
-         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS kept
   FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy)),
 f AS (
-  SELECT *, CASE WHEN kept = '' THEN 'b' WHEN nth > 1 THEN 'd' WHEN kept[-1] IN ('.', '!', '?') THEN 'f' ELSE 't' END AS fault,
+  SELECT *, CASE WHEN kept = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd' WHEN kept[-1] IN ('.', '!', '?') THEN 'f' ELSE 't' END AS fault,
          before IS NOT NULL AND before || role[1] NOT IN ('su', 'ua', 'au') AS odd FROM o),
 ids AS (SELECT DISTINCT conv_id FROM conversations),
 walk AS (
