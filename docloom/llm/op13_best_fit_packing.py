@@ -15,9 +15,11 @@ from its place in its task and the counts of the tasks before, so a length that
 third of all pieces share is numbered by all tasks, without one sort or window
 over its pieces; the rules are then looked up row by row.
 
-Encoding: words between ASCII white space are encoded once per task and batch by
-the tokenizers library.  Its normaliser and splitter never join text across white
-space, so the ids of a text are those of its words in order.
+Encoding: each distinct word between ASCII white space is encoded once per task by
+the tokenizers library, a thousand at a time with a separator between them.  Its
+normaliser and splitter never join text across white space, nor across the place
+where an ASCII letter meets a stop, so words are cut there too; the ids of a text are
+those of its words in order.
 
 Defined results: a null or empty text is the end id alone; a null id is kept;
 every row is packed, rows that share an id too; an empty table gives no rows;
@@ -34,14 +36,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.common import buffers, chunks, is_space, split_words, store, word_array
+from docloom.llm.common import buffers, chunks, is_space, lower_ascii, split_words, store, word_array
 
 CAPACITY = 2048
 END_ID = 0
 #: bytes of text encoded at a time
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 23
 #: distinct words a task remembers
-CACHE_WORDS = 1 << 18
+CACHE_WORDS = 600_000
+#: words encoded in one call, and the word that stands between them
+JOINED = 1000
+SEPARATOR = "\x01"
+STOPS = np.isin(np.arange(256), np.frombuffer(b".,;:!?)", np.uint8))
+LETTERS = np.isin(np.arange(256), np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8))
 
 
 # ------------------------------------------------------------------ encoding
@@ -55,6 +62,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id = end_id
+        self.between = self.tokenizer.encode(SEPARATOR, add_special_tokens=False).ids
         self.forget()
 
     def forget(self) -> None:
@@ -62,34 +70,56 @@ class WordEncoder:
         self.ids = np.array([self.end_id], np.uint32)
         self.cut = np.array([0, 1], np.int64)
 
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of ids of each)."""
+        ids = np.array(self.tokenizer.encode_batch_fast(
+            [f" {SEPARATOR} ".join(words) + f" {SEPARATOR}"], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(ids == self.between[0])
+        if len(self.between) == 1 and len(ends) == len(words):
+            return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array([i for w in got for i in w], np.uint32), np.fromiter(map(len, got), np.int64, len(got))
+
     def learn(self, words: list[str]) -> np.ndarray:
         """Number of each of the (distinct) words; new ones are encoded."""
         if len(self.known) > CACHE_WORDS:
             self.forget()
         new = [w for w in words if w not in self.known]
         if new:
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            odd = {w for w in new if SEPARATOR in w}  # these in calls without a separator
+            new = [w for w in new if w not in odd] + sorted(odd)
+            plain = len(new) - len(odd)
+            got = [self.encode_words(new[k:min(k + JOINED, plain)]) for k in range(0, plain, JOINED)]
+            got += [self.encode_words([w]) for w in new[plain:]]
+            sizes = np.concatenate([n for _, n in got])
             self.known.update(zip(new, range(len(self.cut) - 1, len(self.cut) - 1 + len(new))))
-            sizes = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter((i for ids in got for i in ids), np.uint32, int(sizes.sum()))
-            self.ids = np.concatenate([self.ids, flat])
+            self.ids = np.concatenate([self.ids, *(i for i, _ in got)])
             self.cut = np.concatenate([self.cut, self.cut[-1] + np.cumsum(sizes)])
-        return np.fromiter((self.known[w] for w in words), np.int64, len(words))
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, start of each text's ids + total)."""
         raw, offs = buffers(text)
         gap = is_space(raw)
-        start, end, first = split_words(raw, offs, gap)
+        if b"<|" not in raw.tobytes():  # no special token, whose letters must stay as they are
+            raw = lower_ascii(raw)
+            start, end, first = split_words(raw, offs, gap)
+            cut = np.zeros(len(raw), bool)
+            cut[1:] = LETTERS[raw[:-1]] & STOPS[raw[1:]]
+            cut[start] = False
+            cut = np.flatnonzero(cut)
+            start, end = np.sort(np.concatenate([start, cut])), np.sort(np.concatenate([end, cut]))
+            first = np.searchsorted(start, offs)
+        else:
+            start, end, first = split_words(raw, offs, gap)
         coded = word_array(raw, gap, start, end).dictionary_encode()
         number = self.learn(coded.dictionary.to_pylist())
         words = number[coded.indices.to_numpy(zero_copy_only=False)]
-        words = np.insert(words, first[1:], 0)  # the end of each text
+        words = np.insert(words, first[1:], 0)  # the ends of the texts
         first = first + np.arange(len(first))
-        sizes = self.cut[words + 1] - self.cut[words]
-        at = np.concatenate([[0], np.cumsum(sizes)])
-        take = np.arange(at[-1]) + np.repeat(self.cut[words] - at[:-1], sizes)
-        return self.ids[take], at[first]
+        table = pa.LargeListArray.from_arrays(pa.array(self.cut), pa.array(self.ids))
+        found = table.take(pa.array(words))
+        return found.values.to_numpy(), found.offsets.to_numpy()[first]
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
