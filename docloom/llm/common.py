@@ -3,7 +3,9 @@ of Arrow batches, vectorised word splitting and hashing, graph components."""
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 
 import numpy as np
@@ -58,6 +60,15 @@ def bucket_count(spark: SparkSession, total_bytes: int, per_bucket: int) -> int:
     return max(least, -(-int(total_bytes) // per_bucket))
 
 
+def per_worker(key, make):
+    """An object that all tasks of a Python worker share (``make`` builds it once).
+    Code of this package is new in every task, so it is kept beside the modules."""
+    held = sys.modules.setdefault("_docloom_worker", types.ModuleType("_docloom_worker")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 # ---------------------------------------------------------------- chunks
 def as_text(col: pa.Array) -> pa.Array:
     """A plain string array without nulls (null counts as empty)."""

@@ -15,7 +15,7 @@ from its place in its task and the counts of the tasks before, so a length that
 third of all pieces share is numbered by all tasks, without one sort or window
 over its pieces; the rules are then looked up row by row.
 
-Encoding: each distinct word between ASCII white space is encoded once per task by
+Encoding: each distinct word between ASCII white space is encoded once per worker by
 the tokenizers library, a thousand at a time with a separator between them.  Its
 normaliser and splitter never join text across white space, nor across the place
 where an ASCII letter meets a stop, so words are cut there too; the ids of a text are
@@ -36,16 +36,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.common import buffers, chunks, is_space, lower_ascii, split_words, store, word_array
+from docloom.llm.common import buffers, chunks, is_space, lower_ascii, per_worker, split_words, store, word_array
 
 CAPACITY = 2048
 END_ID = 0
 #: bytes of text encoded at a time
-BATCH_BYTES = 1 << 23
-#: distinct words a task remembers
-CACHE_WORDS = 600_000
+BATCH_BYTES = 1 << 22
+#: distinct words a worker remembers
+CACHE_WORDS = 400_000
 #: words encoded in one call, and the word that stands between them
 JOINED = 1000
+#: longest word given to the model itself
+PLAIN = 200
 SEPARATOR = "\x01"
 STOPS = np.isin(np.arange(256), np.frombuffer(b".,;:!?)", np.uint8))
 LETTERS = np.isin(np.arange(256), np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8))
@@ -63,13 +65,40 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id = end_id
         self.between = self.tokenizer.encode(SEPARATOR, add_special_tokens=False).ids
+        self.letters = self.plain_letters()
+        self.known_letters = dict.fromkeys(self.letters)
         self.forget()
 
+    def plain_letters(self) -> dict[int, str]:
+        """Letters of the Latin blocks that the normaliser leaves alone and the splitter
+        keeps together, with what the splitter makes of each.  A word of such letters
+        can go to the model itself.  Empty if this tokenizer treats any of them otherwise."""
+        t = self.tokenizer
+        keep = [c for c in map(chr, range(0x250)) if c.isalpha() and c.lower() == c
+                and (t.normalizer is None or t.normalizer.normalize_str(c) == c)]
+        split = lambda w: [x for x, _ in t.pre_tokenizer.pre_tokenize_str(w)] if t.pre_tokenizer else [w]
+        table = {ord(c): split(c) for c in keep}
+        word = "".join(keep)
+        if any(len(v) != 1 for v in table.values()) or (
+                t.normalizer is not None and t.normalizer.normalize_str(word) != word):
+            return {}
+        table = {k: v[0] for k, v in table.items()}
+        return table if split(word) == [word.translate(table)] else {}
+
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.ids = np.array([self.end_id], np.uint32)
         self.cut = np.array([0, 1], np.int64)
 
+    def plain(self, word: str) -> bool:
+        return len(word) <= PLAIN and word.isalpha() and word.translate(self.known_letters) == ""
+
+    def model_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        model, table = self.tokenizer.model, self.letters
+        got = [[x.id for x in model.tokenize(w.translate(table))] for w in words]
+        return (np.fromiter((i for ids in got for i in ids), np.uint32),
+                np.fromiter(map(len, got), np.int64, len(got)))
+
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, number of ids of each)."""
         ids = np.array(self.tokenizer.encode_batch_fast(
@@ -86,11 +115,14 @@ class WordEncoder:
             self.forget()
         new = [w for w in words if w not in self.known]
         if new:
-            odd = {w for w in new if SEPARATOR in w}  # these in calls without a separator
-            new = [w for w in new if w not in odd] + sorted(odd)
-            plain = len(new) - len(odd)
-            got = [self.encode_words(new[k:min(k + JOINED, plain)]) for k in range(0, plain, JOINED)]
-            got += [self.encode_words([w]) for w in new[plain:]]
+            kinds: tuple[list, list, list] = ([], [], [])
+            for w in new:
+                kinds[0 if self.plain(w) else 2 if SEPARATOR in w else 1].append(w)
+            plain, mixed, odd = kinds  # odd ones in calls without a separator
+            new = plain + mixed + odd
+            got = [self.model_words(plain)] if plain else []
+            got += [self.encode_words(mixed[k:k + JOINED]) for k in range(0, len(mixed), JOINED)]
+            got += [self.encode_words([w]) for w in odd]
             sizes = np.concatenate([n for _, n in got])
             self.known.update(zip(new, range(len(self.cut) - 1, len(self.cut) - 1 + len(new))))
             self.ids = np.concatenate([self.ids, *(i for i, _ in got)])
@@ -132,7 +164,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id
     def run(batches):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        coder = WordEncoder(tokenizer, end_id)
+        coder = per_worker(("op13", tokenizer, end_id), lambda: WordEncoder(tokenizer, end_id))
         task = TaskContext.get().partitionId()
         held = np.zeros(capacity + 1, np.int64)
         for batch, text in chunks(batches, "text", BATCH_BYTES):
