@@ -1,3 +1,3 @@
-"""Incremental ingest of landed documents with Structured Streaming."""
+"""Incremental ingest (Structured Streaming)."""
 
-from docloom.streaming.ingest import start_ingest  # noqa: F401
+from docloom.streaming.ingest import ingest_rejects, ingested, start_ingest  # noqa: F401

@@ -1,10 +1,10 @@
 """Incremental document ingest from a landing folder.
 
-A file stream over ``<landing>/resource=<name>/`` picks up only documents
-not seen before (the checkpoint remembers processed files).  Each micro-batch
-is parsed, stamped and appended under ``load_id = <stream>-<batch id>``: a batch
-replayed after a failure takes the place of its earlier attempt, so the table
-holds every document once.
+A file stream over ``<landing>/resource=<name>/`` picks up only documents not seen
+before (the checkpoint remembers processed files).  Lines are parsed, stamped and
+written by Spark's file sink, whose own log makes a micro-batch that is replayed
+after a failure count once.  Good and bad lines go to one table, partitioned by
+``state``, so the landing folder is read and parsed once.
 ``trigger(availableNow=True)`` processes what is there and stops, which is
 how a daily or polled load runs.
 """
@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docloom.sources.landing import documents, parse_landed, rejects
-from docloom.operators.load import append_load
 from docloom.operators.nested import stamp
+from docloom.sources.landing import parse_landed
+
+LOADED, REJECTED = "loaded", "rejected"
 
 
 def landed_stream(spark: SparkSession, landing: str, resource: str,
@@ -30,10 +31,19 @@ def landed_stream(spark: SparkSession, landing: str, resource: str,
         .select("value", F.lit(resource).alias("resource"))
 
 
+def ingest_frame(lines: DataFrame, context: list[str]) -> DataFrame:
+    """Landed lines -> stamped documents and rejects, told apart by ``state``."""
+    parsed = parse_landed(lines, context)
+    for k in context:
+        parsed = parsed.withColumnRenamed(k, f"request_{k}")
+    docs = stamp(parsed, "doc", {k: F.col(f"request_{k}") for k in context})
+    return docs.withColumn("state", F.when(F.col("reject").isNull(), LOADED).otherwise(REJECTED))
+
+
 def start_ingest(spark: SparkSession, landing: str, resource: str, context: list[str],
                  out_root: str, table: str | None = None, stream_name: str | None = None,
-                 checkpoint: str | None = None, cluster_by: list[str] | None = None,
-                 available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 checkpoint: str | None = None, available_now: bool = True,
+                 max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental load of one resource; returns the query (call
     ``awaitTermination()`` on it).  Progress is kept beside the tables, in
     ``<out_root>/_streams/<stream name>``, so another application goes on where
@@ -41,21 +51,22 @@ def start_ingest(spark: SparkSession, landing: str, resource: str, context: list
     table = table or resource
     name = stream_name or f"ingest-{table}"
     ckpt = checkpoint or f"{out_root.rstrip('/')}/_streams/{name}"
-    cluster = list(cluster_by if cluster_by is not None else context)
-
-    def load_batch(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_landed(batch, context)
-        docs = documents(parsed)
-        for k in context:
-            docs = docs.withColumnRenamed(k, f"request_{k}")
-        docs = stamp(docs, "doc", {k: F.col(f"request_{k}") for k in context})
-        append_load(docs, out_root, table, f"{name}-{batch_id:010d}",
-                    cluster_by=[f"request_{k}" for k in cluster])
-        append_load(rejects(parsed), out_root, f"{table}_rejects", f"{name}-{batch_id:010d}")
-
     # a repeated key keeps its last value, whatever session this runs in
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    w = (landed_stream(spark, landing, resource, max_files_per_trigger).writeStream
-         .queryName(name).option("checkpointLocation", ckpt).foreachBatch(load_batch))
+    lines = landed_stream(spark, landing, resource, max_files_per_trigger)
+    w = (ingest_frame(lines, context).writeStream.queryName(name).format("parquet").partitionBy("state")
+         .option("checkpointLocation", ckpt).option("path", f"{out_root.rstrip('/')}/{table}"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def ingested(spark: SparkSession, out_root: str, table: str) -> DataFrame:
+    """The documents that ``start_ingest`` has loaded."""
+    t = spark.read.parquet(f"{out_root.rstrip('/')}/{table}")
+    return t.where(F.col("state") == LOADED).drop("state", "reject", "line")
+
+
+def ingest_rejects(spark: SparkSession, out_root: str, table: str) -> DataFrame:
+    """The lines that were no documents: resource, reason, line."""
+    t = spark.read.parquet(f"{out_root.rstrip('/')}/{table}")
+    return t.where(F.col("state") == REJECTED).select("resource", F.col("reject").alias("reason"), "line")

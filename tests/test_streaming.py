@@ -1,10 +1,9 @@
 from pyspark.sql import functions as F
 
 from support import SF_SMALL
-from docloom.operators.load import read_table
 from docloom.sources import fixtures as fx
 from docloom.sources.landing import read_landed, write_landed
-from docloom.streaming import start_ingest
+from docloom.streaming import ingested, start_ingest
 
 
 def test_incremental_ingest_exactly_once(spark, scratch):
@@ -16,7 +15,7 @@ def test_incremental_ingest_exactly_once(spark, scratch):
 
     def run():
         start_ingest(spark, land, "scoreboard", ["date"], out, checkpoint=ck).awaitTermination()
-        return read_table(spark, out, "scoreboard")
+        return ingested(spark, out, "scoreboard")
 
     assert run().count() == first.count()
     assert run().count() == first.count()            # nothing new -> nothing added
