@@ -3,24 +3,43 @@ row with higher-order functions: no join, no shuffle)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.json import vstr
 
 
-def pair_sides(rows: DataFrame, group: list[str], side: str, left: str, right: str, order: list[str],
-               values: list[str], out: tuple[str, str, str] = ("pair", "l", "r")) -> DataFrame:
-    """Q3: pair the k-th ``left`` row with the k-th ``right`` row of each group,
-    k counted over the whole group in ``order``.  Rows without a counterpart
-    come out with NULL on the other side; nothing is multiplied and nothing lost."""
-    pos, lcol, rcol = out
-    k = F.row_number().over(Window.partitionBy(*group, side).orderBy(*order)) - 1
-    ranked = rows.where(F.col(side).isin(left, right)).withColumn(pos, k)
-    value = F.struct(*values)
-    return ranked.groupBy(*group, pos).agg(
-        F.any_value(F.when(F.col(side) == left, value), ignoreNulls=True).alias(lcol),
-        F.any_value(F.when(F.col(side) == right, value), ignoreNulls=True).alias(rcol))
+def side_classes(rows: DataFrame, group: list[str], side: str, left: str, right: str, values: list[str]) -> DataFrame:
+    """Q3: the product of a group's ``left`` and ``right`` rows, factorised.
+
+    One row per (group, side, values) with ``n_entries``, its number of rows, and
+    ``n_partners``, the rows on the other side: it stands for n_entries * n_partners
+    pairs, so a group of l and r rows costs at most l + r rows instead of l * r.  A
+    group without one of the sides gives no rows, as the product does.  Both counts are
+    partial aggregates; no group meets in one task."""
+    both = rows.where(F.col(side).isin(left, right))
+    classes = both.groupBy(*group, side, *values).agg(F.count(F.lit(1)).alias("n_entries"))
+    totals = classes.groupBy(*[F.col(g).alias(f"_{g}") for g in group]).agg(
+        *[F.sum(F.when(F.col(side) == s, F.col("n_entries")).otherwise(0)).alias(n) for s, n in ((left, "_l"), (right, "_r"))])
+    same = F.lit(True)
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
+    return classes.join(totals.where("_l > 0 AND _r > 0"), same).select(
+        *group, side, *values, "n_entries", F.when(F.col(side) == left, F.col("_r")).otherwise(F.col("_l")).alias("n_partners"))
+
+
+def expand_product(classes: DataFrame, group: list[str], side: str, left: str, right: str, values: list[str],
+                   names: tuple[str, str] = ("l", "r")) -> DataFrame:
+    """The pairs that ``side_classes`` stands for, each as one row: for groups whose
+    pairs are wanted one by one (a day's games), after filtering on the group."""
+    one = [classes.where(F.col(side) == s).select(*[F.col(g).alias(f"_{n}{g}" if n == names[1] else g) for g in group],
+                                                   *[F.col(v).alias(f"{n}_{v}") for v in values], F.col("n_entries").alias(f"_n{n}"))
+           for s, n in ((left, names[0]), (right, names[1]))]
+    same = F.lit(True)
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_{names[1]}{g}"))
+    times = F.explode(F.array_repeat(F.lit(0), (F.col(f"_n{names[0]}") * F.col(f"_n{names[1]}")).cast("int")))
+    return one[0].join(one[1], same).select(*group, *[f"{n}_{v}" for n in names for v in values], times.alias("_x")).drop("_x")
 
 
 def name_value_columns(stats: Column, names: list[str], name_path: str = "$.name",

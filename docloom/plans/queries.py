@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from docloom.functions.json import top_keys, truthy, varr, vdouble, vlong, vpath, vstr
 from docloom.operators import requests as rq
 from docloom.operators.chain import chain, missing_documents, skipped_groups
+from docloom.operators.intervals import interval_join, micros
 from docloom.operators.load import upsert, latest
 from docloom.operators.nested import path_rows
-from docloom.operators.pairs import name_value_columns, pair_sides, require_all
+from docloom.operators.pairs import expand_product, name_value_columns, require_all, side_classes
+from docloom.operators.positions import nth_of_nth, number_rows
 from docloom.plans import resources as rs
 from docloom.sources.tables import load_table
 
@@ -95,10 +97,22 @@ def season_window_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 def season_1998_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2 default window of season 1998 (1997-10-01 .. 1998-06-30): its orders."""
     params = spark.createDataFrame([(1998, None, None)], "season int, start_date date, end_date date")
-    hit = rq.in_window(_orders(spark, sf_dir), "o_orderdate", rq.resolve_windows(params))
+    span = (dt.date(1997, 10, 1), dt.date(1998, 6, 30))
+    hit = rq.in_window(_orders(spark, sf_dir), "o_orderdate", rq.resolve_windows(params), span)
     return hit.select("o_orderkey", F.date_format("o_orderdate", "yyyyMMdd").alias("date"))
 
 
+def event_windows(spark: SparkSession, sf_dir: str, minutes: int = 10) -> DataFrame:
+    """O2 on timestamps, with as many overlapping windows as there are sign-ups: the
+    events in the ten minutes from each sign-up on, both ends included."""
+    e = load_table(spark, sf_dir, "events")
+    at = micros("ts")
+    w = e.where("event_type = 'signup'").select(F.col("event_id").alias("signup"), at.alias("start"))
+    hit = interval_join(e.select("event_id", "ts", "value"), at, w, F.col("start"),
+                        F.col("start") + minutes * 60 * 1_000_000)
+    return hit.groupBy("signup").agg(F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 2).alias("value"))
+
+
 # ------------------------------------------------------------ O3, O12
 def request_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O3: every request of a full run: a scoreboard per day of the order
@@ -182,6 +196,26 @@ def event_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
                      vstr("event", "$.uid").alias("uid"))
 
 
+def status_event_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O10 over whole groups: the position of each event among all events of its
+    status, over all documents.  A status holds up to half of all rows; it is
+    numbered by many tasks."""
+    ev = rs.scoreboard_events(spark, sf_dir).select(
+        vstr("event", "$.status.type.name").alias("status"), vstr("event", "$.uid").alias("uid"),
+        F.regexp_extract(vstr("event", "$.uid"), r"~e:(\d+)$", 1).cast("bigint").alias("n"))
+    return number_rows(ev, ["status"], [F.col("n")]).select("status", "pos", "uid")
+
+
+def nth_event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O10 by place: the n-th event entry of a day gets the n-th truthy id of the day;
+    entries beyond the last id get NULL."""
+    ev = rs.scoreboard_events(spark, sf_dir)
+    n = F.regexp_extract(vstr("event", "$.uid"), r"~e:(\d+)$", 1).cast("bigint")
+    rows = ev.select(F.col("request_date").alias("date"), vstr("event", "$.uid").alias("uid"), n.alias("n"))
+    ids = rs.event_ids(spark, sf_dir).withColumn("m", F.col("event_id").cast("bigint"))
+    return nth_of_nth(rows, ids, ["date"], [F.col("n")], [F.col("m")]).select("date", "pos", "uid", "event_id")
+
+
 # ------------------------------------------------------------ O8, O9, O11
 def roster_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Team ids from the teams document -> roster documents -> athletes."""
@@ -242,27 +276,30 @@ def first_event_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.sum(vdouble("line", "$.qty")), 2).alias("sum_qty"))
 
 
-def home_away_board(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q3: home and away sides of each event, whatever documents and entries
-    they came in.
-
-    Pairs are made by position in the whole event (k-th home with k-th away, in
-    the order of team, score and linescores); a side without a counterpart is
-    kept with NULLs.  This equals the documented home x away product whenever
-    an event has one of each, and never emits all pairs of a crowded one."""
-    ev = path_rows(rs.board(spark, sf_dir), "$.events", "doc", "event")
-    c = path_rows(ev.select(vstr("event", "$.id").alias("event_id"),
+def _sides(board: DataFrame) -> DataFrame:
+    """Competitors of scoreboard documents: event_id, name, status, side, team, score."""
+    ev = path_rows(board, "$.events", "doc", "event")
+    c = path_rows(ev.select(vstr("event", "$.id").alias("event_id"), vstr("event", "$.name").alias("name"),
                             vstr("event", "$.status.type.description").alias("status"),
                             vpath("event", "$.competitions[0]").alias("comp")), "$.competitors", "comp", "c")
-    c = c.select("event_id", "status", vstr("c", "$.homeAway").alias("side"),
-                 vlong("c", "$.team.id").alias("team_id"), vstr("c", "$.team.displayName").alias("team"),
-                 vstr("c", "$.score").try_cast("int").alias("score"),
-                 F.transform(varr("c", "$.linescores"), lambda x: vlong(x, "$.value")).alias("ls"))
-    p = pair_sides(c, ["event_id", "status"], "side", "home", "away", ["team_id", "score", "ls"],
-                   ["team", "score"], ("pair", "h", "a"))
-    return p.select("event_id", "status", F.col("pair").cast("int").alias("pair"),
-                    F.col("h.team").alias("home_team"), F.col("h.score").alias("home_score"),
-                    F.col("a.team").alias("away_team"), F.col("a.score").alias("away_score"))
+    return c.select("event_id", "name", "status", vstr("c", "$.homeAway").alias("side"),
+                    vstr("c", "$.team.displayName").alias("team"), vstr("c", "$.score").try_cast("int").alias("score"))
+
+
+def home_away_board(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3: home x away of every event, factorised: a row per event, side, team and
+    score with its number of entries and of partners on the other side, whatever
+    documents the entries came in.  Events without a home or an away side fall out."""
+    return side_classes(_sides(rs.board(spark, sf_dir)), ["event_id", "status"], "side", "home", "away", ["team", "score"])
+
+
+def home_away_of_day(spark: SparkSession, sf_dir: str, day: str = "19970315") -> DataFrame:
+    """Q3 as documented, for the games of one day: one row per pair of a home and an
+    away competitor of an event."""
+    c = _sides(rs.board(spark, sf_dir).where(F.col("request_date") == day))
+    group = ["event_id", "name", "status"]
+    classes = side_classes(c, group, "side", "home", "away", ["team", "score"])
+    return expand_product(classes, group, "side", "home", "away", ["team", "score"], ("home", "away"))
 
 
 def standings_key_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,9 +329,10 @@ def first_five_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.transform(F.regexp_extract_all(text, F.lit(r"(\d+)")), lambda n: n.cast("bigint")).alias("n"))
     # order: date, then order, line, part and quantity as numbers, then flag ('R' has no team)
     n = [F.get("n", i) for i in (0, 1, 3, 2)]
+    # filtered by its rank as it is, so that Spark limits each group before the shuffle
     w = Window.partitionBy("supplier").orderBy("date", *n, F.coalesce("team", F.lit("Flag R")))
-    return x.withColumn("pos", F.row_number().over(w) - 1).where("pos < 5").select(
-        "supplier", F.col("pos").cast("int").alias("pos"), "date", "description", "team")
+    return x.withColumn("rank", F.row_number().over(w)).where("rank <= 5").select(
+        "supplier", (F.col("rank") - 1).cast("int").alias("pos"), "date", "description", "team")
 
 
 def scoreboard_key_census(spark: SparkSession, sf_dir: str) -> DataFrame:

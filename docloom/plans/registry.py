@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "season_summary": q.season_summary,
     "season_window_cases": q.season_window_cases,
     "season_1998_orders": q.season_1998_orders,
+    "event_windows": q.event_windows,
     "request_manifest": q.request_manifest,
     "resource_filter": q.resource_filter,
     "date_text_validation": q.date_text_validation,
@@ -27,6 +28,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stamp_precedence": q.stamp_precedence,
     "truthy_event_ids": q.truthy_event_ids,
     "event_positions": q.event_positions,
+    "status_event_positions": q.status_event_positions,
+    "nth_event_ids": q.nth_event_ids,
     # chains
     "roster_chain": q.roster_chain,
     "summary_chain": q.summary_chain,
@@ -36,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "games_of_day": q.games_of_day,
     "first_event_summary": q.first_event_summary,
     "home_away_board": q.home_away_board,
+    "home_away_of_day": q.home_away_of_day,
     "standings_key_stats": q.standings_key_stats,
     "first_five_transactions": q.first_five_transactions,
     "scoreboard_key_census": q.scoreboard_key_census,
