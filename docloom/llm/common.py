@@ -11,6 +11,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -179,8 +180,31 @@ def word_array(raw: np.ndarray, gap: np.ndarray, start: np.ndarray, end: np.ndar
     return pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(cut), pa.py_buffer(raw[~gap])])
 
 
-def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, powers: Powers) -> np.ndarray:
-    return span_hash(byte_prefix(raw, powers), start, end, powers)
+def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, seeds: tuple[int, ...] = (0,)) -> list[np.ndarray]:
+    """64-bit hashes of the words, one array per seed; each distinct word is hashed
+    once, by a hash that mixes its bytes (sums of powers collide on chosen words)."""
+    mark = np.zeros(len(raw) + 1, np.int8)
+    np.add.at(mark, start, 1)
+    np.subtract.at(mark, end, 1)
+    coded = word_array(raw, np.cumsum(mark[:-1], dtype=np.int8) == 0, start, end).dictionary_encode()
+    at = coded.indices.to_numpy(zero_copy_only=False)
+    words = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    return [np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))[at] for seed in seeds]
+
+
+def window_hashes(h: np.ndarray, n: int) -> np.ndarray:
+    """A hash of every n consecutive word hashes, by their order (len(h) - n + 1)."""
+    if len(h) < n:
+        return np.zeros(0, np.uint64)
+    out, done, part, size = None, 0, h, 1
+    while True:
+        if n & size:  # windows of n are put together from windows of powers of two
+            out = part if out is None else mix(out[:len(h) - done - size + 1] * U64(WORD_BASE) + part[done:])
+            done += size
+        if done == n:
+            return mix(out[:len(h) - n + 1] + U64(n))
+        part = mix(part[:-size] * U64(WORD_BASE) + part[size:])
+        size *= 2
 
 
 def byte_prefix(raw: np.ndarray, powers: Powers) -> np.ndarray:

@@ -34,9 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.anchors import Bitmap, repeated_anchors
-from docloom.llm.common import (BYTE_BASE, U64, WORD_BASE, Powers, buffers, chunks, components, gram_starts,
-                                is_space, lower_ascii, mix, prefix_hash, span_hash, split_words, store, text_bytes,
-                                word_hashes)
+from docloom.llm.common import (U64, buffers, chunks, components, gram_starts, is_space, lower_ascii, mix, split_words,
+                                store, text_bytes, window_hashes, word_hashes)
 
 SHINGLE = 4
 #: Jaccard threshold in hundredths
@@ -47,19 +46,22 @@ class Sets:
     """Distinct shingle hashes of a chunk of texts, by document, ascending."""
 
     def __init__(self, n: int):
-        self.n, self.bytes, self.words = n, Powers(BYTE_BASE), Powers(WORD_BASE)
+        self.n = n
 
     def read(self, text: pa.Array) -> None:
         raw, offs = buffers(text)
         low = lower_ascii(raw)
         start, end, first = split_words(low, offs, is_space(low))
-        prefix = prefix_hash(word_hashes(low, start, end, self.bytes), self.words)
+        words, = word_hashes(low, start, end)
         at, doc = gram_starts(first, self.n)
         count = np.diff(first)
-        short = np.flatnonzero((count > 0) & (count < self.n))  # the whole sequence is the one shingle
-        h = np.concatenate([span_hash(prefix, at, at + self.n, self.words),
-                            span_hash(prefix, first[short], first[short + 1], self.words)])
-        doc = np.concatenate([doc, short])
+        found, docs = [window_hashes(words, self.n)[at]], [doc]
+        for k in range(1, self.n):  # the whole sequence is the one shingle
+            short = np.flatnonzero(count == k)
+            if len(short):
+                found.append(window_hashes(words, k)[first[short]])
+                docs.append(short)
+        h, doc = np.concatenate(found), np.concatenate(docs)
         order = np.lexsort((h, doc))
         h, doc = h[order], doc[order]
         new = np.ones(len(h), bool)

@@ -9,7 +9,8 @@ at their source form a non-branching path and are compacted to one span with
 source coordinates; a branch shows as a jump of the source.  Spans join back to
 the documents and their words go.
 
-An edge is known by a 64-bit hash and verified by an independent 32-bit one.  Only
+An edge is known by a 64-bit hash and verified by 32 bits of another one, both of the
+words' bytes with different seeds.  Only
 an edge's first occurrence in a chunk meets those of other chunks; the later ones
 wait at their chunk's label and take the source that their first one learnt.
 
@@ -30,11 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.anchors import (Bitmap, anchor_places, bucket_bits, bucket_cuts, repeated_anchors, window_anchors)
-from docloom.llm.common import (BYTE_BASE, WORD_BASE, Powers, as_text, buffers, chunks, is_space, prefix_hash,
-                                span_hash, split_words, store, text_bytes, word_hashes)
+from docloom.llm.common import (as_text, buffers, chunks, is_space, split_words, store, text_bytes, window_hashes,
+                                word_hashes)
 
 WINDOW, GRAM = 20, 8
-CHECK_BASE = 0xA0761D6478BD642F
+CHECK_SEED = 1
 
 
 class Edges:
@@ -42,16 +43,13 @@ class Edges:
 
     def __init__(self, window: int, gram: int):
         self.window, self.gram, self.span = window, gram, window - gram + 1
-        self.bytes, self.word, self.check = Powers(BYTE_BASE), Powers(WORD_BASE), Powers(CHECK_BASE)
 
     def read(self, text: pa.Array) -> None:
         raw, offs = buffers(text)
         start, end, self.first = split_words(raw, offs, is_space(raw))
-        self.hashes = word_hashes(raw, start, end, self.bytes)
-        n = len(self.hashes)
-        self.prefix = prefix_hash(self.hashes, self.word)
-        at = np.arange(max(0, n - self.gram + 1))
-        self.grams = span_hash(self.prefix, at, at + self.gram, self.word)
+        self.hashes = word_hashes(raw, start, end, (0, CHECK_SEED))
+        n = len(start)
+        self.grams = window_hashes(self.hashes[0], self.gram)
         size = max(0, n - self.window + 1)
         last = np.repeat(self.first[1:], np.diff(self.first))[:size]  # end of the document of each word
         self.anchors = window_anchors(self.grams, np.arange(size) + self.window <= last, self.span)
@@ -60,9 +58,8 @@ class Edges:
         return self.grams[anchor_places(self.grams, self.anchors, self.span)]
 
     def edges(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        check = prefix_hash(self.hashes, self.check)
-        return (span_hash(self.prefix, at, at + self.window, self.word),
-                span_hash(check, at, at + self.window, self.check).astype(np.uint32))
+        h, check = (window_hashes(x, self.window)[at] for x in self.hashes)
+        return h, check.astype(np.uint32)
 
 
 def _frames(pdf: pd.DataFrame, col: str, kind) -> list[np.ndarray]:

@@ -28,8 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import (BYTE_BASE, U64, WORD_BASE, Powers, buffers, chunks, lower_ascii, prefix_hash,
-                                span_hash, split_words, store, word_hashes)
+from docloom.llm.common import U64, buffers, chunks, lower_ascii, split_words, store, window_hashes, word_hashes
 
 SHINGLE = 5
 #: containment threshold as a fraction
@@ -42,22 +41,29 @@ BITS = 22
 class Shingler:
     """Word n-gram hashes of a chunk of texts."""
 
-    def __init__(self):
-        self.bytes, self.words = Powers(BYTE_BASE), Powers(WORD_BASE)
-
     def read(self, text: pa.Array) -> None:
         raw, offs = buffers(text)
         low = lower_ascii(raw)
         gap = ~(((low >= 48) & (low <= 57)) | ((low >= 97) & (low <= 122)) | (low >= 128))
         start, end, self.first = split_words(low, offs, gap)
-        self.prefix = prefix_hash(word_hashes(low, start, end, self.bytes), self.words)
+        self.low, self.start, self.end = low, start, end
+        self.words, = word_hashes(low, start, end)
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(hashes, first gram of each document + total) of the n-grams."""
         counts = np.maximum(np.diff(self.first) - (n - 1), 0)
         cut = np.concatenate([[0], np.cumsum(counts)])
         at = np.arange(cut[-1]) - np.repeat(cut[:-1], counts) + np.repeat(self.first[:-1], counts)
-        return span_hash(self.prefix, at, at + n, self.words), cut
+        return window_hashes(self.words, n)[at], cut
+
+    def texts(self, doc: int) -> list[bytes]:
+        """The words of a document."""
+        at = slice(self.first[doc], self.first[doc + 1])
+        return [self.low[a:b].tobytes() for a, b in zip(self.start[at].tolist(), self.end[at].tolist())]
+
+
+def word_shingles(words: list[bytes], n: int) -> set[bytes]:
+    return {b" ".join(words[i:i + n]) for i in range(len(words) - n + 1)}
 
 
 def item_shingles(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -73,19 +79,22 @@ def item_shingles(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 for i in np.flatnonzero(size == n).tolist():
                     out[i] = np.unique(h[cut[i]:cut[i + 1]]).view(np.int64)
             ids = batch.column(0).to_pylist()
-            rows = [(ids[i], int(size[i]), out[i]) for i in range(len(size)) if out[i] is not None]
+            rows = [(ids[i], int(size[i]), out[i], b" ".join(sh.texts(i)).decode()) for i in range(len(size))
+                    if out[i] is not None]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
-                 pa.array([r[2] for r in rows], pa.list_(pa.int64()))], ["item", "words", "shingles"])
+                 pa.array([r[2] for r in rows], pa.list_(pa.int64())), pa.array([r[3] for r in rows], pa.string())],
+                ["item", "words", "shingles", "text"])
 
     return items.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).alias("text")).mapInArrow(
-        run, "item long, words int, shingles array<long>")
+        run, "item long, words int, shingles array<long>, text string")
 
 
 class Partition:
     """Items of one shingle length and one size class."""
 
-    def __init__(self, words: int, items: list[int], shingles: list[np.ndarray]):
+    def __init__(self, words: int, items: list[int], shingles: list[np.ndarray], texts: list[str]):
+        self.texts = texts
         self.words, self.items, self.shingles = words, np.array(items, np.int64), shingles
         self.need = np.array([-(-len(s) * NEED // OF) for s in shingles], np.int64)
         sign = [s[:len(s) - need + 1] for s, need in zip(shingles, self.need)]  # ascending, so the bottom
@@ -98,8 +107,9 @@ class Partition:
         self.bits = np.zeros(1 << BITS, bool)
         self.bits[(self.keys >> U64(64 - BITS)).astype(np.int64)] = True
 
-    def search(self, h: np.ndarray, cut: np.ndarray):
-        """(document, item, shingles in common) of all containments."""
+    def search(self, h: np.ndarray, cut: np.ndarray, texts):
+        """(document, item, shingles of the item, in common) of all containments.  What the
+        hashes find is counted again on the words themselves (``texts`` of a document)."""
         few = np.diff(cut) < self.need.min()
         hit = np.flatnonzero(self.bits[(h >> U64(64 - BITS)).astype(np.int64)])
         at = np.minimum(np.searchsorted(self.keys, h[hit]), len(self.keys) - 1)
@@ -112,13 +122,17 @@ class Partition:
                 continue
             cand = np.unique(np.concatenate([self.of[self.cut[k]:self.cut[k + 1]]
                                              for k in pair[pair[:, 0] == d, 1].tolist()]))
-            mine = np.unique(h[cut[d]:cut[d + 1]])
+            mine, exact = np.unique(h[cut[d]:cut[d + 1]]), None
             for i in cand[self.need[cand] <= len(mine)].tolist():
                 s = self.shingles[i]
                 k = np.minimum(np.searchsorted(mine, s), len(mine) - 1)
                 common = int((mine[k] == s).sum())
                 if common >= self.need[i]:
-                    yield d, int(self.items[i]), len(s), common
+                    exact = word_shingles(texts(d), self.words) if exact is None else exact
+                    item = word_shingles(self.texts[i].encode().split(b" "), self.words)
+                    common = len(item & exact)
+                    if common * OF >= len(item) * NEED:
+                        yield d, int(self.items[i]), len(item), common
 
 
 def partitions(rows: pd.DataFrame) -> list[Partition]:
@@ -126,7 +140,8 @@ def partitions(rows: pd.DataFrame) -> list[Partition]:
     out = []
     for (words, _), part in rows.groupby([rows["words"], np.floor(np.log2(size)).astype(int)]):
         out.append(Partition(int(words), part["item"].tolist(),
-                             [np.sort(np.asarray(s, np.int64).view(np.uint64)) for s in part["shingles"]]))
+                             [np.sort(np.asarray(s, np.int64).view(np.uint64)) for s in part["shingles"]],
+                             part["text"].tolist()))
     return out
 
 
@@ -152,7 +167,7 @@ def _scan(parts: list[Partition]):
             h, cut = sh.grams(words)
             for p in parts:
                 if p.words == words:
-                    found += p.search(h, cut)
+                    found += p.search(h, cut, sh.texts)
         return sorted(found)
 
     return matches
