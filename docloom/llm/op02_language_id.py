@@ -57,33 +57,73 @@ def words_of(text: str) -> list[str]:
     return _LETTERS.findall(text.lower())
 
 
+class Trie:
+    """The pieces by their characters, as sorted arrays, to walk many places at once."""
+
+    def __init__(self, pieces: list[str]):
+        self.n_pieces, self.longest = len(pieces), max(map(len, pieces), default=1)
+        chars = sorted(set("".join(pieces)))
+        self.code = np.full(0x110000, -1, np.int32)
+        self.code[[ord(c) for c in chars]] = np.arange(len(chars))
+        self.width = len(chars)
+        nodes, edges = {"": 0}, {}
+        for p in pieces:
+            for k in range(1, len(p) + 1):
+                if p[:k] not in nodes:
+                    nodes[p[:k]] = len(nodes)
+                    edges[nodes[p[:k - 1]] * self.width + int(self.code[ord(p[k - 1])])] = nodes[p[:k]]
+        self.keys = np.array(sorted(edges), np.int64)
+        self.to = np.array([edges[k] for k in self.keys.tolist()], np.int64)
+        self.piece = np.full(len(nodes), -1, np.int64)
+        self.piece[[nodes[p] for p in pieces]] = np.arange(len(pieces))
+
+    def codes(self, text: str) -> np.ndarray:
+        return self.code[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+
+    def step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The node below each state by each character; -1 where there is none."""
+        if not len(self.keys):
+            return np.full(len(state), -1, np.int64)
+        key = state * self.width + code
+        k = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.keys[k] == key) & (code >= 0), self.to[k], -1)
+
+
 class Lattice:
     """All segmentations of some words: edges between character positions,
     ordered by end position, then word."""
 
-    def __init__(self, words: list[str], ids: dict[str, int], prefixes: set[str]):
-        unknown = len(ids)
+    def __init__(self, words: list[str], trie: "Trie"):
+        unknown = trie.n_pieces
         size = np.array([len(w) + 1 for w in words], np.int64)
         self.first = np.concatenate([[0], np.cumsum(size + 1)])[:-1]  # node of position 0
         self.last = self.first + size
         self.nodes = int((size + 1).sum())
-        src, dst, pid, pos = [], [], [], []
-        for base, w in zip(self.first.tolist(), words):
-            s = META + w
-            n = len(s)
-            for i in range(n):
-                single = False
-                for j in range(i + 1, n + 1):
-                    sub = s[i:j]
-                    k = ids.get(sub)
-                    if k is not None:
-                        src.append(base + i), dst.append(base + j), pid.append(k), pos.append(j)
-                        single = single or j == i + 1
-                    if sub not in prefixes:
-                        break
-                if not single:
-                    src.append(base + i), dst.append(base + i + 1), pid.append(unknown), pos.append(i + 1)
-        src, dst, pid, pos = (np.array(x, np.int64) for x in (src, dst, pid, pos))
+        code = trie.codes("".join(META + w for w in words))
+        word = np.repeat(np.arange(len(words)), size)
+        end = np.cumsum(size)[word]  # of each character, where its word ends
+        begin = end - size[word]
+        at, state = np.arange(len(code)), np.zeros(len(code), np.int64)
+        single = np.zeros(len(code), bool)
+        found = []
+        for n in range(1, trie.longest + 1):
+            # all places at once walk one character down the trie
+            state = trie.step(state, code[at + n - 1])
+            at, state = at[state >= 0], state[state >= 0]
+            piece = trie.piece[state]
+            hit = piece >= 0
+            found.append((at[hit], np.full(int(hit.sum()), n), piece[hit]))
+            if n == 1:
+                single[at[hit]] = True
+            more = at + n < end[at]
+            at, state = at[more], state[more]
+            if not len(at):
+                break
+        lone = np.flatnonzero(~single)
+        found.append((lone, np.ones(len(lone), np.int64), np.full(len(lone), unknown)))
+        at, n, pid = (np.concatenate(x) for x in zip(*found))
+        src = at + word[at]
+        dst, pos = src + n, at + n - begin[at]
         order = np.lexsort((dst, pos))
         self.src, self.dst, self.pid, self.pos = src[order], dst[order], pid[order], pos[order]
 
@@ -139,37 +179,43 @@ def _blocks(words: list[str], chars: int = 400_000):
         i = j
 
 
-def _prefixes(pieces: list[str]) -> set[str]:
-    return {p[:k] for p in pieces for k in range(1, len(p) + 1)}
-
-
 class Model:
     def __init__(self, pieces: list[str], langs: list[str], logp: np.ndarray, prior: np.ndarray):
         self.pieces, self.langs, self.logp, self.prior = pieces, langs, logp, prior
 
     def scorer(self):
         """A function from texts to (language, score, share of letters without a piece)."""
-        ids = {p: i for i, p in enumerate(self.pieces)}
-        prefixes = _prefixes(self.pieces)
-        known_chars = set("".join(self.pieces))
+        trie, n_langs = Trie(self.pieces), len(self.langs)
         cache: dict[str, int] = {}
-        table = [np.zeros((0, len(self.langs)))]
+        alpha = np.full(0x110000, -1, np.int8)  # whether a character is a letter, once it was met
+        #: of each known word: log probabilities, letters, letters that no piece covers
+        table = [np.zeros((0, n_langs + 2))]
+
+        def letters(words):
+            chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+            for c in set(chars[alpha[chars] < 0].tolist()):
+                alpha[c] = chr(c).isalpha()
+            start = np.cumsum([0] + [len(w) for w in words])[:-1]
+            is_letter = alpha[chars].astype(np.int64)
+            return np.stack([np.add.reduceat(x, start) for x in (is_letter, is_letter * (trie.code[chars] < 0))], 1)
 
         def learn(words):
             new = [w for w in words if w not in cache]
             if len(cache) + len(new) > CACHE_WORDS:
                 cache.clear()
-                table[0] = np.zeros((0, len(self.langs)))
+                table[0] = table[0][:0]
                 new = list(words)
             if not new:
                 return
-            got = np.empty((len(new), len(self.langs)))
+            got = np.empty((len(new), n_langs + 2))
             for block in _blocks(new):
-                lattice = Lattice([new[i] for i in block], ids, prefixes)
-                got[block] = lattice.forward(self.logp)[lattice.last]
+                some = [new[i] for i in block]
+                lattice = Lattice(some, trie)
+                got[block, :n_langs] = lattice.forward(self.logp)[lattice.last]
+                got[block, n_langs:] = letters(some)
             base = len(table[0])
             table[0] = np.concatenate([table[0], got])
-            cache.update((w, base + i) for i, w in enumerate(new))
+            cache.update(zip(new, range(base, base + len(new))))
 
         def score(texts):
             words = [words_of(t) for t in texts]
@@ -178,17 +224,12 @@ class Model:
             codes, unique = pd.factorize(np.array(flat, object)) if flat else (np.zeros(0, np.int64), [])
             unique = list(unique)
             learn(unique)
-            rows = np.array([cache[w] for w in unique], np.int64)
-            value = table[0][rows] if len(rows) else np.zeros((0, len(self.langs)))
-            letters = np.array([sum(map(str.isalpha, w)) for w in unique], np.int64)
-            strange = np.array([sum(c not in known_chars for c in w if c.isalpha()) for w in unique], np.int64)
+            value = table[0][np.fromiter(map(cache.__getitem__, unique), np.int64, len(unique))][codes]
             doc = np.repeat(np.arange(len(texts)), sizes)
             n = len(texts)
-            total = np.bincount(doc, letters[codes], n) if len(codes) else np.zeros(n)
-            odd = np.bincount(doc, strange[codes], n) if len(codes) else np.zeros(n)
-            ll = np.stack([np.bincount(doc, value[codes, k], n) for k in range(len(self.langs))], 1) \
-                if len(codes) else np.zeros((n, len(self.langs)))
-            ll = ll + self.prior
+            sums = np.stack([np.bincount(doc, value[:, k], n) for k in range(n_langs + 2)], 1)
+            total, odd = sums[:, -2], sums[:, -1]
+            ll = sums[:, :n_langs] + self.prior
             post = np.exp(ll - ll.max(1, keepdims=True))
             post /= post.sum(1, keepdims=True)
             best = post.argmax(1)
@@ -238,8 +279,6 @@ def fit(docs: DataFrame, learn_from: Column, model_path: str, id_col: str = "doc
         p = total + SMOOTH
         p[-1] = UNKNOWN
         logp = np.log(p / p.sum(0))
-    used = np.flatnonzero((total[:-1] > 0.5).any(1) | np.array([len(p) == 1 for p in pieces]))
-    pieces, logp = [pieces[i] for i in used], logp[np.append(used, len(pieces))]
     prior = np.log(np.array([sizes[k] for k in langs], float) / sum(sizes.values()))
     return Model(pieces, langs, logp, prior)
 
@@ -247,14 +286,13 @@ def fit(docs: DataFrame, learn_from: Column, model_path: str, id_col: str = "doc
 def _expected(words: DataFrame, pieces: list[str], logp: np.ndarray, n: int) -> np.ndarray:
     """One expectation step over the word table as a Spark job."""
     def step(batches):
-        ids = {p: i for i, p in enumerate(pieces)}
-        prefixes = _prefixes(pieces)
+        trie = Trie(pieces)
         total = np.zeros_like(logp)
         for pdf in batches:
             ws = pdf["word"].tolist()
             counts = pdf[[f"n{i}" for i in range(n)]].to_numpy(float)
             for block in _blocks(ws):
-                total += Lattice([ws[i] for i in block], ids, prefixes).expected(logp, counts[block])
+                total += Lattice([ws[i] for i in block], trie).expected(logp, counts[block])
         piece, k = np.nonzero(total)
         yield pd.DataFrame({"piece": piece, "k": k, "n": total[piece, k]})
 

@@ -93,7 +93,7 @@ def test_compiled_map_longest_prefix_and_alignment():
 
 # -------------------------------------------------------------- language ID
 def test_forward_sums_all_segmentations():
-    from docloom.llm.op02_language_id import Lattice, _prefixes
+    from docloom.llm.op02_language_id import Lattice, Trie
     pieces = ["▁", "a", "b", "ab", "▁a", "ba", "▁ab", "aba"]
     ids = {p: i for i, p in enumerate(pieces)}
     rng = np.random.default_rng(1)
@@ -106,7 +106,7 @@ def test_forward_sums_all_segmentations():
         return total + (p[-1, k] * brute(s[1:], k) if s[0] not in ids else 0.0)
 
     words = ["a", "ab", "abab", "bxa", "aabba", "x"]
-    lattice = Lattice(words, ids, _prefixes(pieces))
+    lattice = Lattice(words, Trie(pieces))
     got = lattice.forward(np.log(p))[lattice.last]
     assert np.allclose(np.exp(got), [[brute("▁" + w, k) for k in (0, 1)] for w in words])
     # expected counts add up to the characters they cover
