@@ -195,7 +195,7 @@ def test_toxicity_odd_texts_and_no_labels(spark):
 
 def test_toxicity_weighs_every_term_of_whole_texts(spark):
     """Examples agree in every telling term; only the rest of a text tells which is its copy."""
-    from docloom.llm.op01_toxicity import fit, score, term_counts
+    from docloom.llm.op01_toxicity import fit, score, words_of
     rng = np.random.default_rng(5)
     letters = list("abcdefghijklmnopqrstuvwxyz")
     vocab = ["".join(rng.choice(letters, int(rng.integers(2, 9)))) for _ in range(900)]
@@ -206,8 +206,8 @@ def test_toxicity_weighs_every_term_of_whole_texts(spark):
     every = docs(spark, data + new)
     got = as_dict(score(every, fit(every, train)))
     n, n1, n0 = 161, 40, 40
-    terms = [term_counts(t) for _, t, _, _ in data]
-    df = Counter(t for _, x, _, _ in data + new for t in term_counts(x))
+    terms = [Counter(words_of(t)) for _, t, _, _ in data]
+    df = Counter(t for _, x, _, _ in data + new for t in set(words_of(x)))
     a, b = Counter(t for x in terms[:40] for t in x), Counter(t for x in terms[40:] for t in x)
 
     def weigh(t):
@@ -217,7 +217,7 @@ def test_toxicity_weighs_every_term_of_whole_texts(spark):
         return (math.log((1 + n) / (1 + df[t])) + 0.1) * (1 + chi / 12)
 
     def vector(text):
-        v = {t: (1 + math.log(c)) * weigh(t) for t, c in term_counts(text).items()}
+        v = {t: (1 + math.log(c)) * weigh(t) for t, c in Counter(words_of(text)).items()}
         size = math.sqrt(sum(x * x for x in v.values()))
         return {t: x / size for t, x in v.items()}
 
