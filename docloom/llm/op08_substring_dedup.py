@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.anchors import (Bitmap, anchor_places, bucket_bits, bucket_cuts, repeated_anchors, window_anchors)
-from docloom.llm.common import (as_text, buffers, chunks, is_space, split_words, store, text_bytes, window_hashes,
+from docloom.llm.common import (buffers, chunks, is_space, split_words, store, text_bytes, window_hashes,
                                 word_hashes)
 
 WINDOW, GRAM = 20, 8
@@ -230,8 +230,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     joined = rows.join(spans.select("id", "key", "starts", "windows"), ["id", "key"], "left")
 
     def cut(batches):
-        for batch in batches:
-            text = as_text(batch.column(2))
+        for batch, text in chunks(batches, "text"):
             ids, starts, windows = (batch.column(k).to_pylist() for k in (0, 3, 4))
             out = []
             for i, (t, s, w) in enumerate(zip(text.to_pylist(), starts, windows)):

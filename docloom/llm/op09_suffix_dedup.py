@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from docloom.llm.anchors import Bitmap, anchor_places, bucket_bits, repeated_anchors, sliding, window_anchors
-from docloom.llm.common import (BYTE_BASE, U64, Powers, as_text, buffers, byte_prefix, chunks, span_hash, store,
+from docloom.llm.common import (BYTE_BASE, U64, Powers, buffers, byte_prefix, chunks, span_hash, store,
                                 text_bytes)
 from docloom.llm.op08_substring_dedup import _frames, keyed
 
@@ -184,7 +184,7 @@ def repeated_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
 
     found = repeated_anchors(docs, places, total, per_anchor=gram // 2)
     flags, bits = spark.sparkContext.broadcast(found.packed), found.bits
-    cut = bucket_bits(spark, total, 4 << 20)
+    cut = bucket_bits(spark, total, 2 << 20)
 
     def emit(batches):
         w, bitmap = Windows(window, gram), Bitmap(flags.value, bits)
@@ -297,10 +297,10 @@ def drop_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     joined = rows.join(runs, ["id", "key"], "left")
 
     def cut(batches):
-        for batch in batches:
+        for batch, text in chunks(batches, "text"):
             ids, begins, ends = (batch.column(k).to_pylist() for k in (0, 3, 4))
             out = []
-            for i, t, b, e in zip(ids, as_text(batch.column(2)).to_pylist(), begins, ends):
+            for i, t, b, e in zip(ids, text.to_pylist(), begins, ends):
                 data, b, e = t.encode(), b or [], e or []
                 kept = b"".join([data[x:y] for x, y in zip([0, *e], [*b, len(data)])])
                 out.append((i, len(data), len(data) - len(kept), len(b), hashlib.sha256(kept).hexdigest(), kept))
