@@ -22,6 +22,8 @@ U64 = np.uint64
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD1B54A32D192ED03
 MASK64 = (1 << 64) - 1
+#: bytes of a word that is hashed by itself
+LONG_WORD = 64
 
 
 # ---------------------------------------------------------------- tables
@@ -181,15 +183,26 @@ def word_array(raw: np.ndarray, gap: np.ndarray, start: np.ndarray, end: np.ndar
 
 
 def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, seeds: tuple[int, ...] = (0,)) -> list[np.ndarray]:
-    """64-bit hashes of the words, one array per seed; each distinct word is hashed
-    once, by a hash that mixes its bytes (sums of powers collide on chosen words)."""
-    mark = np.zeros(len(raw) + 1, np.int8)
-    np.add.at(mark, start, 1)
-    np.subtract.at(mark, end, 1)
-    coded = word_array(raw, np.cumsum(mark[:-1], dtype=np.int8) == 0, start, end).dictionary_encode()
-    at = coded.indices.to_numpy(zero_copy_only=False)
-    words = coded.dictionary.cast(pa.large_binary()).to_pylist()
-    return [np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))[at] for seed in seeds]
+    """64-bit hashes of the words, one array per seed.  Eight bytes of all words at a
+    time are mixed in one after the other (sums of powers collide on chosen words);
+    words of up to eight bytes and one length never collide.  Long words go one by one."""
+    size = end - start
+    data = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(raw) + 1, "<u8", data.data, strides=(1,))
+    out = [mix(size.astype(np.uint64) + U64(WORD_BASE * (seed + 1) & MASK64)) for seed in seeds]
+    live, done = np.flatnonzero(size <= LONG_WORD), 0
+    while len(live):
+        block, left = eight[start[live] + done], size[live] - done
+        part = left < 8
+        block[part] &= (U64(1) << (U64(8) * left[part].astype(np.uint64))) - U64(1)
+        for h, seed in zip(out, seeds):
+            h[live] = mix((h[live] ^ block) * U64(BYTE_BASE + 2 * seed))
+        live, done = live[left > 8], done + 8
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        word = data[start[i]:end[i]].tobytes()
+        for h, seed in zip(out, seeds):
+            h[i] = xxhash.xxh3_64_intdigest(word, seed)
+    return out
 
 
 def window_hashes(h: np.ndarray, n: int) -> np.ndarray:
@@ -233,7 +246,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     the edges and a partial minimum per node, and each round is written to the
     shared folder.  A node of very high degree never meets in one task: its
     minimum is a partial aggregate and the edges join back to it (AQE splits
-    the skewed side).
+    the skewed side; merge joins, so nothing is broadcast through the driver).
     """
     e = store(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
               .filter("a < b").distinct(), "edges")
@@ -242,10 +255,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         # large star: larger neighbours point at the minimum of the neighbourhood
-        large = both.filter("b > a").join(low, "a").select(F.col("b"), F.col("m").alias("a"))
+        large = both.filter("b > a").join(low.hint("merge"), "a").select(F.col("b"), F.col("m").alias("a"))
         # small star: smaller neighbours and the node itself point at the minimum
         small_low = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = (large.join(small_low, "b").select(F.col("a").alias("b"), F.col("m").alias("a"))
+        small = (large.join(small_low.hint("merge"), "b").select(F.col("a").alias("b"), F.col("m").alias("a"))
                  .unionByName(small_low.select("b", F.col("m").alias("a"))))
         e = store(small.filter("a < b").select("a", "b").distinct(), "edges")
         state = tuple(e.agg(F.count("*"), F.coalesce(F.sum(F.hash("a", "b").cast("long")), F.lit(0))).head())
