@@ -55,10 +55,13 @@ def _slices(records: DataFrame, slice_rows: int) -> Column:
 def resolve_revisits(records: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """``records``: record_id, type ('response' or 'revisit'), url, moment
     (long), status, headers (map, lower-case names), digest.  Adds canonical,
-    state, source_id (the response whose body counts) and merged (headers)."""
+    state, source_id (the response whose body counts) and merged (headers); input
+    columns of these names are left out.  A record without a moment has no place in
+    time: such a revisit finds nothing earlier, such a response is nobody's source."""
+    records = records.drop("canonical", "state", "source_id", "merged")
     r = records.withColumn("canonical", canonical_url("url")).withColumn("_slice", _slices(records, slice_rows))
     full = (F.col("type") == "response") & (F.col("status") == 200) & F.col("canonical").isNotNull()
-    stored = F.when(full, F.struct("moment", "record_id", "digest", F.to_json("headers").alias("headers")))
+    stored = F.when(full & F.col("moment").isNotNull(), F.struct("moment", "record_id", "digest", F.to_json("headers").alias("headers")))
     r = r.withColumn("_stored", stored)
     before = Window.partitionBy("canonical", "_slice").orderBy("moment").rangeBetween(
         Window.unboundedPreceding, -1)

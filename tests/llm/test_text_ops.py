@@ -438,3 +438,20 @@ def test_pipeline_on_empty_documents(spark, tables):
     import corpus_pipeline as p
     sf = tables(documents=docs(spark, []), benchmark=spark.createDataFrame(ITEMS, "item_id long, text string"))
     assert p.run(spark, sf).collect() == []
+
+
+def test_warc_without_moments_and_with_clashing_names(spark):
+    from docloom.llm.op05_warc import resolve_revisits
+    h = {"etag": '"x"'}
+    data = [(1, "response", "http://a.com/", None, 200, h, "d"), (2, "revisit", "http://a.com/", None, 304, h, None),
+            (3, "revisit", "http://a.com/", 9, 304, h, None), (4, "response", "http://b.com/", 1, 200, h, "d"),
+            (5, "revisit", "http://b.com/", None, 304, h, None), (6, "revisit", "http://b.com/", 2, 304, h, None)]
+    df = spark.createDataFrame(data, "record_id long, type string, url string, moment long, status int, "
+                                     "headers map<string,string>, digest string")
+    for c in ("state", "canonical", "merged", "source_id", "extra"):
+        df = df.withColumn(c, F.lit("other"))
+    out = resolve_revisits(df)
+    assert len(set(out.columns)) == len(out.columns) and "extra" in out.columns
+    got = {r.record_id: (r.state, r.source_id) for r in out.collect()}
+    assert got == {1: ("full", 1), 2: ("no_earlier", None), 3: ("no_earlier", None), 4: ("full", 4),
+                   5: ("no_earlier", None), 6: ("resolved", 4)}
