@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: bytes of text a worker turns into arrays at a time (a longer text is one chunk)
@@ -24,6 +24,8 @@ WORD_BASE = 0xD1B54A32D192ED03
 MASK64 = (1 << 64) - 1
 #: bytes of a word that is hashed by itself
 LONG_WORD = 64
+#: stands for a null id while a job runs, so null ids come after all others
+NO_ID = (1 << 63) - 1
 
 
 # ---------------------------------------------------------------- tables
@@ -53,6 +55,17 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def known_id(col: str | Column) -> Column:
+    """The id as a number; a null id sorts after all others."""
+    return F.coalesce((F.col(col) if isinstance(col, str) else col).cast("long"), F.lit(NO_ID))
+
+
+def shown_id(col: str | Column) -> Column:
+    """``known_id`` undone."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.when(c != NO_ID, c)
+
+
 def text_bytes(df: DataFrame, col: str = "text") -> int:
     return int(df.agg(F.coalesce(F.sum(F.octet_length(col)), F.lit(0))).head()[0])
 

@@ -21,8 +21,9 @@ first bounded by small histograms of their sets (the summed differences of the
 counts never exceed the symmetric difference), then compared exactly.
 
 Defined results: documents without words or text have an empty set and link
-with nothing; rows that share an id count as one document; an empty table gives
-no rows.
+with nothing; rows that share an id are judged each by its own text; a null id
+comes after all others (a component of null ids only has a null id); an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.anchors import Bitmap, repeated_anchors
-from docloom.llm.common import (U64, buffers, chunks, components, gram_starts, is_space, lower_ascii, mix, split_words,
-                                store, text_bytes, window_hashes, word_hashes)
+from docloom.llm.common import (U64, buffers, chunks, components, gram_starts, is_space, known_id, lower_ascii, mix,
+                                shown_id, split_words, store, text_bytes, window_hashes, word_hashes)
 
 SHINGLE = 4
 #: Jaccard threshold in hundredths
@@ -93,7 +94,7 @@ def least_difference(a: bytes, b: bytes) -> int:
 
 
 def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Per row: id, size, own (shingles that no other document has), active, a
+    """Per row: id, text_key, size, own (shingles that no other document has), active, a
     128-bit fingerprint of the set and, if active, the set, its histogram and the
     shared shingles of its prefix with their positions."""
     spark = docs.sparkSession
@@ -129,13 +130,13 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 pos.append(np.arange(own[i], prefix[i], dtype=np.int32).tobytes())
                 hists.append(histogram(h))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(own, pa.int64()), pa.array(active),
+                [batch.column(0), batch.column(2), pa.array(size, pa.int64()), pa.array(own, pa.int64()), pa.array(active),
                  pa.array(f1), pa.array(f2),
                  *(pa.array(x, pa.binary()) for x in (sets, keys, pos, hists))],
-                ["id", "size", "own", "active", "f1", "f2", "shingles", "keys", "pos", "hist"])
+                ["id", "text_key", "size", "own", "active", "f1", "f2", "shingles", "keys", "pos", "hist"])
 
-    return docs.select("id", "text").mapInArrow(
-        run, "id long, size long, own long, active boolean, f1 long, f2 long, "
+    return docs.select("id", "text", "text_key").mapInArrow(
+        run, "id long, text_key long, size long, own long, active boolean, f1 long, f2 long, "
              "shingles binary, keys binary, pos binary, hist binary")
 
 
@@ -253,17 +254,23 @@ def link_classes(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE,
                        percent: int = PERCENT) -> DataFrame:
-    """id, n_shingles, component_id (the smallest id reachable by links) of every row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    """Per row: id, n_shingles, component_id (the smallest id reachable by links), a
+    number of its component (null: the row links with nobody) and the text's checksum.
+    Classes have numbers of their own, so ids need not be unique."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(known_id(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     sets = store(shingle_sets(rows, n, percent), "sets")
     live = sets.filter("active")
-    reps = live.groupBy("f1", "f2", "size").agg(F.min("id").alias("rep"))
+    same = ["f1", "f2", "size"]
+    reps = live.groupBy(*same).agg(F.min("id").alias("id")).withColumn("rep", F.monotonically_increasing_id())
     reps = store(reps, "reps")
-    classes = store(live.join(reps.select("f1", "f2", F.col("rep").alias("id")), ["f1", "f2", "id"])
-                    .select(F.col("id").alias("rep"), "size", "own", "shingles", "keys", "pos", "hist").dropDuplicates(["rep"]),
-                    "classes")
-    comp = link_classes(classes, percent)
-    names = reps.join(comp, "rep", "left").select("f1", "f2", F.coalesce("component", "rep").alias("component_id"))
-    out = live.select("id", "size", "f1", "f2").join(names, ["f1", "f2"]).select("id", "size", "component_id")
-    out = out.unionByName(sets.filter("not active").select("id", "size", F.col("id").alias("component_id")))
-    return out.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "component_id")
+    classes = store(live.join(reps, [*same, "id"]).select("rep", "size", "own", "shingles", "keys", "pos", "hist")
+                    .dropDuplicates(["rep"]), "classes")
+    comp = reps.join(link_classes(classes, percent), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    least = comp.groupBy("component").agg(F.min("id").alias("component_id"))
+    names = comp.select(*same, "component").join(least, "component")
+    out = live.select("id", "text_key", *same).join(names, same).select("id", "size", "component_id", "component", "text_key")
+    out = out.unionByName(sets.filter("not active").select(
+        "id", "size", F.col("id").alias("component_id"), F.lit(None).cast("long").alias("component"), "text_key"))
+    return out.select(shown_id("id").alias(id_col), F.col("size").alias("n_shingles"),
+                      shown_id("component_id").alias("component_id"), "component", "text_key")

@@ -16,8 +16,8 @@ wait at their chunk's label and take the source that their first one learnt.
 
 Defined results: null and texts shorter than a window lose nothing; ids are
 expected to be unique, rows that share an id and a text get the same result,
-rows that share an id only are told apart by a checksum of the text; an empty
-table gives no rows.
+rows that share an id only are told apart by a checksum of the text; null ids come
+after all others, told apart in the same way; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.anchors import (Bitmap, anchor_places, bucket_bits, bucket_cuts, repeated_anchors, window_anchors)
-from docloom.llm.common import (buffers, chunks, is_space, split_words, store, text_bytes, window_hashes,
-                                word_hashes)
+from docloom.llm.common import (buffers, chunks, is_space, known_id, shown_id, split_words, store, text_bytes,
+                                window_hashes, word_hashes)
 
 WINDOW, GRAM = 20, 8
 CHECK_SEED = 1
@@ -215,9 +215,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, key (checksum of the text) and text, null as empty."""
+    """id (null: after all others), key (checksum of the text) and text, null as empty."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.crc32(text.cast("binary")).alias("key"),
+    return docs.select(known_id(id_col).alias("id"), F.crc32(text.cast("binary")).alias("key"),
                        text.alias("text"))
 
 
@@ -248,4 +248,5 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [id_col, "n_words", "n_removed", "kept_sha256", "kept"])
 
     return joined.select("id", "key", "text", "starts", "windows").mapInArrow(
-        cut, f"{id_col} long, n_words long, n_removed long, kept_sha256 string, kept string")
+        cut, f"{id_col} long, n_words long, n_removed long, kept_sha256 string, kept string").withColumn(
+        id_col, shown_id(id_col))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from docloom.llm.anchors import Bitmap, anchor_places, bucket_bits, repeated_anchors, sliding, window_anchors
-from docloom.llm.common import (BYTE_BASE, U64, Powers, buffers, byte_prefix, chunks, span_hash, store,
+from docloom.llm.common import (BYTE_BASE, U64, Powers, buffers, byte_prefix, chunks, shown_id, span_hash, store,
                                 text_bytes)
 from docloom.llm.op08_substring_dedup import _frames, keyed
 
@@ -310,4 +310,5 @@ def drop_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     return joined.select("id", "key", "text", "begins", "ends").mapInArrow(
-        cut, f"{id_col} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+        cut, f"{id_col} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").withColumn(
+        id_col, shown_id(id_col))

@@ -93,7 +93,7 @@ FROM p LEFT JOIN fit ON p.page_id = fit.page_id AND n = 1
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.op04_ngram_join import jaccard_components
-    return jaccard_components(read_table(spark, sf_dir, "documents"))
+    return jaccard_components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 SQL["op4_ngram_join"] = r"""

@@ -28,7 +28,9 @@ def test_exact_dedup_matches_brute_force_at_every_table_size(spark, table_bytes)
     want = brute_exact(rows())
     assert sorted(i for i, _ in got) == sorted(i for i, *_ in rows())
     assert all(want[i] == v for i, v in got)
-    assert all(r.kept == (r.doc_id == r.keep_id) for r in out.collect())
+    # one row of each group stays, also where a row occurs twice
+    kept = [r.keep_id for r in out.filter("kept and doc_id = keep_id").collect()]
+    assert sorted(kept) == sorted({v[0] for v in want.values()}) and out.filter("kept").count() == len(kept)
 
 
 def test_exact_dedup_hot_text_is_dealt_out(spark):
@@ -187,6 +189,67 @@ def test_jaccard_chains_outliers_and_common_passages(spark):
     assert got == brute_jaccard(data)
 
 
+# ------------------------------------------- null ids and ids of several rows
+ODD = [(None, "seven wise owls watch the old oak tree by the river all night long", None, None),
+       (None, "another text that nobody else has, not even in part, anywhere at all", None, None),
+       (5, "seven wise owls watch the old oak tree by the river all night long", None, None),
+       (5, "the keeper of the lighthouse writes letters to the moon every single evening", None, None),
+       (5, "the keeper of the lighthouse writes letters to the moon every single evening", None, None),
+       (6, "the keeper of the lighthouse writes letters to the moon every single evening", None, None),
+       (None, "the keeper of the lighthouse writes letters to the moon every single evening", None, None),
+       (None, None, None, None), (None, "", None, None), (2**62, " ", None, None)]
+
+
+@pytest.mark.parametrize("table_bytes", [32 << 20, 64])
+def test_exact_dedup_of_odd_ids(spark, table_bytes):
+    from docloom.llm.op06_exact_dedup import grace_dedup
+    got = grace_dedup(docs(spark, ODD), table_bytes=table_bytes).collect()
+    assert len(got) == len(ODD)
+    groups = defaultdict(list)
+    for r in got:
+        groups[r.text_sha256].append(r)
+    size = {sha("".join(spaces(t))): n for t, n in Counter(" ".join(spaces(t)) for _, t, *_ in ODD).items()}
+    assert {k: len(v) for k, v in groups.items()} == size
+    for rs in groups.values():
+        stay, = [r for r in rs if r.kept]
+        assert stay.doc_id == stay.keep_id and all((r.keep_id, r.group_size) == (stay.doc_id, len(rs)) for r in rs)
+    owls = sha("".join(spaces(ODD[0][1])))
+    assert next(r.doc_id for r in groups[owls] if r.kept) == 5  # a known id comes before none
+    assert next(r.doc_id for r in groups[sha("")] if r.kept) == 2**62  # a code point more
+
+
+def test_jaccard_components_of_odd_ids(spark):
+    from docloom.llm.op04_ngram_join import jaccard_components
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(docs(spark, ODD)).collect()), key=str)
+    n = [max(0, len(spaces(t)) - 3) for _, t, *_ in ODD]
+    least = [5, None, 5, 5, 5, 5, 5, None, None, 2**62]
+    assert got == sorted(((i, k, c) for (i, *_), k, c in zip(ODD, n, least)), key=str)
+
+
+def test_classes_that_share_an_id_lose_no_link(spark):
+    """Two texts of one id, each with a near copy: both pairs are found."""
+    from docloom.llm.op04_ngram_join import jaccard_components
+    long = [" ".join(f"{w}{i}" for i in range(60)) for w in ("tick", "tock")]
+    data = [(1, long[0], None, None), (1, long[1], None, None), (8, long[0] + " end", None, None), (9, long[1] + " end", None, None)]
+    got = [(r.doc_id, r.component_id, r.component) for r in jaccard_components(docs(spark, data)).collect()]
+    assert sorted(g[:2] for g in got) == [(1, 1), (1, 1), (8, 1), (9, 1)]
+    assert len({g[2] for g in got}) == 2
+
+
+def test_repeats_of_odd_ids(spark):
+    from docloom.llm.op08_substring_dedup import drop_repeats
+    from docloom.llm.op09_suffix_dedup import drop_repeated_bytes
+    words = Counter((r.doc_id, r.n_words, r.n_removed) for r in drop_repeats(docs(spark, ODD), window=5, gram=2).collect())
+    n = [len(spaces(t)) for _, t, *_ in ODD]
+    gone = [n[0], 0, 0, 0, 0, n[3], n[3], 0, 0, 0]  # null ids come last; equal rows are one document
+    assert words == Counter((i, k, g) for (i, *_), k, g in zip(ODD, n, gone))
+    cut = drop_repeated_bytes(docs(spark, ODD), window=20, gram=8).collect()
+    size = [len((t or "").encode()) for _, t, *_ in ODD]
+    all_gone = [1, 0, 1, 1, 1, 1, 1, 0, 0, 0]
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed) for r in cut) == Counter(
+        (i, k, k * g) for (i, *_), k, g in zip(ODD, size, all_gone))
+
+
 # ------------------------------------------------------------------ empty
 def test_empty_tables(spark):
     from docloom.llm.op04_ngram_join import jaccard_components

@@ -91,6 +91,70 @@ def test_compiled_map_longest_prefix_and_alignment():
     assert CharsMap(b"").apply("as is")[0] == b"as is"
 
 
+def mapped_model(tmp_path, trim):
+    """The public model with a compiled character map (and removal of extra spaces)."""
+    import sentencepiece as spm
+    from sentencepiece import sentencepiece_model_pb2 as pb
+    norm = pb.ModelProto()
+    norm.ParseFromString(spm.SentencePieceNormalizer(rule_name="nfkc").serialized_model_proto())
+    model = pb.ModelProto()
+    with open(model_path(), "rb") as f:
+        model.ParseFromString(f.read())
+    model.normalizer_spec.precompiled_charsmap = norm.normalizer_spec.precompiled_charsmap
+    model.normalizer_spec.remove_extra_whitespaces = trim
+    path = tmp_path / "mapped.model"
+    path.write_bytes(model.SerializeToString())
+    return str(path)
+
+
+MAPPED = ["plain words", "ﬁne ①② ｶﾞ Å", "½ cup of  tea", "한글 e\u0301", "ｆｕｌｌ　width", "  two  lead", "trail \u3000 ",
+          "\u3000", " ", "\u00a0a\u00a0b", "", None, "ﷺ ﷺ", "a▁b", "🙂 ok"]
+
+
+@pytest.mark.parametrize("trim", [False, True])
+def test_models_with_a_map_go_through_the_walker(spark, tmp_path, trim):
+    """Whole query against the library, with a map that acts; the library's own
+    whole-text encoding is never asked."""
+    import sentencepiece as spm
+    from docloom.llm.op03_sentencepiece import Codec, encode_docs, read_model
+    path = mapped_model(tmp_path, trim)
+    sp = spm.SentencePieceProcessor(model_file=path)
+    codec = Codec(read_model(path))
+    assert codec.plain and codec.map.units
+    got = as_dict(encode_docs(docs(spark, [(i, t, None, None) for i, t in enumerate(MAPPED)]), path, keep_ids=True))
+    for i, t in enumerate(MAPPED):
+        ids = sp.encode(t or "") + [sp.eos_id()]
+        assert got[i].ids == ids, t
+        assert got[i].decoded_sha256 == sha(sp.decode(ids)), t
+        spans = codec.encode(t or "")
+        size = len((t or "").encode())
+        assert [s[0] for s in spans] == ids[:-1]
+        assert all(0 <= b <= e <= size for _, b, e in spans)
+        assert all(x[2] <= y[1] for x, y in zip(spans, spans[1:]))
+    # a ligature of the source is the span of the piece that its replacement is part of
+    fine = codec.encode("ﬁne x")
+    assert fine[0][1] == 0 and "ﬁne".encode().startswith("ﬁne x".encode()[:fine[0][2]])
+
+
+def test_decoded_text_comes_from_the_ids():
+    from docloom.llm.op03_sentencepiece import Codec, read_model
+    codec = Codec(read_model(model_path()))
+    right = codec.digest(["seven wise owls"])["decoded_sha256"][0]
+    codec.words.clear()
+
+    class Wrong:
+        def encode(self, words, **kw):
+            ids = self.real.encode(words, **kw)
+            return [[i[0] + 1, *i[1:]] if w == "wise" else i for w, i in zip(words, ids)]
+
+        def decode(self, ids, **kw):
+            return self.real.decode(ids, **kw)
+
+    wrong = Wrong()
+    wrong.real, codec.segmenter = codec.segmenter, wrong
+    assert right == sha("seven wise owls") != codec.digest(["seven wise owls"])["decoded_sha256"][0]
+
+
 # -------------------------------------------------------------- language ID
 def test_forward_sums_all_segmentations():
     from docloom.llm.op02_language_id import Lattice, Trie
