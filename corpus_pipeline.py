@@ -6,7 +6,9 @@ stage's result is written as Parquet in the shared folder and read again, so a
 lost executor repeats at most its part of one stage.
 
 Rows that share a doc_id and a text are one document (exact dedup keeps one of
-them).  Empty tables pass through every stage as empty tables.
+them); rows that share an id only are documents of their own, and so are rows
+without an id, which come after all others where the smallest id stays.  Empty
+tables pass through every stage as empty tables.
 """
 
 from __future__ import annotations
@@ -18,7 +20,6 @@ from docloom.llm.common import read_table, store
 from docloom.llm.queries import held_out, model_path
 
 
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language the model knows; without letters they go."""
     from docloom.llm.op02_language_id import fit, keep_known
@@ -27,23 +28,34 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts: the longest, then the smallest id."""
-    from docloom.llm.op06_exact_dedup import grace_dedup
+    from docloom.llm.op06_exact_dedup import grace_dedup, normalised
     found = store(grace_dedup(docs), "dedup_decisions")
-    kept = found.filter("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n"))
-    repeated = not kept.filter("n > 1").isEmpty()
-    # an id may be kept with one text and dropped with another
-    from docloom.llm.op06_exact_dedup import normalised
-    keys = kept.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    out = docs.join(keys, (docs["doc_id"] == keys["_id"]) & (F.sha2(normalised("text"), 256) == keys["_sha"]),
-                    "left_semi")
-    return out.dropDuplicates(["doc_id", "text"]) if repeated else out
+    # exactly one row of each text is kept, but rows may share its id and its text
+    kept = found.filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+    shared = found.groupBy("doc_id", "text_sha256").agg(F.max(F.col("kept").cast("int")).alias("k"),
+                                                        F.count("*").alias("n")).filter("k = 1 and n > 1")
+    sha = F.sha2(normalised("text"), 256)
+    if shared.isEmpty():
+        return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]) & (sha == kept["_sha"]), "left_semi")
+    rows = docs.withColumn("_key", sha)
+    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["_id"]) & (rows["_key"] == kept["_sha"]), "left_semi")
+    text = F.coalesce("text", F.lit(""))
+    best = rows.groupBy("_key").agg(F.max_by(F.struct(*docs.columns), F.struct(F.char_length(text), text)).alias("_row"))
+    return best.select("_row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked shingle sets: the smallest id."""
+    """One document of each group of linked sets of five-word shingles (Jaccard
+    similarity 0.8 or more): the smallest id, then the smallest checksum."""
     from docloom.llm.op04_ngram_join import jaccard_components
-    found = jaccard_components(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_id"))
-    return docs.join(found, docs["doc_id"] == found["_id"], "left_semi")
+    found = store(jaccard_components(docs, n=5, percent=80), "near_decisions")
+    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    linked = (first.filter("component is not null").groupBy("component")
+              .agg(F.first("component_id").alias("_id"), F.min("text_key").alias("_key")))
+    stay = linked.select("_id", "_key").unionByName(first.filter("component is null").select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")))
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["_id"]) & (key == stay["_key"]), "left_semi")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
