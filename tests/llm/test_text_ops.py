@@ -10,7 +10,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
-from helpers import BASE, LONG, as_dict, docs, rows
+from helpers import BASE, LONG, as_dict, docs, rows, spaces
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
@@ -485,7 +485,7 @@ def test_pipeline_stages(spark, tables):
     exact = brute_exact(known)
     unique = {r[0]: r for r in known if exact[r[0]][0] == r[0]}
     assert step.columns == cols and sorted(r.doc_id for r in step.collect()) == sorted(unique)
-    near = brute_jaccard(list(unique.values()))
+    near = brute_jaccard(list(unique.values()), 5, 80)
     step = p.near_dedup(spark, docs(spark, list(unique.values())), sf)
     alone = [r for r in unique.values() if near[r[0]][1] == r[0]]
     assert step.columns == cols and sorted(r.doc_id for r in step.collect()) == sorted(r[0] for r in alone)
@@ -498,6 +498,25 @@ def test_pipeline_stages(spark, tables):
     assert all(got[r[0]].ids == sp.encode(r[1]) + [sp.eos_id()] for r in final)
 
 
+def test_pipeline_keeps_rows_without_ids_and_of_shared_ids(spark, tables):
+    import corpus_pipeline as p
+    from test_dedup_ops import ODD
+    texts = sorted({" ".join(spaces(t)) for _, t, *_ in ODD})
+    step = p.exact_dedup(spark, docs(spark, ODD), "")
+    got = sorted(((r.doc_id, r.text) for r in step.collect()), key=str)
+    assert sorted(" ".join(spaces(t)) for _, t in got) == texts
+    assert {i for i, t in got if t.strip()} == {5, None} and (2**62, " ") in got
+    step = p.near_dedup(spark, step, "")
+    assert sorted(" ".join(spaces(r.text)) for r in step.collect()) == texts
+    base = " ".join(f"w{i}" for i in range(80))
+    near = [(None, base, None, None), (None, base + " x", None, None), (3, base + " y", None, None),
+            (3, "alone " * 9, None, None), (None, "nobody " * 9, None, None)]
+    got = sorted(((r.doc_id, r.text) for r in p.near_dedup(spark, docs(spark, near), "").collect()), key=str)
+    assert got == sorted([(3, base + " y"), (3, "alone " * 9), (None, "nobody " * 9)], key=str)
+    two = [(4, "a b", "en", None), (4, "a  b", "de", None), (4, "a  b", "de", None)]
+    assert [(r.text, r.lang) for r in p.exact_dedup(spark, docs(spark, two), "").collect()] == [("a  b", "de")]
+
+
 def test_pipeline_on_empty_documents(spark, tables):
     import corpus_pipeline as p
     sf = tables(documents=docs(spark, []), benchmark=spark.createDataFrame(ITEMS, "item_id long, text string"))
