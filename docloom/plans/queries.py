@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions.json import top_keys, truthy, varr, vdouble, vlong, vpath, vstr
 from docloom.operators import requests as rq
+from docloom.operators.census import merge_census, path_census
 from docloom.operators.chain import chain, missing_documents, skipped_groups
 from docloom.operators.intervals import interval_join, micros
 from docloom.operators.load import upsert, latest
@@ -155,6 +156,26 @@ def props_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", "user_id", "event_type", vlong("p", "$.k").alias("k"))
 
 
+def _event_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested event documents in two loads; a key of the second is new."""
+    odd = F.col("event_id") % 2 == 1
+    body = F.concat(
+        F.lit('{"type":"'), F.col("event_type"), F.lit('","value":'), F.coalesce(F.col("value").cast("string"), F.lit("null")),
+        F.lit(',"props":'), F.coalesce("props", F.lit("null")), F.lit(',"marks":['), (F.col("user_id") % 3).cast("string"),
+        F.lit(',null,{"late":'), odd.cast("string"), F.lit("}]"),
+        F.when(odd, F.concat(F.lit(',"user":{"id":"'), F.col("user_id").cast("string"), F.lit('"}'))).otherwise(F.lit("")),
+        F.lit("}"))
+    return load_table(spark, sf_dir, "events").select(
+        F.concat(F.lit("run-"), (F.col("event_id") % 2).cast("string")).alias("load_id"), F.try_parse_json(body).alias("doc"))
+
+
+def event_path_census(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O18 / Q6 at all depths: the censuses of two loads of event documents, merged."""
+    docs = _event_bodies(spark, sf_dir)
+    parts = [path_census(docs.where(F.col("load_id") == run), F.col("load_id"), 3) for run in ("run-0", "run-1")]
+    return merge_census(*parts).drop("sketch")
+
+
 def scoreboard_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O4 + O7 + O5a: every event of every scoreboard document with the day
     it was requested for."""

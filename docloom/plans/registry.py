@@ -44,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_five_transactions": q.first_five_transactions,
     "scoreboard_key_census": q.scoreboard_key_census,
     "table_census": q.table_census,
+    "event_path_census": q.event_path_census,
     # flattening
     "flatten_events_depth1": q.flatten_events_depth1,
     "flatten_competitors_depth3": q.flatten_competitors_depth3,
