@@ -42,10 +42,28 @@ def expand_product(classes: DataFrame, group: list[str], side: str, left: str, r
     return one[0].join(one[1], same).select(*group, *[f"{n}_{v}" for n in names for v in values], times.alias("_x")).drop("_x")
 
 
+def side_pairs(rows: DataFrame, group: list[str], side: str, left: str, right: str, values: list[str],
+               names: tuple[str, str] = ("l", "r")) -> DataFrame:
+    """Q3: each pair of a ``left`` and a ``right`` row of a group as one row, by an inner
+    join of the two sides on the group (a NULL group is a group).  A group without one of the
+    sides gives no rows; Spark splits the tasks of a large one."""
+    l, r = [rows.where(F.col(side) == s).select(*[F.col(g).alias(f"_{g}" if s == right else g) for g in group],
+                                                *[F.col(v).alias(f"{n}_{v}") for v in values])
+            for s, n in ((left, names[0]), (right, names[1]))]
+    same = F.lit(True)
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
+    return l.join(r, same).drop(*[f"_{g}" for g in group])
+
+
 def name_value_columns(stats: Column, names: list[str], name_path: str = "$.name",
-                       value_path: str = "$.value", value_type: str = "variant") -> list[Column]:
+                       value_path: str = "$.value", value_type: str | None = "variant") -> list[Column]:
     """Q4 / V6: one column per stat name from a name/value list, read inside
-    the row (the first entry wins when a name repeats; NULL when absent)."""
+    the row (the first entry wins when a name repeats; NULL when absent).  The list
+    holds VARIANTs, or structs of ``name`` and ``value`` with ``value_type=None``."""
+    if value_type is None:
+        at = [F.array_position(F.transform(stats, lambda s: s["name"]), n) for n in names]
+        return [F.get(stats, (p - 1).cast("int"))["value"].alias(n) for n, p in zip(names, at)]
     cols = []
     for n in names:
         hit = F.get(F.filter(stats, lambda s: vstr(s, name_path) == n), 0)

@@ -19,7 +19,7 @@ from docloom.operators.chain import chain, missing_documents, skipped_groups
 from docloom.operators.intervals import interval_join, micros
 from docloom.operators.load import upsert, latest
 from docloom.operators.nested import path_rows
-from docloom.operators.pairs import expand_product, name_value_columns, require_all, side_classes
+from docloom.operators.pairs import expand_product, name_value_columns, require_all, side_classes, side_pairs
 from docloom.operators.positions import nth_of_nth, number_rows
 from docloom.plans import resources as rs
 from docloom.sources.tables import load_table
@@ -299,19 +299,22 @@ def first_event_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sides(board: DataFrame) -> DataFrame:
     """Competitors of scoreboard documents: event_id, name, status, side, team, score."""
-    ev = path_rows(board, "$.events", "doc", "event")
-    c = path_rows(ev.select(vstr("event", "$.id").alias("event_id"), vstr("event", "$.name").alias("name"),
-                            vstr("event", "$.status.type.description").alias("status"),
-                            vpath("event", "$.competitions[0]").alias("comp")), "$.competitors", "comp", "c")
-    return c.select("event_id", "name", "status", vstr("c", "$.homeAway").alias("side"),
-                    vstr("c", "$.team.displayName").alias("team"), vstr("c", "$.score").try_cast("int").alias("score"))
+    ev = path_rows(board, "$.events", "doc", "event", of="""struct<id:string, name:string,
+        status:struct<type:struct<description:string>>, competitions:array<struct<competitors:array<struct<
+        homeAway:string, score:string, team:struct<displayName:string>>>>>>""")
+    c = ev.select(F.col("event.id").alias("event_id"), F.col("event.name").alias("name"),
+                  F.col("event.status.type.description").alias("status"),
+                  F.explode(F.get("event.competitions", 0)["competitors"]).alias("c"))
+    return c.select("event_id", "name", "status", F.col("c.homeAway").alias("side"),
+                    F.col("c.team.displayName").alias("team"), F.col("c.score").try_cast("int").alias("score"))
 
 
 def home_away_board(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q3: home x away of every event, factorised: a row per event, side, team and
-    score with its number of entries and of partners on the other side, whatever
-    documents the entries came in.  Events without a home or an away side fall out."""
-    return side_classes(_sides(rs.board(spark, sf_dir)), ["event_id", "status"], "side", "home", "away", ["team", "score"])
+    """Q3: home x away of every event: one row per pair of a home and an away
+    competitor, whatever documents the two came in.  Events without a home or an away
+    side fall out."""
+    return side_pairs(_sides(rs.board(spark, sf_dir)), ["event_id", "name", "status"], "side", "home", "away",
+                      ["team", "score"], ("home", "away"))
 
 
 def home_away_of_day(spark: SparkSession, sf_dir: str, day: str = "19970315") -> DataFrame:
