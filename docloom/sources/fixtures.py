@@ -109,28 +109,27 @@ def nest_pages(df: DataFrame, group_cols: list[str], page_key: Column, sort_key:
     sorted by ``sort_key``, plus optional typed aggregates of the page.  The
     number of pages of a group is ceil(count / page_size); a row goes to page
     ``pmod(page_key, pages)``; ``page_key`` must tell the rows of a group apart
-    (a unique key, or ``row_hash`` of the whole sort key).  Counting is a partial (map-side) aggregate;
-    the count table joins back on the group key, so AQE broadcasts it when
-    small and splits skewed keys when not.
+    (a unique key, or ``row_hash`` of the whole sort key).
+
+    Counting is a partial (map-side) aggregate.  Only groups of more than one page
+    need their count: at most a row per ``page_size`` rows, broadcast.  So the rows
+    are shuffled once, by (group, page) -- a hot group lies in many tasks -- and
+    as they are read: their JSON text, several times larger, is made behind the shuffle.
     """
     if isinstance(items, Column):
         items = {"items": items}
     names = list(items)
-    rows = df.withColumn("_pk", page_key).withColumn("_sk", sort_key)
-    for n in names:
-        rows = rows.withColumn(f"_js_{n}", items[n])
-    counts = rows.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")).select(
+    large = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > page_size).select(
         *[F.col(c).alias(f"_g_{c}") for c in group_cols], "_n")
     same = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in group_cols]  # a NULL group is a group
-    paged = rows.join(counts, same).drop(*[f"_g_{c}" for c in group_cols]).withColumn(
-        "page", F.pmod(F.col("_pk"),
-                       F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(page_size)))).cast("int"))
-    # Shuffle on (group, page), not on the group alone: when the count table is
-    # too big to broadcast the join shuffles by group, and without this the
-    # aggregate would reuse that partitioning and keep a hot group in one task.
-    # With a broadcast join this is the aggregate's own shuffle (no extra cost).
-    grouped = paged.repartition(*group_cols, "page").groupBy(*group_cols, "page").agg(
-        F.array_sort(F.collect_list(F.struct("_sk", *[f"_js_{n}" for n in names]))).alias("_items"),
+    page = F.when(page_key.isNull(), F.lit(None)).when(F.col("_n").isNull(), F.lit(0)) \
+        .otherwise(F.pmod(page_key, F.ceil(F.col("_n") / F.lit(page_size))))
+    paged = df.join(F.broadcast(large), same, "left").withColumn("page", page.cast("int")).drop(
+        "_n", *[f"_g_{c}" for c in group_cols])
+    rows = paged.repartition(*group_cols, "page").withColumn("_sk", sort_key).withColumns(
+        {f"_js_{n}": items[n] for n in names})
+    grouped = rows.groupBy(*group_cols, "page").agg(
+        F.sort_array(F.collect_list(F.struct("_sk", *[f"_js_{n}" for n in names]))).alias("_items"),
         *(aggs or []))
     extra = [c for c in grouped.columns if c not in (*group_cols, "page", "_items")]
     return grouped.select(
@@ -315,12 +314,12 @@ def event_docs(spark: SparkSession, sf_dir: str, page_size: int = LINES_PER_DOC,
                    F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("displayName"))
     athlete = F.to_json(F.struct(who.alias("athlete"), stats.alias("stats")))
     odd = F.col("l_linenumber") % 2 == 1
+    clock, *rest = [F.struct(F.lit(n).alias("name"), v.alias("value")) for n, v in (
+        ("minutes", minutes), ("points", qty.cast("string")), ("plusMinus", signed))]
     named = F.to_json(F.struct(
         who.alias("athlete"),
         F.struct(F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")).alias("displayName")).alias("team"),
-        F.filter(F.array(*[F.when(keep, F.struct(F.lit(n).alias("name"), v.alias("value"))) for n, v, keep in (
-            ("minutes", minutes, F.col("l_linenumber") != 7), ("points", qty.cast("string"), F.lit(True)),
-            ("plusMinus", signed, F.lit(True)))]), lambda x: x.isNotNull()).alias("stats")))
+        F.when(F.col("l_linenumber") != 7, F.array(clock, *rest)).otherwise(F.array(*rest)).alias("stats")))
     q = F.col("l_quantity").cast("bigint")
     aggs = [F.sum(q).alias("_tot")]
     margin = F.round(F.col("l_quantity") * (F.col("l_tax") - F.col("l_discount")) * 100)
