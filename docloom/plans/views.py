@@ -1,7 +1,7 @@
 """Typed views over the landed documents (V1-V10).  The reference lands these
 shapes raw; the views are what a Spark user queries.  All per-row work is
-done with VARIANT paths and higher-order functions inside the row -- no
-shuffle except where a view really groups (venues)."""
+done inside the row -- no shuffle except where a view really groups (venues).
+An array is read once, typed by the fields the view names (``path_rows(of=...)``)."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions.dates import parse_iso_instant
-from docloom.functions.json import varr, vbool, vdouble, vlong, vpath, vstr
+from docloom.functions.json import vdouble, vlong, vstr
 from docloom.functions.stats import clock_seconds, made_attempted, plain_number, signed_int
 from docloom.operators.nested import path_rows
 from docloom.operators.pairs import name_value_columns
@@ -24,61 +24,65 @@ def games(spark: SparkSession, sf_dir: str, zone: str = LOCAL_ZONE) -> DataFrame
     """V1: one row per scoreboard event: uid parts, state decoded from the
     status id, start time in UTC and in a local zone, and its first
     competition's id, date, flags and venue."""
-    ev = rs.scoreboard_events(spark, sf_dir)
-    uid = F.str_to_map(vstr("event", "$.uid"), F.lit("~"), F.lit(":"))
+    ev = path_rows(rs.scoreboard(spark, sf_dir), "$.events", "doc", "event", of="""struct<uid:string, date:string,
+        status:struct<type:struct<id:string, completed:boolean>>, competitions:array<struct<id:string, date:string,
+        neutralSite:boolean, conferenceCompetition:boolean, venue:struct<fullName:string>>>>""")
+    uid = F.str_to_map("event.uid", F.lit("~"), F.lit(":"))
     state = F.create_map(*[x for k, v in STATE_BY_STATUS_ID.items() for x in (F.lit(k), F.lit(v))])
-    start = parse_iso_instant(vstr("event", "$.date"))
+    start = parse_iso_instant(F.col("event.date"))
+    first = F.get("event.competitions", 0)
     return ev.select(
-        vstr("event", "$.uid").alias("uid"),
+        F.col("event.uid").alias("uid"),
         uid["s"].alias("sport_id"), uid["l"].alias("league_id"), uid["e"].alias("event_ref"),
-        state[vstr("event", "$.status.type.id")].alias("state"),
-        vbool("event", "$.status.type.completed").alias("completed"),
+        state[F.col("event.status.type.id")].alias("state"),
+        F.col("event.status.type.completed").alias("completed"),
         F.date_format(start, "yyyy-MM-dd HH:mm").alias("start_utc"),
         F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(zone), start),
                       "yyyy-MM-dd HH:mm").alias("start_local"),
-        vstr("event", "$.competitions[0].id").alias("competition_id"),
-        F.date_format(parse_iso_instant(vstr("event", "$.competitions[0].date")), "yyyy-MM-dd HH:mm:ss")
-         .alias("competition_utc"),
-        vbool("event", "$.competitions[0].neutralSite").alias("neutral_site"),
-        vbool("event", "$.competitions[0].conferenceCompetition").alias("conference"),
-        vstr("event", "$.competitions[0].venue.fullName").alias("venue"))
+        first["id"].alias("competition_id"),
+        F.date_format(parse_iso_instant(first["date"]), "yyyy-MM-dd HH:mm:ss").alias("competition_utc"),
+        first["neutralSite"].alias("neutral_site"),
+        first["conferenceCompetition"].alias("conference"),
+        first["venue"]["fullName"].alias("venue"))
 
 
-def _competitors(spark, sf_dir) -> DataFrame:
-    ev = path_rows(rs.board(spark, sf_dir), "$.events", "doc", "event")
-    ev = ev.select(vstr("event", "$.id").alias("event_id"),
-                   vpath("event", "$.competitions[0]").alias("comp"))
-    return path_rows(ev, "$.competitors", "comp", "c")
+def _competitors(spark, sf_dir, of: str) -> DataFrame:
+    """Competitors ``c`` (of the type ``of``) of each event's first competition."""
+    ev = path_rows(rs.board(spark, sf_dir), "$.events", "doc", "event",
+                   of=f"struct<id:string, competitions:array<struct<competitors:array<{of}>>>>")
+    return ev.select(F.col("event.id").alias("event_id"),
+                     F.explode(F.get("event.competitions", 0)["competitors"]).alias("c"))
 
 
 def competitors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V2: one row per competitor of each game; score text -> int."""
-    c = _competitors(spark, sf_dir)
-    return c.select("event_id", vstr("c", "$.id").alias("competitor_id"),
-                    vstr("c", "$.homeAway").alias("home_away"),
-                    vstr("c", "$.score").try_cast("int").alias("score"),
-                    vstr("c", "$.team.displayName").alias("team_name"))
+    c = _competitors(spark, sf_dir, "struct<id:string, homeAway:string, score:string, team:struct<displayName:string>>")
+    return c.select("event_id", F.col("c.id").alias("competitor_id"),
+                    F.col("c.homeAway").alias("home_away"),
+                    F.col("c.score").try_cast("int").alias("score"),
+                    F.col("c.team.displayName").alias("team_name"))
 
 
 def linescores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V3: periods of each competitor by position (period = position + 1)."""
-    c = path_rows(_competitors(spark, sf_dir), "$.linescores", "c", "ls", pos="pos")
-    return c.select("event_id", vstr("c", "$.id").alias("competitor_id"),
-                    vstr("c", "$.homeAway").alias("home_away"),
-                    (F.col("pos") + 1).cast("int").alias("period"),
-                    vlong("ls", "$.value").alias("value"))
+    c = _competitors(spark, sf_dir, "struct<id:string, homeAway:string, linescores:array<struct<value:bigint>>>")
+    c = c.select("event_id", F.col("c.id").alias("competitor_id"), F.col("c.homeAway").alias("home_away"),
+                 F.posexplode("c.linescores").alias("pos", "ls"))
+    return c.select("event_id", "competitor_id", "home_away", (F.col("pos") + 1).cast("int").alias("period"),
+                    F.col("ls.value").alias("value"))
 
 
 def team_box(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V4: team statistics of each event, added up over its documents:
     'made-attempted' text is split into two numbers, any other number (decimal
     or negative too) is the value."""
-    t = path_rows(rs.summary_docs(spark, sf_dir), "$.boxscore.teams", "doc", "t")
-    s = path_rows(t, "$.statistics", "t", "s")
-    made, att = made_attempted(vstr("s", "$.displayValue"))
-    s = s.select(F.col("request_event_id").alias("event_id"),
-                 vstr("t", "$.team.abbreviation").alias("team"), vstr("s", "$.name").alias("stat_name"),
-                 made.alias("made"), att.alias("attempted"), plain_number(vstr("s", "$.displayValue")).alias("value"))
+    t = path_rows(rs.summary_docs(spark, sf_dir), "$.boxscore.teams", "doc", "t", of="""struct<
+        team:struct<abbreviation:string>, statistics:array<struct<name:string, displayValue:string>>>""")
+    s = t.select(F.col("request_event_id").alias("event_id"), F.col("t.team.abbreviation").alias("team"),
+                 F.explode("t.statistics").alias("s"))
+    made, att = made_attempted(F.col("s.displayValue"))
+    s = s.select("event_id", "team", F.col("s.name").alias("stat_name"),
+                 made.alias("made"), att.alias("attempted"), plain_number(F.col("s.displayValue")).alias("value"))
     return s.groupBy("event_id", "team", "stat_name").agg(
         F.sum("made").alias("made"), F.sum("attempted").alias("attempted"), F.round(F.sum("value"), 2).alias("value"))
 
@@ -87,13 +91,11 @@ def _athletes(spark, sf_dir) -> DataFrame:
     """One row per athlete of every side and statistics group; only the labels
     travel with it, not the group."""
     p = path_rows(rs.summary_docs(spark, sf_dir).select(F.col("request_event_id").alias("event_id"), "doc"),
-                  "$.boxscore.players", "doc", "p")
-    g = path_rows(p.select("event_id", vstr("p", "$.side").alias("side"), "p"), "$.statistics", "p", "g")
-    g = g.select("event_id", "side", F.transform(varr("g", "$.labels"), lambda x: vstr(x)).alias("labels"),
-                 varr("g", "$.athletes").alias("athletes"))
-    a = g.select("event_id", "side", "labels", F.explode("athletes").alias("a"))
-    return a.select("event_id", "side", "labels", vstr("a", "$.athlete.id").alias("athlete_id"),
-                    F.transform(varr("a", "$.stats"), lambda x: vstr(x)).alias("stats"))
+                  "$.boxscore.players", "doc", "p", of="""struct<side:string, statistics:array<struct<
+                  labels:array<string>, athletes:array<struct<athlete:struct<id:string>, stats:array<string>>>>>>""")
+    g = p.select("event_id", F.col("p.side").alias("side"), F.explode("p.statistics").alias("g"))
+    a = g.select("event_id", "side", F.col("g.labels").alias("labels"), F.explode("g.athletes").alias("a"))
+    return a.select("event_id", "side", "labels", F.col("a.athlete.id").alias("athlete_id"), F.col("a.stats").alias("stats"))
 
 
 def player_box(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,13 +124,13 @@ def player_stats_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V6 on the documented name/value list: clock text as seconds, points,
     signed plus-minus; a stat that is not listed is NULL."""
     a = path_rows(rs.summary_docs(spark, sf_dir).select(F.col("request_event_id").alias("event_id"), "doc"),
-                  "$.playerStats", "doc", "a")
-    minutes, points, plus = name_value_columns(varr("a", "$.stats"), ["minutes", "points", "plusMinus"],
-                                               value_type="string")
-    return a.select("event_id", vstr("a", "$.athlete.id").alias("athlete_id"),
-                    vstr("a", "$.team.displayName").alias("team"),
-                    clock_seconds(minutes).alias("min_seconds"), signed_int(points).alias("pts"),
-                    signed_int(plus).alias("plus_minus"))
+                  "$.playerStats", "doc", "a", of="""struct<athlete:struct<id:string>, team:struct<displayName:string>,
+                  stats:array<struct<name:string, value:string>>>""")
+    # looked up once, before the texts are parsed
+    a = a.select("event_id", F.col("a.athlete.id").alias("athlete_id"), F.col("a.team.displayName").alias("team"),
+                 *name_value_columns(F.col("a.stats"), ["minutes", "points", "plusMinus"], value_type=None))
+    return a.select("event_id", "athlete_id", "team", clock_seconds("minutes").alias("min_seconds"),
+                    signed_int("points").alias("pts"), signed_int("plusMinus").alias("plus_minus"))
 
 
 def roster_players(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,9 +161,10 @@ def player_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def venues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V9: distinct venues with the number of games played there."""
-    ev = path_rows(rs.board(spark, sf_dir), "$.events", "doc", "event")
-    v = ev.select(vstr("event", "$.competitions[0].venue.fullName").alias("venue"),
-                  vstr("event", "$.id").alias("event_id")).where(F.col("venue").isNotNull())
+    ev = path_rows(rs.board(spark, sf_dir), "$.events", "doc", "event",
+                   of="struct<id:string, competitions:array<struct<venue:struct<fullName:string>>>>")
+    v = ev.select(F.get("event.competitions", 0)["venue"]["fullName"].alias("venue"),
+                  F.col("event.id").alias("event_id")).where(F.col("venue").isNotNull())
     return v.groupBy("venue").agg(F.count_distinct("event_id").alias("n_games"))
 
 
@@ -184,10 +187,11 @@ def standings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def officials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V9: officials of each game (game info array)."""
-    o = path_rows(rs.summary_docs(spark, sf_dir), "$.gameInfo.officials", "doc", "o")
+    o = path_rows(rs.summary_docs(spark, sf_dir), "$.gameInfo.officials", "doc", "o",
+                  of="struct<displayName:string, `order`:bigint>")
     return o.select(F.col("request_event_id").alias("event_id"),
-                    vstr("o", "$.displayName").alias("official"),
-                    vlong("o", "$.order").cast("int").alias("position"))
+                    F.col("o.displayName").alias("official"),
+                    F.col("o.order").cast("int").alias("position"))
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
