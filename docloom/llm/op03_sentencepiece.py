@@ -8,7 +8,9 @@ projected back through that alignment to a span of original bytes.
 
 No piece of a model crosses a word boundary unless its vocabulary holds such a
 piece; then words encode independently and each distinct word of a chunk is
-encoded once.  The model is checked for this; otherwise whole texts are encoded.
+encoded once.  The model is checked for this; otherwise whole normalised texts are
+segmented.  Only a model that the alignment does not cover (no byte fallback, no dummy prefix,
+white space as suffix or unescaped, user-defined pieces) takes the library's own spans.
 
 The texts to hash are decoded from the ids, word by word: a word's pieces decode to
 the word whatever stands before it, because only the first piece of a text loses its
@@ -117,10 +119,12 @@ class Codec:
         self.trim = spec.remove_extra_whitespaces
         self.eos = self.sp.eos_id()
         pieces = [p.piece for p in model.pieces]
-        self.plain = (spec.add_dummy_prefix and spec.escape_whitespaces and model.trainer_spec.byte_fallback
-                      and not model.trainer_spec.treat_whitespace_as_suffix
-                      and not any(p.type == 4 for p in model.pieces)
-                      and not any(META in p.lstrip(META) for p in pieces))
+        #: our own map and alignment hold; else the library's spans are taken
+        self.aligned = bool(spec.add_dummy_prefix and spec.escape_whitespaces and model.trainer_spec.byte_fallback
+                            and not model.trainer_spec.treat_whitespace_as_suffix
+                            and not any(p.type == 4 for p in model.pieces))
+        #: and words encode independently
+        self.plain = self.aligned and not any(META in p.lstrip(META) for p in pieces)
         self.is_byte = np.array([p.type == 6 for p in model.pieces])
         #: bytes of normalised text that a piece stands for (white space escapes count 1)
         self.width = np.array([1 if p.type == 6 else len(p.piece.replace(META, " ").encode())
@@ -141,10 +145,13 @@ class Codec:
     # -- one text
     def encode(self, text: str) -> list[tuple[int, int, int]]:
         """(id, begin, end) with original byte spans; the dummy prefix has no bytes."""
-        if not self.plain:
+        if not self.aligned:
             return self._encode_whole(text)
         text, align = self.normalise(text)
-        ids = [i for w in self.split(text) for i in self._word(w)[0]]
+        if self.plain:
+            ids = [i for w in self.split(text) for i in self._word(w)[0]]
+        else:
+            ids = self.segmenter.encode(text)
         if not ids:
             return []
         ends = np.cumsum(self._widths(text, ids)) - 1  # the dummy prefix shifts by one

@@ -136,6 +136,32 @@ def test_models_with_a_map_go_through_the_walker(spark, tmp_path, trim):
     assert fine[0][1] == 0 and "ﬁne".encode().startswith("ﬁne x".encode()[:fine[0][2]])
 
 
+@pytest.mark.parametrize("trim", [False, True])
+def test_pieces_across_words_go_through_the_walker(tmp_path, monkeypatch, trim):
+    """A model with a piece that crosses words: whole texts are mapped, segmented and aligned
+    here; the library's own spans are never asked."""
+    import sentencepiece as spm
+    from sentencepiece import sentencepiece_model_pb2 as pb
+    from docloom.llm.op03_sentencepiece import META, Codec
+    model = pb.ModelProto()
+    with open(mapped_model(tmp_path, trim), "rb") as f:
+        model.ParseFromString(f.read())
+    model.pieces.add(piece="s" + META, score=1.0)
+    blob = model.SerializeToString()
+    sp, codec = spm.SentencePieceProcessor(model_proto=blob), Codec(blob)
+    assert not codec.plain and codec.map.units
+    monkeypatch.setattr(Codec, "_encode_whole", None)
+    crossing = 0
+    for t in [t or "" for t in MAPPED] + ["cats dogs here", "cats  ﬁsh ", "s "]:
+        spans, size = codec.encode(t), len(t.encode())
+        assert [x[0] for x in spans] == sp.encode(t), t
+        assert all(0 <= b <= e <= size for _, b, e in spans)
+        assert all(x[2] <= y[1] for x, y in zip(spans, spans[1:]))
+        crossing += sum(x[0] == len(model.pieces) - 1 for x in spans)
+    assert crossing >= 2
+    assert codec.encode("cats dogs")[-1][2] == len("cats dogs")
+
+
 def test_decoded_text_comes_from_the_ids():
     from docloom.llm.op03_sentencepiece import Codec, read_model
     codec = Codec(read_model(model_path()))
