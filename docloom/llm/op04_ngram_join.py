@@ -11,7 +11,9 @@ position, cut into blocks by size class; a block of the wrong size is never
 read, and a position so late that the rest of the sets cannot reach the
 threshold skips the entry.
 
-Answer level: equal sets are one class.  Each class is first compared with one
+Answer level: equal sets are one class.  Classes that hang together by similar
+leaders are a group; a large one is linked by what its sets differ by from its
+centre (``link_group``), so its pairs are never listed.  Each class is first compared with one
 highly similar class, the one that leads most of its lists.  What is then known
 answers the rest: classes that already hang together need no comparison, and
 for two classes with one leader the Jaccard distances to it bound theirs (it is
@@ -31,7 +33,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.llm.anchors import Bitmap, repeated_anchors
@@ -41,6 +43,8 @@ from docloom.llm.common import (U64, buffers, chunks, components, gram_starts, i
 SHINGLE = 4
 #: Jaccard threshold in hundredths
 PERCENT = 85
+#: classes that hang together by their leaders and are linked by their centre
+GROUP = 16
 
 
 class Sets:
@@ -191,12 +195,110 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").join(x, "a").join(y, "b").mapInPandas(run, "a long, b long, far double")
 
 
+def _counts(sets: DataFrame, col: str) -> DataFrame:
+    """(grp, key, n): how many sets of each group hold a shingle."""
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            h = [np.frombuffer(s.as_buffer(), np.int64) for s in batch.column(1)]
+            grp = np.repeat(batch.column(0).to_numpy(), [len(x) for x in h])
+            h = np.concatenate(h)
+            order = np.lexsort((h, grp))
+            h, grp = h[order], grp[order]
+            start = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (grp[1:] != grp[:-1])])[:len(h)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(grp[start]), pa.array(h[start]), pa.array(np.diff(np.append(start, len(h))))], ["grp", "key", "n"])
+
+    return sets.select("grp", col).mapInArrow(run, "grp long, key long, n long").groupBy("grp", "key").agg(
+        F.sum("n").alias("n"))
+
+
+def _deltas(members: DataFrame, percent: int) -> DataFrame:
+    """Per class of a large group: delta, what differs between its set and the
+    group's centre (the shingles that more than half of the group holds), d, their
+    number, and w = (100 + percent) d - (100 - percent) size."""
+    total = members.groupBy("grp").agg(F.count("*").alias("total"))
+    centre = (_counts(members, "shingles").join(total, "grp").filter("2 * n > total")
+              .groupBy("grp").agg(F.collect_list("key").alias("centre")))
+
+    def run(batches):
+        for pdf in batches:
+            found = [np.setxor1d(np.frombuffer(s, np.int64), np.array([] if c is None else c, np.int64))
+                     for s, c in zip(pdf["shingles"], pdf["centre"])]
+            d = np.array([len(x) for x in found], np.int64)
+            yield pd.DataFrame({"rep": pdf["rep"], "grp": pdf["grp"], "d": d,
+                                "w": (100 + percent) * d - (100 - percent) * pdf["size"].to_numpy(),
+                                "delta": [x.tobytes() for x in found]})
+
+    return members.join(centre, "grp", "left").select("rep", "grp", "size", "shingles", "centre").mapInPandas(
+        run, "rep long, grp long, d long, w long, delta binary")
+
+
+def _delta_entries(deltas: DataFrame) -> DataFrame:
+    """One row per class and differing shingle."""
+    def run(batches):
+        for pdf in batches:
+            keys = [np.frombuffer(b, np.int64) for b in pdf["delta"]]
+            n = [len(k) for k in keys]
+            if sum(n):
+                yield pd.DataFrame({c: np.repeat(pdf[c].to_numpy(), n) for c in pdf.columns if c != "delta"}
+                                   | {"key": np.concatenate(keys)})
+
+    return deltas.select("rep", "grp", "component", "d", "w", "need", "outside", "delta").mapInPandas(
+        run, "rep long, grp long, component long, d long, w long, need long, outside boolean, key long")
+
+
+def link_group(members: DataFrame, first: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) that connect what is connected inside large groups, beyond ``first``.
+    ``members``: rep, grp, size, shingles.
+
+    Two sets differ by what each differs from the centre, less twice what both
+    differ by: they link when w + w' <= 2 (100 + percent) c with c common differences.
+    So a class links with the one of least w, or is outside; a pair with one outside
+    has w + w' > 0 and needs common differences: it is found by the prefixes of the
+    differences, the rarest of a group first, as many as leave that number possible."""
+    each = 2 * (100 + percent)
+    deltas = store(_deltas(members, percent), "deltas")
+    best = deltas.groupBy("grp").agg(F.min(F.struct("w", "rep")).alias("best"))
+    deltas = (deltas.join(best, "grp").withColumn("outside", F.col("w") + F.col("best.w") > 0)
+              .select("rep", "grp", "d", "w", "delta", "outside", F.col("best.w").alias("least"), F.col("best.rep").alias("middle")))
+    deltas = store(deltas, "deltas")
+    inside = deltas.filter("not outside")
+    star = inside.filter("rep != middle").select(F.col("middle").alias("a"), F.col("rep").alias("b"))
+    # an outside class may meet any class of its group, the others only those outside
+    away = deltas.filter("outside").groupBy("grp").agg(F.min("w").alias("away"))
+    partner = F.when(F.col("outside"), F.col("least")).otherwise(F.col("away"))
+    deltas = deltas.join(away, "grp").withColumn("need", F.greatest(F.lit(1), F.ceil((F.col("w") + partner) / each)))
+    # outside, but its leader is not: it hangs together with those inside
+    both = first.unionByName(first.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    held = both.join(inside.select(F.col("rep").alias("b"), "middle"), "b").groupBy(F.col("a").alias("rep")).agg(
+        F.min("middle").alias("held"))
+    deltas = store(deltas.filter("need <= d").join(held, "rep", "left").withColumn("component", F.when(
+        F.col("outside"), F.coalesce("held", "rep")).otherwise(F.col("middle"))).drop("held", "least", "middle"), "deltas")
+    shared = _counts(deltas, "delta").filter("n > 1")
+    entries = _delta_entries(deltas).join(shared, ["grp", "key"])
+    order = Window.partitionBy("rep").orderBy("n", "key")
+    alone = F.col("d") - F.count("*").over(Window.partitionBy("rep"))
+    entries = (entries.withColumn("pos", alone + F.row_number().over(order) - 1)
+               .filter("pos <= d - need").select("rep", "grp", "key", "d", "w", "pos", "outside", "component"))
+    entries = store(entries, "differences")
+    x = entries.filter("outside").select([F.col(c).alias(f"x_{c}") if c not in ("key", "grp") else F.col(c) for c in entries.columns])
+    y = entries.select([F.col(c).alias(f"y_{c}") if c not in ("key", "grp") else F.col(c) for c in entries.columns])
+    common = F.ceil((F.col("x_w") + F.col("y_w")) / each)
+    pairs = (x.join(y, ["grp", "key"]).filter(
+        (F.col("x_component") != F.col("y_component")) & (~F.col("y_outside") | (F.col("x_rep") < F.col("y_rep")))
+        & (F.least(F.col("x_d") - F.col("x_pos"), F.col("y_d") - F.col("y_pos")) >= common))
+        .select(F.col("x_rep").alias("a"), F.col("y_rep").alias("b")).distinct())
+    return star.unionByName(_overlaps(pairs, members).filter(F.col("common") * 100 >= F.col("union") * percent)
+                            .select("a", "b"))
+
+
 def link_classes(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(rep, component) of classes that link with another one, directly or not.
     ``classes``: rep, size, own, shingles, keys, pos, hist, one row per distinct set."""
-    entries = store(_entries(classes), "index")
-    lists = entries.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).filter("a < last")
-    entries = store(entries.join(lists.select("key", "a"), "key"), "index")
+    lists = _entries(classes).groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).filter("a < last")
+    entries = store(_entries(classes).join(lists.select("key", "a"), "key"), "index")
     linked = F.col("common") * 100 >= F.col("union") * percent
 
     # one highly similar class each, among the leaders of its lists
@@ -205,18 +307,28 @@ def link_classes(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
             .select("b", F.col("best.a").alias("a")))
     known = store(_overlaps(lead, classes), "known")
     first = known.filter(linked).select("a", "b")
+
+    # classes that hang together by similar leaders are a group; large ones are linked by their centre
+    near = components(known.filter("2 * common >= union").select("a", "b")).select(
+        F.col("node").alias("rep"), F.col("component").alias("grp"))
+    near = store(near.join(near.groupBy("grp").agg(F.count("*").alias("n")).filter(F.col("n") >= GROUP).select("grp"), "grp"),
+                 "groups")
+    if not near.isEmpty():
+        members = classes.select("rep", "size", "shingles").join(near, "rep")
+        first = store(first.unionByName(link_group(members, first, percent)), "links")
     comp = store(components(first), "components")
 
     # what hangs together already needs no comparison
     whole = classes.select(F.col("rep").alias("a"), F.col("size").alias("leader_size"))
     led = known.join(whole, "a").select(F.col("b").alias("rep"), F.col("a").alias("leader"), "leader_size", "common",
                                         (1 - F.col("common") / F.col("union")).alias("far"))
-    rows = (entries.select("key", "rep", "size", "pos").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-            .withColumn("component", F.coalesce("component", "rep")).join(led, "rep", "left")
-            .join(classes.select("rep", "own"), "rep"))
+    tags = store(comp.withColumnRenamed("node", "rep").join(near, "rep", "full"), "tags")
+    tagged = entries.join(tags, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    grp = F.coalesce("grp", F.lit(-1))
+    mixed = tagged.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(grp).alias("g"),
+                                      F.max(grp).alias("h")).filter("lo < hi and (g < h or g = -1)")
+    rows = tagged.drop("a").join(mixed.select("key"), "key").join(led, "rep", "left").join(classes.select("rep", "own"), "rep")
     rows = store(rows, "rows")
-    mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    rows = rows.join(mixed.select("key"), "key")
 
     # blocks by size class: partners of a size lie in its own and the next smaller class
     ratio = float(np.log(100 / percent)) * (1 + 1e-6)
@@ -237,6 +349,7 @@ def link_classes(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     through = F.when(same_leader, F.least("x_common", "y_common") + gains).otherwise(free)
     pairs = (x.join(y, ["key", "block"]).filter(
         (F.col("x_rep") < F.col("y_rep")) & (F.col("x_component") != F.col("y_component"))
+        & ~F.coalesce(F.col("x_grp") == F.col("y_grp"), F.lit(False))
         & (F.least("x_size", "y_size") * 100 >= F.greatest("x_size", "y_size") * percent) & (rest >= overlap)
         & (free >= overlap) & (through >= overlap)
         & ~F.coalesce((F.col("x_leader") == F.col("y_rep")) | (F.col("y_leader") == F.col("x_rep")), F.lit(False))

@@ -226,6 +226,36 @@ def test_jaccard_components_of_odd_ids(spark):
     assert got == sorted(((i, k, c) for (i, *_), k, c in zip(ODD, n, least)), key=str)
 
 
+def test_large_group_of_near_copies_is_not_compared_in_all_pairs(spark, monkeypatch):
+    """Copies with up to six changed words of 300: few pairs link, all share most shingles."""
+    from docloom.llm import op04_ngram_join as join
+    rng = np.random.default_rng(5)
+    data = []
+    for i in range(120):
+        words = [f"w{j}" for j in range(300)]
+        for j in rng.choice(300, rng.integers(4, 7), replace=False):
+            words[j] = f"x{i}y{j}"
+        data.append((i, " ".join(words), "en", "a"))
+    # changed alike at many places: they link by what both lack, far from the centre
+    for i in range(120, 124):
+        words = data[0][1].split()
+        for j in range(0, 120, 12):
+            words[j] = f"z{j}"
+        words[200 + i % 4] = f"v{i}"
+        data.append((i, " ".join(words), "en", "a"))
+    compared, whole = [], join._overlaps
+
+    def counted(pairs, classes):
+        compared.append(pairs.count())
+        return whole(pairs, classes)
+
+    monkeypatch.setattr(join, "_overlaps", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in join.jaccard_components(docs(spark, data)).collect()}
+    assert got == brute_jaccard(data)
+    assert len({c for _, c in got.values()}) > 10 and len({got[i][1] for i in range(120, 124)}) == 1
+    assert sum(compared) < len(data) * len(data) / 8
+
+
 def test_classes_that_share_an_id_lose_no_link(spark):
     """Two texts of one id, each with a near copy: both pairs are found."""
     from docloom.llm.op04_ngram_join import jaccard_components
