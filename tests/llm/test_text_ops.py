@@ -322,6 +322,35 @@ def test_toxicity_weighs_every_term_of_whole_texts(spark):
     assert got[300].neighbours[0] == 3 and got[300].cosines[0] < 1
 
 
+def test_lists_are_read_in_two_passes_at_most(monkeypatch):
+    """Not once for each block; and blocks that cannot matter are still left out."""
+    from docloom.llm.op01_toxicity import Index
+    rng = np.random.default_rng(4)
+    vec = []
+    for i in range(320):  # half of them near copies of a few, far from the others
+        ids = np.arange(4) + 4 * (i % 5) if i < 160 else np.sort(20 + rng.choice(180, 6, replace=False))
+        w = rng.integers(1, 4, len(ids)).astype(float)
+        vec.append((ids, w / np.sqrt((w * w).sum())))
+    index, calls, listed = Index(vec, np.zeros(320), np.arange(320), 200, block=16, dense=0), [], Index._listed
+    monkeypatch.setattr(Index, "_listed", lambda self, *a: calls.append(np.size(a[2])) or listed(self, *a))
+    got = index.nearest_many(vec, 5, list(range(320)))
+    assert len(calls) <= 2 * len(vec) and sum(calls) < 0.8 * index.n_blocks * len(vec)
+    dense = np.zeros((320, 200))
+    for i, (t, w) in enumerate(vec):
+        dense[i, t] = w
+    for i, (e, c) in enumerate(got):
+        cos = np.round(dense @ dense[i], 9)
+        want = [x for x in np.lexsort((np.arange(320), -cos)) if cos[x] > 0 and x != i][:5]
+        assert e.tolist() == want and np.allclose(c, cos[want])
+
+
+def test_words_equal_the_pattern():
+    import re
+    from docloom.llm.op01_toxicity import words_of
+    for t in ("Straße ẞ İstanbul ΑΣ aΣ b_c 1a2 K Å x\x1cy\x85z é́ 漢字かな", "A\x0bB\x1fC_d-E'f 9G", "ǅ ŉ İ ٣a", "", " \n"):
+        assert words_of(t) == re.findall(r"[^\W\d_]+", t.lower())
+
+
 def test_matrix_and_lists_give_all_cosines():
     from docloom.llm.op01_toxicity import Index
     rng = np.random.default_rng(3)
