@@ -61,13 +61,23 @@ class Bitmap:
     def __init__(self, packed: np.ndarray, bits: int):
         self.packed, self.bits = packed, bits
 
+    @classmethod
+    def unpack(cls, ranges: dict[int, bytes], cut: int, bits: int) -> Bitmap:
+        """The bitmap of compressed ranges (2**cut of them, missing ones are empty)."""
+        packed = np.zeros(1 << (bits - 3), np.uint8)
+        size = len(packed) >> cut
+        for k, x in ranges.items():
+            packed[k * size:(k + 1) * size] = np.frombuffer(pa.decompress(x, size, "zstd"), np.uint8)
+        return cls(packed, bits)
+
     def has(self, h: np.ndarray) -> np.ndarray:
         at = (h >> U64(64 - self.bits)).astype(np.int64)
         return (self.packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 
 
-def repeated_anchors(docs: DataFrame, places, total_bytes: int, per_anchor: int) -> Bitmap:
-    """``docs`` has a ``text`` column; ``places(text array)`` gives the hashes
+def repeated_anchors(docs: DataFrame, places, total_bytes: int, per_anchor: int) -> tuple[dict[int, bytes], int, int]:
+    """What ``Bitmap.unpack`` takes: the driver and the broadcast hold the ranges
+    compressed, only a task unpacks them.  ``docs`` has a ``text`` column; ``places(text array)`` gives the hashes
     of all anchors in a chunk, one for each place.  A hash that a chunk holds
     often is shipped once, marked as repeated.  Inside a bucket 32 more bits tell
     hashes apart; as buckets keep their size, about one in 10,000 hashes counts
@@ -105,12 +115,8 @@ def repeated_anchors(docs: DataFrame, places, total_bytes: int, per_anchor: int)
         more = np.concatenate([values[n > 1], np.frombuffer(b"".join(pdf["more"]), np.uint32)])
         flags = np.zeros(1 << (bits - cut), bool)
         flags[more >> np.uint32(32 - (bits - cut))] = True
-        return pd.DataFrame({"bucket": [int(pdf["bucket"].iloc[0])], "flags": [np.packbits(flags).tobytes()]})
+        return pd.DataFrame({"bucket": [int(pdf["bucket"].iloc[0])], "flags": [pa.compress(np.packbits(flags), "zstd", asbytes=True)]})
 
     rows = docs.select("text").mapInArrow(emit, "bucket int, one binary, more binary").groupBy(
         "bucket").applyInPandas(count, "bucket int, flags binary").collect()
-    packed = np.zeros(1 << (bits - 3), np.uint8)
-    size = len(packed) >> cut
-    for r in rows:
-        packed[r["bucket"] * size:(r["bucket"] + 1) * size] = np.frombuffer(r["flags"], np.uint8)
-    return Bitmap(packed, bits)
+    return {r["bucket"]: bytes(r["flags"]) for r in rows}, cut, bits

@@ -109,10 +109,10 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
         return s.h
 
     found = repeated_anchors(docs, places, text_bytes(docs), per_anchor=6)
-    flags, bits = spark.sparkContext.broadcast(found.packed), found.bits
+    flags = spark.sparkContext.broadcast(found)
 
     def run(batches):
-        s, bitmap = Sets(n), Bitmap(flags.value, bits)
+        s, bitmap = Sets(n), Bitmap.unpack(*flags.value)
         for batch, text in chunks(batches, "text"):
             s.read(text)
             alone = ~bitmap.has(s.h)

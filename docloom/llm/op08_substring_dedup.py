@@ -82,13 +82,13 @@ def chunk_edges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tupl
         return e.places()
 
     found = repeated_anchors(docs, places, total, per_anchor=24)
-    flags, bits = spark.sparkContext.broadcast(found.packed), found.bits
+    flags = spark.sparkContext.broadcast(found)
     cut = bucket_bits(spark, total, 8 << 20)
 
     def occurrences(batches):
         """Of each chunk its label, ids and keys, the edges' hashes, documents and
         positions in order, which are an edge's first, and the others that count."""
-        e, bitmap = Edges(window, gram), Bitmap(flags.value, bits)
+        e, bitmap = Edges(window, gram), Bitmap.unpack(*flags.value)
         for batch, text in chunks(batches, "text"):
             e.read(text)
             at = np.flatnonzero((e.anchors != 0) & bitmap.has(e.anchors))

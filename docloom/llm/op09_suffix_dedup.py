@@ -183,11 +183,11 @@ def repeated_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
         return w.places()
 
     found = repeated_anchors(docs, places, total, per_anchor=gram // 2)
-    flags, bits = spark.sparkContext.broadcast(found.packed), found.bits
+    flags = spark.sparkContext.broadcast(found)
     cut = bucket_bits(spark, total, 2 << 20)
 
     def emit(batches):
-        w, bitmap = Windows(window, gram), Bitmap(flags.value, bits)
+        w, bitmap = Windows(window, gram), Bitmap.unpack(*flags.value)
         for batch, text in chunks(batches, "text"):
             w.read(text)
             a, b, v, twice = w.runs(bitmap)

@@ -291,6 +291,25 @@ def test_empty_tables(spark):
         assert f(empty).collect() == []
 
 
+def test_bitmap_travels_compressed(spark):
+    """The driver and the broadcast hold a small part of the bitmap that a task unpacks."""
+    import pickle
+    from docloom.llm.anchors import Bitmap, repeated_anchors
+    from docloom.llm.common import mix
+
+    def places(text):  # every row names ten hashes, and one that all rows name
+        n = [int(t) for t in text.to_pylist()]
+        return mix(np.array([x for k in n for x in [10 ** 6, *range(10 * k, 10 * k + 10)]], np.uint64))
+
+    rows = [(i, str(i), None, None) for i in range(2000)] + [(9000 + i, str(i), None, None) for i in range(20)]
+    found = repeated_anchors(docs(spark, rows), places, 60 << 20, per_anchor=6)
+    bitmap = Bitmap.unpack(*found)
+    assert len(bitmap.packed) == 1 << (found[2] - 3) >= 8 << 20
+    assert len(pickle.dumps(found)) < len(bitmap.packed) // 100
+    has = bitmap.has(mix(np.array([10 ** 6, *range(20_000)], np.uint64)))
+    assert has[:201].all() and has[201:].sum() < 100
+
+
 def test_hot_passage_meets_once_per_chunk(spark):
     """Of a passage that every document holds, one entry per chunk meets the others."""
     from helpers import BASE
