@@ -29,12 +29,15 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.llm.common import chunks
+
 META = "▁"
-#: distinct words a worker remembers between chunks
-CACHE_WORDS = 300_000
+#: distinct words a worker remembers between chunks (about 0.5 KB each)
+CACHE_WORDS = 100_000
 
 
 class CharsMap:
@@ -193,7 +196,7 @@ class Codec:
         return self.words[w]
 
     def learn(self, words) -> None:
-        """Encode the words not known yet: (ids, decimal ids, decoded text)."""
+        """Encode the words not known yet: (ids, decimal ids, decoded text, its bytes)."""
         new = [w for w in set(words) if w not in self.words]
         if not new:
             return
@@ -204,7 +207,7 @@ class Codec:
         # a final space is its own piece; alone it would be an empty text
         found = [ids or [self.sp.piece_to_id(META)] for ids in found]
         for w, ids, text in zip(new, found, self.segmenter.decode(found, num_threads=1)):
-            self.words[w] = (ids, " ".join(map(str, ids)), " " + text)
+            self.words[w] = (ids, " ".join(map(str, ids)), " " + text, len(text.encode()) + 1)
 
     # -- many texts
     def digest(self, texts: list[str], keep_ids: bool = False) -> pd.DataFrame:
@@ -245,7 +248,7 @@ class Codec:
         if not got:
             return 0
         if not self.map.units and not self.trim and META not in text:
-            return sum([int(self.width[g[0]].sum()) for g in got[-1:]]) - 1 + sum([len(g[2].encode()) for g in got[:-1]])
+            return int(self.width[got[-1][0]].sum()) - 1 + sum([g[3] for g in got[:-1]])
         spans = self.encode(text)
         return spans[-1][2]
 
@@ -271,14 +274,18 @@ def encode_docs(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_c
 
     def run(batches):
         codec = Codec(blob)
-        for pdf in batches:
-            for part in _slices(pdf):
-                out = codec.digest(part["text"].fillna("").tolist(), keep_ids)
-                out.insert(0, id_col, part["id"].to_numpy())
-                yield out
-
+        for batch, text in chunks(batches, "text"):
+            out = codec.digest(text.to_pylist(), keep_ids)
+            columns = [batch.column(0), pa.array(out["n_tokens"], pa.int64()), pa.array(out["ids_sha256"], pa.string()),
+                       pa.array(out["decoded_sha256"], pa.string()), pa.array(out["covered_bytes"], pa.int64())]
+            if keep_ids:
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in out["ids"]])])
+                columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(out["ids"].tolist()))))
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", "covered_bytes", *["ids"] * keep_ids]
     id_type = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"{id_col} {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string, covered_bytes long"
         + ", ids array<int>" * keep_ids)
 
@@ -298,9 +305,3 @@ def encode_spans(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(
         run, f"{id_col} {id_type}, ids array<int>, begins array<long>, ends array<long>")
 
-
-def _slices(pdf: pd.DataFrame, limit: int = 4 << 20):
-    size = pdf["text"].str.len().fillna(0).to_numpy().cumsum()
-    part = (size // limit).astype(np.int64)
-    for _, x in pdf.groupby(part, sort=True):
-        yield x

@@ -55,6 +55,27 @@ def test_encoding_equals_the_library_on_documents(spark):
             len(ids), sha(" ".join(map(str, ids))), sha(sp.decode(ids)))
 
 
+def test_encoder_takes_bounded_chunks_of_a_batch(spark, monkeypatch):
+    """A worker holds the words of a bounded piece of a batch, never of all its rows."""
+    from docloom.llm import op03_sentencepiece as op
+    real, limit = op.Codec, 1 << 19
+
+    class Bounded(real):
+        def digest(self, texts, keep_ids=False):
+            assert len(texts) == 1 or sum(len(t.encode()) for t in texts) <= limit
+            return real.digest(self, texts, keep_ids)
+
+    monkeypatch.setattr(op, "Codec", Bounded)
+    texts = {i: f"word{i} " * 4000 for i in range(60)} | {60: None, 61: "long " * 200_000}
+    data = [(i, t, None, None) for i, t in texts.items()]
+    sp = library()
+    got = op.encode_docs(docs(spark, data).coalesce(1), model_path(), keep_ids=True).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        assert r.ids == sp.encode(texts[r.doc_id] or "") + [sp.eos_id()]
+        assert r.covered_bytes == len((texts[r.doc_id] or "").encode())
+
+
 def test_spans_cover_the_text_and_equal_the_library_pieces():
     from docloom.llm.op03_sentencepiece import Codec, read_model
     codec, sp = Codec(read_model(model_path())), library()
