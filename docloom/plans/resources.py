@@ -13,9 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.functions.json import parse_doc
 from docloom.operators.chain import chain
 from docloom.operators.nested import extract_keys, parse_documents, path_rows, stamp
 from docloom.sources import fixtures as fx
+from docloom.sources.landing import once
 
 TEAMS_PATH = "$.sports[0].leagues[0].teams"
 
@@ -86,11 +88,14 @@ def event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(F.col("request_date").alias("date"), "event_id")
 
 
-def game_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def game_summary(spark: SparkSession, sf_dir: str, ids: DataFrame | None = None) -> DataFrame:
     """Summaries of the events listed by each day's scoreboard, stamped
-    with the day and the event id they were requested for."""
-    s = summary_docs(spark, sf_dir).drop("event_id", "ingested_at")
-    g = chain(event_ids(spark, sf_dir), s, "event_id", "request_event_id")
+    with the day and the event id they were requested for.  ``ids`` are the
+    ``event_ids`` where the caller has them already.  Bodies are parsed behind the join,
+    so those that no day lists are not."""
+    s = fx.event_docs(spark, sf_dir)
+    g = chain(event_ids(spark, sf_dir) if ids is None else ids, s, "event_id")
+    g = once(g, "doc", parse_doc("body")).drop("body")
     g = g.withColumnRenamed("date", "request_date").withColumnRenamed("event_id", "request_event_id")
     return stamp(g, "doc", {"date": F.col("request_date"), "event_id": F.col("request_event_id")})
 
